@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from corpusloom.llm import near_duplicates
+from corpusloom.llm import encoding, leakage, near_duplicates, packing, splits
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +17,32 @@ def _read(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    """(first_seq, other_seq): of each set of samples that must share a split, the smallest with every other."""
+    return splits.sample_sets(_read(spark, d, "samples")).where("node <> root").select(F.col("root").alias("first_seq"), F.col("node").alias("other_seq"))
+
+
+def p2_assignment(spark: SparkSession, d: str) -> DataFrame:
+    """(sample_seq, set_seq, stratum, split): the split of every sample, in the shares of split_plan, also within each archetype."""
+    samples = _read(spark, d, "samples")
+    plan = [(r.split, r.share) for r in _read(spark, d, "split_plan").collect()]  # one row a split
+    done = splits.assign_splits(samples, splits.sample_sets(samples), plan, "sample_seq", "archetype")
+    return done.select(F.col("id").alias("sample_seq"), F.col("set").alias("set_seq"), "stratum", "split")
+
+
+def p4_containers(spark: SparkSession, d: str) -> DataFrame:
+    """(budget_id, item_seq, piece, container, size): a container for every row of the budget's table."""
+    tables = {
+        "file_records": lambda: _read(spark, d, "file_records").select(F.col("file_seq").alias("item"), F.col("tokens").alias("size")),
+        "sft_records": lambda: _read(spark, d, "sft_records").select(
+            F.col("input_seq").alias("item"), F.aggregate("messages", F.lit(0).cast("long"), lambda s, m: s + F.coalesce(F.length(m["content"]), F.lit(0))).alias("size")
+        ),
+    }
+    budgets = _read(spark, d, "pack_budgets").orderBy("budget_id").collect()  # a fixed table of two rows
+    packed = [packing.pack(tables[b.item_table](), b.capacity).select(F.lit(b.budget_id).alias("budget_id"), F.col("item").alias("item_seq"), "piece", "container", "size") for b in budgets]
+    return reduce(DataFrame.union, packed)
+
+
 def p5_groups(spark: SparkSession, d: str) -> DataFrame:
     """(id, grp): every conversation record in a near-duplicate group of two or more."""
     return near_duplicates.near_duplicate_groups(near_duplicates.record_texts(_read(spark, d, "sft_records")), k=3, theta=0.6)
@@ -25,8 +53,23 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return near_duplicates.group_pairs(p5_groups(spark, d))
 
 
+def p7_ids(spark: SparkSession, d: str) -> DataFrame:
+    """(doc_id, ids): the token ids of every document."""
+    return encoding.encode_corpus(_read(spark, d, "documents"))
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    """(doc_id, item_id): documents that hold at least 12 consecutive words of an evaluation text."""
+    docs, items = _read(spark, d, "documents"), _read(spark, d, "eval_items")
+    found = leakage.leaked_passages(docs.select(F.col("doc_id").alias("id"), "text"), items.select(F.col("item_id").alias("id"), "text"), least=12, k=8)
+    return found.select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"))
+
+
 def queries() -> dict[str, Query]:
-    return {"p5_found": p5_found, "p5_groups": p5_groups}
+    return {
+        "p2_found": p2_found, "p2_assignment": p2_assignment, "p4_containers": p4_containers, "p5_found": p5_found, "p5_groups": p5_groups,
+        "p7_ids": p7_ids, "p8_found": p8_found,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
