@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import encoding, leakage, near_duplicates, packing, splits
+from corpusloom.llm import encoding, leakage, near_duplicates, neighbours, packing, splits
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +30,12 @@ def p2_assignment(spark: SparkSession, d: str) -> DataFrame:
     return done.select(F.col("id").alias("sample_seq"), F.col("set").alias("set_seq"), "stratum", "split")
 
 
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    """(row_lo, row_hi): pairs of vectors of which one is among the other's five nearest."""
+    cache = _read(spark, d, "clap_cache").select(F.col("row_idx").alias("id"), "embedding")
+    return neighbours.neighbour_pairs(neighbours.nearest_vectors(cache, k=5, dim=128))
+
+
 def p4_containers(spark: SparkSession, d: str) -> DataFrame:
     """(budget_id, item_seq, piece, container, size): a container for every row of the budget's table."""
     tables = {
@@ -67,7 +73,7 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
-        "p2_found": p2_found, "p2_assignment": p2_assignment, "p4_containers": p4_containers, "p5_found": p5_found, "p5_groups": p5_groups,
+        "p2_found": p2_found, "p2_assignment": p2_assignment, "p3_found": p3_found, "p4_containers": p4_containers, "p5_found": p5_found, "p5_groups": p5_groups,
         "p7_ids": p7_ids, "p8_found": p8_found,
     }
 
