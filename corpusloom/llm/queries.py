@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import encoding, leakage, near_duplicates, neighbours, packing, splits
+from corpusloom.llm import broken_pairs, encoding, leakage, near_duplicates, neighbours, packing, splits
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,6 +59,19 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return near_duplicates.group_pairs(p5_groups(spark, d))
 
 
+def p6_defects(spark: SparkSession, d: str) -> DataFrame:
+    """(tbl, row_seq, defects): every defect of the pairs of both tables."""
+    judged = _read(spark, d, "judge_results").select(F.col("judge_seq").alias("id"), "prompt", F.col("reasoning").alias("answer"))
+    told = broken_pairs.record_pairs(_read(spark, d, "sft_records"))
+    parts = [broken_pairs.broken_pairs(x).select(F.lit(t).alias("tbl"), F.col("id").alias("row_seq"), "defects") for t, x in (("judge_results", judged), ("sft_records", told))]
+    return parts[0].union(parts[1])
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    """(tbl, row_seq, defect): the first defect of each defective pair."""
+    return p6_defects(spark, d).select("tbl", "row_seq", F.col("defects")[0].alias("defect"))
+
+
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     """(doc_id, ids): the token ids of every document."""
     return encoding.encode_corpus(_read(spark, d, "documents"))
@@ -74,7 +87,7 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "p2_found": p2_found, "p2_assignment": p2_assignment, "p3_found": p3_found, "p4_containers": p4_containers, "p5_found": p5_found, "p5_groups": p5_groups,
-        "p7_ids": p7_ids, "p8_found": p8_found,
+        "p6_found": p6_found, "p6_defects": p6_defects, "p7_ids": p7_ids, "p8_found": p8_found,
     }
 
 
