@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import broken_pairs, encoding, leakage, near_duplicates, neighbours, packing, splits
+from corpusloom.llm import broken_pairs, encoding, leakage, near_duplicates, neighbours, packing, splits, subjects
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -84,10 +84,18 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return found.select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"))
 
 
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    """(doc_id, subject): the subjects that at least a quarter of the document's sentences are about."""
+    names = sorted(r.subject for r in _read(spark, d, "subjects").select("subject").collect())  # a fixed table of eight rows
+    docs = _read(spark, d, "documents").select(F.col("doc_id").alias("id"), "text")
+    found = subjects.document_subjects(docs, _read(spark, d, "doc_labels").select(F.col("doc_id").alias("id"), "subject"), names)
+    return found.select(F.col("id").alias("doc_id"), "subject")
+
+
 def queries() -> dict[str, Query]:
     return {
         "p2_found": p2_found, "p2_assignment": p2_assignment, "p3_found": p3_found, "p4_containers": p4_containers, "p5_found": p5_found, "p5_groups": p5_groups,
-        "p6_found": p6_found, "p6_defects": p6_defects, "p7_ids": p7_ids, "p8_found": p8_found,
+        "p6_found": p6_found, "p6_defects": p6_defects, "p7_ids": p7_ids, "p8_found": p8_found, "p9_found": p9_found,
     }
 
 
