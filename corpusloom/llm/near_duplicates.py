@@ -15,8 +15,8 @@ different groups is found and verified, whatever the sizes of groups and posting
    shuffle by shingle, a row of the matrix lists the groups whose union holds the shingle.  Each
    query text counts the groups it meets; a pair at the threshold must meet at least
    1 + 4 % of theta * n times, which bounds the query-group overlap.
-4. *Open.*  Groups that reach the bound are opened: the query is verified exactly against their
-   members.  Links of 2 and 4 give the final groups.
+4. *Open.*  Groups that reach the bound are opened: members whose size or 512-bit parity sketch rules the
+   query out are left, and the query is verified exactly against the others.  Links of 2 and 4 give the final groups.
 
 Texts without a single shingle (null, empty, fewer than k words) are near nothing, not even each other.
 """
@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import zlib
 from fractions import Fraction
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +43,9 @@ BANDS, BAND_BINS = 4, 6
 SLACK = 0.04
 #: Rows of a side table up to which it is broadcast (at most about 40 bytes a row); beyond that the join shuffles.
 BROADCAST_ROWS = 400_000
-_SIGN = "kind int, id long, sig long, n int, bands array<long>, part int, counts binary"
+#: 64-bit words of a text's parity sketch: every shingle flips one of its bits, so two sketches differ in at most as many bits as the sets in shingles.
+SKETCH_WORDS = 8
+_SIGN = "kind int, id long, sig long, n int, bands array<long>, sketch array<long>, part int, counts binary"
 
 
 def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
@@ -64,7 +67,7 @@ def _signatures(k: int):
 
     def run(batches):
         cells = np.zeros(1 << CELL_BITS, dtype=np.uint32)
-        schema = pa.schema([("kind", pa.int32()), ("id", pa.int64()), ("sig", pa.int64()), ("n", pa.int32()), ("bands", pa.list_(pa.int64())), ("part", pa.int32()), ("counts", pa.binary())])
+        schema = pa.schema([("kind", pa.int32()), ("id", pa.int64()), ("sig", pa.int64()), ("n", pa.int32()), ("bands", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64())), ("part", pa.int32()), ("counts", pa.binary())])
         some = False
         for batch in batches:
             ids, texts = _texts(batch)
@@ -85,11 +88,14 @@ def _signatures(k: int):
                 for b in range(BANDS):
                     for j in range(BAND_BINS):
                         bands[:, b] = K.mix(bands[:, b] * _U(31) + minima[has, b * BAND_BINS + j] + _U(b + 1))
-                size = len(has)
+                size, wide = len(has), SKETCH_WORDS * 64
+                flips = np.bincount(d * wide + (K.mix(h) % _U(wide)).astype(np.int64), minlength=m * wide).astype(np.uint8) & 1
+                sketch = np.packbits(flips.reshape(m, wide)[has], axis=1).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.zeros(size, np.int32)), pa.array(ids[lo + has]), pa.array(sig.view(np.int64)), pa.array(n[has].astype(np.int32)),
-                        pa.ListArray.from_arrays(np.arange(0, (size + 1) * BANDS, BANDS, dtype=np.int32), pa.array(bands.ravel().view(np.int64))), pa.nulls(size, pa.int32()), pa.nulls(size, pa.binary()),
+                        pa.ListArray.from_arrays(np.arange(0, (size + 1) * BANDS, BANDS, dtype=np.int32), pa.array(bands.ravel().view(np.int64))),
+                        pa.ListArray.from_arrays(np.arange(0, (size + 1) * SKETCH_WORDS, SKETCH_WORDS, dtype=np.int32), pa.array(sketch.ravel())), pa.nulls(size, pa.int32()), pa.nulls(size, pa.binary()),
                     ],
                     schema=schema,
                 )
@@ -97,7 +103,7 @@ def _signatures(k: int):
             step = len(cells) // PARTS
             blobs = [zlib.compress(cells[i * step : (i + 1) * step].tobytes(), 1) for i in range(PARTS)]
             null = [pa.nulls(PARTS, f.type) for f in schema]
-            yield pa.RecordBatch.from_arrays([pa.array(np.ones(PARTS, np.int32)), *null[1:5], pa.array(np.arange(PARTS, dtype=np.int32)), pa.array(blobs, pa.binary())], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(np.ones(PARTS, np.int32)), *null[1:6], pa.array(np.arange(PARTS, dtype=np.int32)), pa.array(blobs, pa.binary())], schema=schema)
 
     return run
 
@@ -233,6 +239,16 @@ def _near(theta: float):
     return run
 
 
+def admissible(pairs: DataFrame, sketches: DataFrame, theta: float) -> DataFrame:
+    """The pairs (a, b) that sizes and parity sketches (id, n, sketch) don't rule out; no near pair is ruled out."""
+    x, y = (sketches.select(F.col("id").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"s{c}")) for c in "ab")
+    both = pairs.join(x, "a").join(y, "b")
+    differ = F.aggregate(F.zip_with("sa", "sb", lambda u, v: F.bit_count(u.bitwiseXOR(v))), F.lit(0), lambda t, v: t + v)
+    total = F.col("na") + F.col("nb")
+    need = F.ceil(F.lit(theta / (1 + theta)) * total - 1e-9)
+    return both.where((F.least("na", "nb") >= F.lit(theta) * F.greatest("na", "nb") - 1e-9) & (differ <= total - 2 * need)).select("a", "b")
+
+
 def verify_pairs(pairs: DataFrame, texts: DataFrame, k: int, theta: float) -> DataFrame:
     """The pairs (a, b) of ids whose texts are near, exactly.  Only the texts named in a pair are read into sets."""
     named = materialize(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "named")
@@ -241,59 +257,87 @@ def verify_pairs(pairs: DataFrame, texts: DataFrame, k: int, theta: float) -> Da
     return joined.select("a", "b", "sa", "sb").mapInArrow(_near(theta), "a long, b long")
 
 
-def near_duplicate_groups(texts: DataFrame, k: int = 5, theta: float = 0.8) -> DataFrame:
-    """Groups of near texts.
+class Signed(NamedTuple):
+    """What the signature and partition steps give: classes(id, rep, copies, sig, n, bands, sketch), the broadcast shingle ranks,
+    star links (a, b) and the partition (node, root) of the representatives that have one."""
 
-    ``texts(id, text)``: id a bigint without repeats; rows with a null id are left out.  Further columns are ignored.
-    Returns (id, grp) of every row in a group of two or more; grp is the smallest id of the group.  Rows with the
-    same shingle set are one class and always share a group.
-    """
+    texts: DataFrame
+    classes: DataFrame
+    ranks: object
+    star_links: DataFrame
+    parts: DataFrame
+
+
+def sign(texts: DataFrame, k: int, theta: float) -> Signed:
+    """Steps 1 and 2 over ``texts(id, text)``."""
     texts = texts.select(F.col("id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).where("id is not null")
-    spark = texts.sparkSession
     signed = materialize(texts.mapInArrow(_signatures(k), _SIGN), "signed")
     docs = signed.where("kind = 0")
     classes = docs.groupBy("sig", "n").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
-    classes = materialize(docs.select("id", "sig", "n", "bands").join(classes, ["sig", "n"]), "classes")
-    reps = classes.where("id = rep")
+    classes = materialize(docs.select("id", "sig", "n", "bands", "sketch").join(classes, ["sig", "n"]), "classes")
 
     cells = signed.where("kind = 1").select("part", "counts").repartition(PARTS, "part").mapInArrow(_add_counts, "part int, ranks binary").collect()  # 64 rows, 1 MB in all, whatever the input
     ranks = np.zeros(1 << CELL_BITS, dtype=np.uint8)
     step = len(ranks) // PARTS
     for row in cells:
         ranks[row.part * step : (row.part + 1) * step] = np.frombuffer(row.ranks, np.uint8)
-    table = spark.sparkContext.broadcast(ranks.tobytes())
+    table = texts.sparkSession.sparkContext.broadcast(ranks.tobytes())
 
     # Partition: each text of a band against the band's first.
+    reps = classes.where("id = rep")
     banded = reps.select("id", F.posexplode("bands").alias("b", "v"))
     leaders = banded.groupBy("b", "v").agg(F.min("id").alias("a"), F.count("*").alias("m")).where("m > 1").select("b", "v", "a")
-    stars = materialize(banded.join(leaders, ["b", "v"]).where("id <> a").select("a", F.col("id").alias("b")).distinct(), "stars")
+    met = banded.join(leaders, ["b", "v"]).where("id <> a").select("a", F.col("id").alias("b")).distinct()
+    stars = materialize(admissible(met, reps.select("id", "n", "sketch"), theta), "stars")
     star_links = materialize(verify_pairs(stars, texts, k, theta), "starlinks")
-    parts = materialize(components(star_links), "groups")  # node, root
+    return Signed(texts, classes, table, star_links, materialize(components(star_links), "groups"))
+
+
+def matrix_links(signed: Signed, k: int, theta: float, leave_out: DataFrame | None = None) -> DataFrame:
+    """Steps 3 and 4: links (a, b) between representatives of different groups; representatives in ``leave_out(id)`` take no part."""
+    texts, classes, parts = signed.texts, signed.classes, signed.parts
     sizes = parts.groupBy("root").agg(F.count("*").cast("int").alias("csize"))
-    special = materialize(
-        classes.where("id <> rep").select("id", F.lit(None).cast("long").alias("comp"), F.lit(0).alias("csize")).union(parts.join(sizes, "root").select(F.col("node"), F.col("root"), "csize")), "special"
-    )
+    grouped = parts.join(sizes, "root").select(F.col("node").alias("id"), F.col("root").alias("comp"), "csize")
+    special = classes.where("id <> rep").select("id", F.lit(None).cast("long").alias("comp"), F.lit(0).alias("csize"))
+    if leave_out is not None:
+        grouped = grouped.join(leave_out, "id", "left_anti")
+        special = special.union(leave_out.select("id", F.lit(None).cast("long"), F.lit(0)))
+    special = materialize(special.union(grouped), "special")
 
-    # Matrix of the representatives' rarest shingles.
     reading = texts.join(small(special), "id", "left").where("csize is null or csize > 0").select("id", "text", F.coalesce("comp", "id").alias("comp"), F.coalesce("csize", F.lit(1)).alias("csize"))
-    posted = reading.mapInArrow(_postings(k, theta, table), "h long, id long, comp long, meta int, csize int")
+    posted = reading.mapInArrow(_postings(k, theta, signed.ranks), "h long, id long, comp long, meta int, csize int")
     met = posted.repartition("h").mapInArrow(_meetings(theta), "q long, g long, n int, c int")
     open_ = met.groupBy("q", "g").agg(F.sum("c").alias("c"), F.max("n").alias("n")).where(F.col("c") >= 1 + F.floor(F.lit(SLACK * theta) * F.col("n"))).select("q", "g")
-    opened = materialize(open_.join(parts.select(F.col("root").alias("g"), "node"), "g", "left").select(F.col("q").alias("a"), F.coalesce("node", "g").alias("b")), "opened")
-    links = star_links.union(verify_pairs(opened, texts, k, theta))
-    roots = components(links)
+    members = open_.join(grouped.select(F.col("comp").alias("g"), F.col("id").alias("node")), "g", "left").select(F.col("q").alias("a"), F.coalesce("node", "g").alias("b"))
+    opened = materialize(admissible(members, classes.where("id = rep").select("id", "n", "sketch"), theta), "opened")
+    return verify_pairs(opened, texts, k, theta)
 
+
+def groups_of(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """(id, grp) of every row in a group of two or more, from classes and links between representatives."""
+    roots = components(links)
     by_class = classes.where("copies > 1").select("id", "rep").union(roots.select(F.col("node").alias("id"), F.col("node").alias("rep"))).distinct()
     return by_class.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left").select("id", F.coalesce("root", "rep").alias("grp"))
 
 
+def near_duplicate_groups(texts: DataFrame, k: int = 5, theta: float = 0.8) -> DataFrame:
+    """Groups of near texts.
+
+    ``texts(id, text)``: id a bigint without repeats; rows with a null id are left out.  Further columns are ignored.
+    Returns (id, grp) of every row in a group of two or more; grp is the smallest id of the group.  Rows with the
+    same shingle set are one class and always share a group.
+    """
+    signed = sign(texts, k, theta)
+    return groups_of(signed.classes, signed.star_links.union(matrix_links(signed, k, theta)))
+
+
 def group_pairs(groups: DataFrame) -> DataFrame:
     """The pairs (seq_lo, seq_hi) of ids that share a group."""
     x, y = groups.select(F.col("id").alias("seq_lo"), "grp"), groups.select(F.col("id").alias("seq_hi"), "grp")
     return x.join(y, "grp").where("seq_lo < seq_hi").select("seq_lo", "seq_hi")
 
 
-def record_texts(records: DataFrame) -> DataFrame:
+def record_texts(records: DataFrame, *further: str) -> DataFrame:
     """(id, text) of conversation records: the contents of user and assistant messages in order, joined by a line feed; null contents are skipped."""
     said = F.filter("messages", lambda m: m["role"].isin("user", "assistant"))
-    return records.select(F.col("input_seq").alias("id"), F.array_join(F.transform(said, lambda m: m["content"]), "\n").alias("text"))
+    return records.select(F.col("input_seq").alias("id"), F.array_join(F.transform(said, lambda m: m["content"]), "\n").alias("text"), *further)
