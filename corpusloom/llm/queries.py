@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import broken_pairs, encoding, leakage, near_duplicates, neighbours, packing, splits, subjects
+from corpusloom.llm import broken_pairs, cross_splits, encoding, leakage, near_duplicates, neighbours, packing, splits, subjects
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,30 @@ def _read(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def _p1_members(spark: SparkSession, d: str) -> list[tuple[str, DataFrame, str]]:
+    records, samples = _read(spark, d, "sft_records"), _read(spark, d, "samples")
+    told = near_duplicates.record_texts(records.withColumn("side", F.col("split")), "side").withColumnRenamed("side", "split")
+    files = samples.select(F.col("sample_seq").alias("id"), splits.preset_key(F.col("gt_preset_path")).alias("file"), "split").where("file is not null")
+    return [("sft_records", cross_splits.cross_split_groups(told, k=3, theta=0.6), "grp"), ("samples", files, "file")]
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    """(tbl, seq_lo, seq_hi): pairs of rows across train and the other splits that are near-same records or name the same preset file."""
+    parts = [cross_splits.cross_pairs(m, key).select(F.lit(t).alias("tbl"), "seq_lo", "seq_hi") for t, m, key in _p1_members(spark, d)]
+    return parts[0].union(parts[1])
+
+
+def p1_report(spark: SparkSession, d: str) -> DataFrame:
+    """(tbl, split, source, n_rows): held-out rows with an overlapping row in train, by split and source."""
+    out = []
+    for (t, members, key), (name, seq) in zip(_p1_members(spark, d), (("sft_records", "input_seq"), ("samples", "sample_seq")), strict=True):
+        in_train = members.where("split = 'train'").select(key).distinct()
+        hit = members.where("split in ('val', 'test')").join(in_train, key, "left_semi").select("id", "split")
+        sources = _read(spark, d, name).select(F.col(seq).alias("id"), "source")
+        out.append(hit.join(sources, "id").groupBy(F.lit(t).alias("tbl"), "split", "source").agg(F.count("*").alias("n_rows")))
+    return out[0].union(out[1])
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     """(first_seq, other_seq): of each set of samples that must share a split, the smallest with every other."""
     return splits.sample_sets(_read(spark, d, "samples")).where("node <> root").select(F.col("root").alias("first_seq"), F.col("node").alias("other_seq"))
@@ -94,7 +118,7 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
-        "p2_found": p2_found, "p2_assignment": p2_assignment, "p3_found": p3_found, "p4_containers": p4_containers, "p5_found": p5_found, "p5_groups": p5_groups,
+        "p1_found": p1_found, "p1_report": p1_report, "p2_found": p2_found, "p2_assignment": p2_assignment, "p3_found": p3_found, "p4_containers": p4_containers, "p5_found": p5_found, "p5_groups": p5_groups,
         "p6_found": p6_found, "p6_defects": p6_defects, "p7_ids": p7_ids, "p8_found": p8_found, "p9_found": p9_found,
     }
 
