@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from corpusloom.plans import queries_curation
+
 Query = Callable[[SparkSession, str], DataFrame]
+_MODULES = (queries_curation,)
 
 
 def queries() -> dict[str, Query]:
-    return {}
+    return {name: q for m in _MODULES for name, q in m.Q.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: q for m in _MODULES for name, q in m.SQL.items()}
