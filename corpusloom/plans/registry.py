@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.plans import queries_curation
+from corpusloom.plans import queries_curation, queries_sequences
 
 Query = Callable[[SparkSession, str], DataFrame]
-_MODULES = (queries_curation,)
+_MODULES = (queries_curation, queries_sequences)
 
 
 def queries() -> dict[str, Query]:
