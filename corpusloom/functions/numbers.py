@@ -38,7 +38,8 @@ def norm(a: Column) -> Column:
 
 
 def cosine(a: Column, b: Column) -> Column:
-    return dot(a, b) / (norm(a) * norm(b))
+    """Null for a zero vector."""
+    return F.try_divide(dot(a, b), norm(a) * norm(b))
 
 
 def normalise_range(x: Column, low: Column, high: Column) -> Column:

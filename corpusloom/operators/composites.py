@@ -93,7 +93,8 @@ def set_recovery(truth: Column, found: Column) -> list[Column]:
 def mix_file(names: Column) -> Column:
     """The name whose stem is first in the priority list, else the smallest that contains ``mix``, else null."""
     stem = lambda n: F.regexp_replace(F.lower(n), r"\.[^.]*$", "")
-    found = [F.try_element_at(F.filter(names, lambda n, m=m: stem(n) == m), F.lit(-1)) for m in MIX_NAMES]
+    named = lambda m: F.try_element_at(F.filter(names, lambda n: stem(n) == m), F.lit(-1))
+    found = [named(m) for m in MIX_NAMES]
     return F.coalesce(*found, F.array_min(F.filter(names, lambda n: F.contains(stem(n), F.lit("mix")))))
 
 

@@ -7,7 +7,8 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _folders: list[str] = []
 
@@ -38,6 +39,13 @@ def materialize(df: DataFrame, name: str = "t") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def materialize_counted(df: DataFrame, name: str = "t") -> tuple[DataFrame, int]:
+    """``materialize`` and the number of rows written, counted in the same job."""
+    seen = Observation()
+    written = materialize(df.observe(seen, F.count(F.lit(1)).alias("n")), name)
+    return written, int(seen.get["n"])
+
+
 @atexit.register
 def _remove() -> None:
     for p in _folders:

@@ -28,7 +28,7 @@ def read_jsonl(spark: SparkSession, paths: str | list[str], schema: str, on_bad:
 
 def with_line_numbers(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """(src_file, seq, value): the lines of text files in file order; each file is read whole, so this suits manifests, not corpora."""
-    t = spark.read.option("wholetext", "true").text(paths).select(F.col("_metadata.file_path").alias("src_file"), "value")
+    t = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("src_file"), "value")
     return t.select("src_file", F.posexplode(F.split("value", "\n")).alias("seq", "value")).where(F.trim("value") != "")
 
 
