@@ -3,7 +3,7 @@
 The distinct texts of the evaluation splits are cut into shards of bounded length.  Of each shard a
 full-text index over words is built: the suffixes in order of their first ``DEPTH`` words, the symbol
 before each (the transform, kept as the sorted places of every symbol), and the record of each suffix.
-All other texts stream through backward search.  The interval of a run of ``k`` words gives its
+All texts stream through backward search.  The interval of a run of ``k`` words gives its
 frequency in the shard, so of a text with n distinct runs the rarest n - ceil(theta * n) + 1 and a few
 more are located; a record at the threshold must be among them more than a few times.  For such a
 record the matched runs are merged into spans, counted, and the similarity is checked exactly.
@@ -27,8 +27,8 @@ from corpusloom.plans.workspace import materialize
 
 _U = np.uint64
 DEPTH = 16
-#: Words of an index shard, about: 16 bytes a word, so a broadcast shard stays near 64 MB.  A longer text is a shard of its own.
-SHARD_WORDS = 4_000_000
+#: Words of an index shard, about: 16 bytes a word, so a shard that a Python worker holds stays near 80 MB.
+SHARD_WORDS = 5_000_000
 SLACK = 0.04
 
 
@@ -58,27 +58,49 @@ class TextIndex:
             key = rank * (int(rank.max()) + 1 if len(rank) else 1) + after
             _, rank = np.unique(key, return_inverse=True)
             depth *= 2
+            del after, key
         order = np.argsort(rank, kind="stable")
+        del rank
         self.record = (np.searchsorted(self.start, order, side="right") - 1).astype(np.int32)
         before = text[order - 1]  # of the first suffix: the last separator
         self.first = np.concatenate(([0], np.cumsum(np.bincount(text, minlength=len(self.vocabulary) + 1)))).astype(np.int64)
         self.size = len(text)
         self.places = np.sort(before * self.size + np.arange(self.size))
 
+    def rows(self):
+        """The arrays in pieces of 4 MB: (name, dtype, piece, bytes)."""
+        for name, a in vars(self).items():
+            a = np.atleast_1d(a)
+            raw = a.tobytes()
+            for i in range(0, max(1, len(raw)), 4 << 20):
+                yield name, a.dtype.str, i >> 22, raw[i : i + (4 << 20)]
+
+    @classmethod
+    def of_rows(cls, rows) -> TextIndex:
+        new = cls.__new__(cls)
+        pieces: dict[str, list] = {}
+        for name, dtype, i, raw in rows:
+            pieces.setdefault(name, []).append((i, dtype, raw))
+        for name, parts in pieces.items():
+            parts.sort()
+            value = np.frombuffer(b"".join(p[2] for p in parts), dtype=parts[0][1])
+            setattr(new, name, int(value[0]) if name == "size" else value)
+            parts.clear()
+        return new
+
     def symbols(self, words: np.ndarray) -> np.ndarray:
         """Symbols of word hashes; 0 for words that the index lacks."""
         at = np.minimum(np.searchsorted(self.vocabulary, words), max(0, len(self.vocabulary) - 1))
         return np.where(self.vocabulary[at] == words, at + 1, 0) if len(self.vocabulary) else np.zeros(len(words), np.int64)
 
-    def intervals(self, symbols: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Backward search of the k symbols from every place: interval [lo, hi) of suffixes, empty if there is none."""
-        n = len(symbols) - k + 1
-        last = symbols[k - 1 :]
-        lo, hi = self.first[last].copy(), self.first[last + 1].copy()
-        hi[last == 0] = lo[last == 0]
+    def intervals(self, symbols: np.ndarray, k: int, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Backward search of the k symbols from each given place: interval [lo, hi) of suffixes, empty if there is none."""
+        last = symbols[at + k - 1]
+        lo, hi = self.first[last], self.first[last + 1]
+        hi = np.where(last == 0, lo, hi)
         for j in range(k - 2, -1, -1):
             live = np.flatnonzero(lo < hi)
-            c = symbols[j : j + n][live]
+            c = symbols[at[live] + j]
             base = c * self.size
             new_lo = np.searchsorted(self.places, base + lo[live])
             new_hi = np.searchsorted(self.places, base + hi[live])
@@ -103,12 +125,29 @@ def _spans(hit: np.ndarray, k: int) -> tuple[int, int]:
     return len(lo), int((at[hi] - at[lo] + k).sum())
 
 
-def _stream(index, k: int, theta: float):
+def _load(path: str, shard: int) -> TextIndex:
+    """The index of a shard from the table in the shared folder."""
+    import pyarrow.dataset as ds
+    from pyarrow import fs
+
+    system, inner = fs.FileSystem.from_uri(path if ":" in path else "file://" + path)
+    table = ds.dataset(inner, filesystem=system, format="parquet", exclude_invalid_files=True).to_table(filter=ds.field("shard") == shard)
+    return TextIndex.of_rows(zip(*(table.column(c).to_pylist() for c in ("name", "dtype", "piece", "raw")), strict=True))
+
+
+_held: dict[tuple[str, int], TextIndex] = {}
+
+
+def _stream(path: str, shard: int, k: int, theta: float, ranks):
     """Map (id, text, comp) to (a, b, shared, spans, words): near records of the index, one of each group that is not the text's own."""
     t = Fraction(theta).limit_denominator(10_000)
 
     def run(batches):
-        found = index.value
+        if (path, shard) not in _held:
+            _held.clear()
+            _held[path, shard] = _load(path, shard)
+        found = _held[path, shard]
+        rank = np.frombuffer(ranks.value, dtype=np.uint8)
         cache: dict[int, np.ndarray] = {}
         for batch in batches:
             ids, texts, comp = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist(), batch.column(2).to_numpy(zero_copy_only=False)
@@ -118,28 +157,30 @@ def _stream(index, k: int, theta: float):
                 if len(words) < k:
                     continue
                 runs, run_doc = K.shingle_hashes(words, doc, k)
+                if not len(runs):
+                    continue
                 same = np.flatnonzero(doc[: len(words) - k + 1] == doc[k - 1 :])
-                left, right = found.intervals(found.symbols(words), k)
-                left, right = left[same], right[same]
-                # Distinct runs of each text, the rarest first.
-                order = np.lexsort((runs, run_doc))
-                one = np.ones(len(order), dtype=bool)
-                one[1:] = (runs[order][1:] != runs[order][:-1]) | (run_doc[order][1:] != run_doc[order][:-1])
-                pick = order[one]
+                # Distinct runs of each text, those first that are rare in the whole corpus: any n - ceil(theta n) + 1 of them would do.
+                low = runs >> _U(64 - K.HASH_BITS)
+                key = (run_doc.astype(_U) << _U(48)) | (rank[(low >> _U(K.HASH_BITS - nd.CELL_BITS)).astype(np.int64)].astype(_U) << _U(40)) | (low & _U((1 << 40) - 1))
+                order = np.argsort(key)
+                key = key[order]
+                pick = order[np.concatenate(([True], key[1:] != key[:-1]))]
                 n = np.bincount(run_doc[pick], minlength=hi - lo)
-                width = right[pick] - left[pick]
-                pick = pick[np.lexsort((width, run_doc[pick]))]
                 place = np.arange(len(pick)) - np.repeat(np.concatenate(([0], np.cumsum(n)[:-1])), n)
                 slack = (SLACK * n).astype(np.int64)
                 most = np.minimum(n, n - np.ceil(theta * n - 1e-9).astype(np.int64) + 1 + slack)
                 pick = pick[place < most[run_doc[pick]]]
-                pick = pick[right[pick] > left[pick]]
+                left, right = found.intervals(found.symbols(words), k, same[pick])
+                has = right > left
+                pick, left, w = pick[has], left[has], (right - left)[has]
                 if not len(pick):
                     continue
-                w = right[pick] - left[pick]
-                rows = np.repeat(left[pick], w) + (np.arange(w.sum()) - np.repeat(np.cumsum(w) - w, w))
-                key = np.unique(np.stack((np.repeat(run_doc[pick], w), found.record[rows].astype(np.int64), np.repeat(np.arange(len(pick)), w))), axis=1)[:2]
-                pair, count = np.unique(key[0] * len(found.ids) + key[1], return_counts=True)
+                rows = np.repeat(left, w) + (np.arange(w.sum()) - np.repeat(np.cumsum(w) - w, w))
+                # One count for each distinct run of the text that the record holds.
+                pair = np.repeat(run_doc[pick], w) * len(found.ids) + found.record[rows]
+                pair = np.unique(pair * len(pick) + np.repeat(np.arange(len(pick)), w)) // len(pick)
+                pair, count = np.unique(pair, return_counts=True)
                 x, e = pair // len(found.ids), pair % len(found.ids)
                 ok = (count > slack[x]) & (found.groups[e] != comp[lo + x]) & (found.ids[e] != ids[lo + x])
                 x, e, count = x[ok], e[ok], count[ok]
@@ -165,23 +206,27 @@ def _stream(index, k: int, theta: float):
     return run
 
 
-def evaluation_links(texts: DataFrame, held_out: DataFrame, k: int, theta: float) -> DataFrame:
+def evaluation_links(texts: DataFrame, held_out: DataFrame, k: int, theta: float, ranks) -> DataFrame:
     """(a, b, shared, spans, words): links of ``texts(id, text, comp)`` to the records named in ``held_out(id)``; of every group (comp) of those at most the best is reported a text.
 
-    Shards are numbered by running word counts over hash ranges, and indexed and streamed one after the other.
+    ``ranks``: the broadcast shingle ranks of ``near_duplicates.sign``.  Tasks build the shards and write them to the shared folder, where the
+    tasks that stream the texts read them; the driver holds none.  Texts are streamed once a shard.
     """
-    spark = texts.sparkSession
     chosen = materialize(texts.join(nd.small(held_out), "id", "left_semi"), "heldout")
     total = chosen.agg(F.sum(F.length("text"))).first()[0] or 0
     shards = max(1, -(-int(total / 5.5) // SHARD_WORDS))
-    parts = []
-    for i in range(shards):
-        mine = chosen.where(F.pmod(F.xxhash64("id"), F.lit(shards)) == i).toArrow()  # one shard: bounded by SHARD_WORDS
-        index = TextIndex(mine.column("text").to_pylist(), mine.column("id").to_numpy(), mine.column("comp").to_numpy())
-        sent = spark.sparkContext.broadcast(index)
-        del mine, index
-        parts.append(materialize(texts.mapInArrow(_stream(sent, k, theta), "a long, b long, shared long, spans long, words long"), "overlaps"))
-        sent.unpersist()
+    def build(shard: pa.Table) -> pa.Table:
+        index = TextIndex(shard.column("text").to_pylist(), shard.column("id").to_numpy(), shard.column("comp").to_numpy())
+        number = shard.column("shard")[0].as_py()
+        names, kinds, places, raw = zip(*index.rows(), strict=True)
+        return pa.table({"shard": pa.array([number] * len(names), pa.int32()), "name": names, "dtype": kinds, "piece": pa.array(places, pa.int32()), "raw": pa.array(raw, pa.binary())})
+
+    sharded = chosen.select("id", "text", "comp", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("shard"))
+    built = materialize(sharded.groupBy("shard").applyInArrow(build, "shard int, name string, dtype string, piece int, raw binary"), "index")
+    path = built.inputFiles()[0].rsplit("/", 1)[0] if total else ""
+    parts = [materialize(texts.mapInArrow(_stream(path, i, k, theta, ranks), "a long, b long, shared long, spans long, words long"), "overlaps") for i in range(shards if total else 0)]
+    if not parts:
+        return texts.select(*[F.lit(0).cast("long").alias(c) for c in ("a", "b", "shared", "spans", "words")]).where("false")
     out = parts[0]
     for p in parts[1:]:
         out = out.union(p)
@@ -202,7 +247,7 @@ def cross_split_groups(records: DataFrame, k: int = 5, theta: float = 0.8, train
     copies = materialize(signed.classes.where("id <> rep").select("id", F.lit(True).alias("copy")), "copies")
     parts = signed.parts.select(F.col("node").alias("id"), F.col("root").alias("comp"))
     reading = signed.texts.join(nd.small(copies), "id", "left").where("copy is null").join(nd.small(parts), "id", "left").select("id", "text", F.coalesce("comp", "id").alias("comp")).where("text is not null")
-    outer = evaluation_links(reading, held_reps, k, theta)
+    outer = evaluation_links(reading, held_reps, k, theta, signed.ranks)
     groups = nd.groups_of(signed.classes, signed.star_links.union(inner).union(outer.select("a", "b")))
     return groups.join(records.select("id", "split"), "id")
 
