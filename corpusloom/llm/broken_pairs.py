@@ -57,7 +57,7 @@ _REFUSALS = re.compile(
             r"\bi'm (?:unable|not able) to (?!raise|lower|reach)", r"\bi (?:won't|will not) (?:help|assist|answer|judge|do|provide|comply|work)", r"\bi (?:must|have to|need to) (?:decline|refuse) (?:to\b|this|your|the request)",
             r"\bi (?:decline|refuse) to\b", r"\bi would rather not\b", r"\bi'd rather not\b", r"\bi (?:don't|do not) have the (?:ability|means|tools)", r"\bi have no (?:way|access|means|ability)", r"\bnot possible for me to\b",
             r"\b(?:isn't|is not|not) something i can\b", r"\bbeyond what i can\b", r"\boutside what i (?:do|can)\b", r"\bno answer can be given\b", r"\bagainst my guidelines\b", r"^as an ai\b[^.]*\b(?:can't|cannot|unable|not)\b",
-            r"\b(?:kann|könnte|darf|möchte|werde) ich (?:dir |ihnen |euch )?(?:leider )?nicht\b", r"\bich (?:kann|darf|möchte|werde) (?:dir |ihnen |das |dies |dabei |darauf |hier |leider )*nicht\b", r"\bist (?:es )?mir (?:leider )?nicht möglich\b", r"\bes ist mir nicht möglich\b", r"\bich bin (?:leider )?nicht in der lage\b", r"\bmuss ich (?:leider )?ablehnen\b",
+            r"\b(?:kann|könnte|darf|möchte|werde) ich (?:dir |ihnen |euch |das |dies |dabei |hier |darauf |leider |es )*nicht\b", r"\bich (?:kann|darf|möchte|werde) (?:dir |ihnen |das |dies |dabei |darauf |hier |leider )*nicht\b", r"\bist (?:es )?mir (?:leider )?nicht möglich\b", r"\bes ist mir nicht möglich\b", r"\bich bin (?:leider )?nicht in der lage\b", r"\bmuss ich (?:leider )?ablehnen\b",
             r"\bje ne (?:peux|puis|saurais) (?:malheureusement )?(?:pas\b)?", r"\bje ne suis pas (?:en mesure|capable|autorisé)", r"\bm'est impossible\b", r"\bimpossible (?:pour moi )?de répondre\b", r"\bje (?:dois|préfère) (?:refuser|décliner|ne pas)\b", r"\bje refuse de\b",
             r"\bno (?:puedo|podré|podría) (?:ayudar|responder|escuchar|juzgar|opinar|hacer|decir|procesar|contestar|abrir|evaluar)", r"\bme es imposible\b", r"\bno (?:soy|estoy) (?:capaz|en condiciones)\b", r"\bdebo (?:rechazar|negarme)\b", r"\bprefiero no\b",
             r"\bnon (?:posso|sono in grado)\b", r"\bnão (?:posso|consigo) (?:ajudar|responder|ouvir|avaliar)",

@@ -47,7 +47,8 @@ def related_sets(rows: DataFrame, keys: list[Column], id_col: str = "seq") -> Da
 
     Null or empty keys link nothing; equal strings of different keys are different.
     """
-    tagged = [F.transform(F.coalesce(k, F.array().cast("array<string>")), lambda v, i=i: F.concat(F.lit(f"{i}:"), v)) for i, k in enumerate(keys)]
+    tag = lambda k, i: F.transform(F.coalesce(k, F.array().cast("array<string>")), lambda v: F.concat(F.lit(f"{i}:"), v))
+    tagged = [tag(k, i) for i, k in enumerate(keys)]
     held = rows.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("seq"), F.explode(F.array_distinct(F.concat(*tagged))).alias("k")).where("k is not null")
     held = materialize(held, "keys")
     first = held.groupBy("k").agg(F.min("seq").alias("a"), F.count("*").alias("m")).where("m > 1").select("k", "a")
