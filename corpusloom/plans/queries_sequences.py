@@ -30,7 +30,7 @@ def messages(spark: SparkSession, d: str) -> DataFrame:
     return windows.messages_long(read(spark, d, "sft_records"), "input_seq")
 
 
-_M = "m as (select input_seq, x.i as i, x.role as role, x.c as content from (select input_seq, unnest(list_transform(range(1, len(messages) + 1), lambda i: {'i': i - 1, 'role': messages[i].role, 'c': messages[i].content})) as x from sft_records))"
+_M = "m as (select input_seq, x.i as i, x.role as role, x.c as content from (select input_seq, unnest(list_transform(range(1, len(messages) + 1), lambda i: {'i': (i - 1)::int, 'role': messages[i].role, 'c': messages[i].content})) as x from sft_records))"
 
 
 @query("select o_orderkey, o_orderstatus, c_custkey is null as orphan from orders left join customer on o_custkey = c_custkey")
