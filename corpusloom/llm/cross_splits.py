@@ -3,10 +3,10 @@
 The distinct texts of the evaluation splits are cut into shards of bounded length.  Of each shard a
 full-text index over words is built: the suffixes in order of their first ``DEPTH`` words, the symbol
 before each (the transform, kept as the sorted places of every symbol), and the record of each suffix.
-All texts stream through backward search.  The interval of a run of ``k`` words gives its
-frequency in the shard, so of a text with n distinct runs the rarest n - ceil(theta * n) + 1 and a few
-more are located; a record at the threshold must be among them more than a few times.  For such a
-record the matched runs are merged into spans, counted, and the similarity is checked exactly.
+All texts stream through backward search: of a text with n distinct runs of ``k`` words the
+n - ceil(theta * n) + 1 that are rarest in the corpus, and a few more, are searched and located, which is
+enough: a record at the threshold holds at least one of any so many runs, and more than a few of a few
+more.  For such a record the matched runs are merged into spans, counted, and the similarity is checked exactly.
 
 Groups are closed over nearness, so links between training records matter too; those, and only
 those, come from the token-group matrix of ``near_duplicates``.
@@ -27,7 +27,7 @@ from corpusloom.plans.workspace import materialize
 
 _U = np.uint64
 DEPTH = 16
-#: Words of an index shard, about: 16 bytes a word, so a shard that a Python worker holds stays near 80 MB.
+#: Words of an index shard, about: 16 bytes a word, so a shard that a Python worker holds stays near 80 MB.  Texts are spread by hash and never cut.
 SHARD_WORDS = 5_000_000
 SLACK = 0.04
 
@@ -125,17 +125,19 @@ def _spans(hit: np.ndarray, k: int) -> tuple[int, int]:
     return len(lo), int((at[hi] - at[lo] + k).sum())
 
 
-def _load(path: str, shard: int) -> TextIndex:
-    """The index of a shard from the table in the shared folder."""
+def _load(path: str, shard: int) -> TextIndex | None:
+    """The index of a shard from the table in the shared folder; null if no text fell into it."""
     import pyarrow.dataset as ds
     from pyarrow import fs
 
     system, inner = fs.FileSystem.from_uri(path if ":" in path else "file://" + path)
     table = ds.dataset(inner, filesystem=system, format="parquet", exclude_invalid_files=True).to_table(filter=ds.field("shard") == shard)
+    if not table.num_rows:
+        return None
     return TextIndex.of_rows(zip(*(table.column(c).to_pylist() for c in ("name", "dtype", "piece", "raw")), strict=True))
 
 
-_held: dict[tuple[str, int], TextIndex] = {}
+_held: dict[tuple[str, int], TextIndex | None] = {}
 
 
 def _stream(path: str, shard: int, k: int, theta: float, ranks):
@@ -147,6 +149,8 @@ def _stream(path: str, shard: int, k: int, theta: float, ranks):
             _held.clear()
             _held[path, shard] = _load(path, shard)
         found = _held[path, shard]
+        if found is None:
+            return
         rank = np.frombuffer(ranks.value, dtype=np.uint8)
         cache: dict[int, np.ndarray] = {}
         for batch in batches:

@@ -85,3 +85,13 @@ def test_index_counts_runs():
     lo, hi = back.intervals(back.symbols(word_hashes(["a b c d z a b"])[0]), 3, np.arange(5))
     assert (hi - lo).tolist() == [2, 2, 0, 0, 0]
     assert sorted(back.record[lo[1] : hi[1]].tolist()) == [0, 1]
+
+
+def test_several_shards_give_the_same(spark, monkeypatch):
+    monkeypatch.setattr(cs, "SHARD_WORDS", 100)
+    rows = corpus()[:60] + [(500, "only one w1 w2 w3"), (501, None)]
+    df = spark.createDataFrame([(i, t, ["train", "test"][i % 2]) for i, t in rows], "id long, text string, split string")
+    got = {(r.id, r.grp) for r in cs.cross_split_groups(df, k=3, theta=0.6).collect()}
+    assert got == brute(rows, 3, 6, 10)
+    assert cs.cross_split_groups(df.where("false")).count() == 0
+    assert cs.cross_split_groups(df.where("split = 'train'"), k=3, theta=0.6).count() > 0
