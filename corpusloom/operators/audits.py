@@ -81,7 +81,7 @@ def drawn_bars(key: Column, least: int, most: int) -> Column:
     return (F.conv(F.substring(F.md5(key), 1, 2), 16, 10).cast("int") % (most - least + 1)) + least
 
 
-def opencode_errors(ident: Column, messages: Column, audios: Column, tools: list[str]) -> Column:
+def agent_record_errors(ident: Column, messages: Column, audios: Column, tools: list[str]) -> Column:
     """V3: the common rules with a system turn first; at least three messages, no later system turn, known tools in JSON calls, no audio tag in assistant and system turns."""
     rest = F.slice(messages, F.lit(2), F.greatest(F.size(messages), F.lit(1)))
     name = lambda m: F.get_json_object(m["content"], "$.name")

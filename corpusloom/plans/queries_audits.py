@@ -93,9 +93,9 @@ def drawn_bars(spark, d):
 
 
 @query()
-def opencode_errors(spark, d):
+def agent_record_errors(spark, d):
     """V3: counts by code kind."""
-    r = read(spark, d, "sft_records").select(F.explode(au.opencode_errors(F.col("id"), F.col("messages"), F.col("audios"), ["bash", "read"])).alias("e"))
+    r = read(spark, d, "sft_records").select(F.explode(au.agent_record_errors(F.col("id"), F.col("messages"), F.col("audios"), ["bash", "read"])).alias("e"))
     return r.groupBy(F.regexp_replace("e", r"\d+", "N").alias("code")).agg(F.count("*").alias("n"))
 
 
