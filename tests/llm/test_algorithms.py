@@ -12,14 +12,14 @@ from corpusloom.llm import neighbours, packing, splits
 
 def test_preset_key_spellings(spark):
     same = [
-        "outputs/m/a/presets/Bank One/File 1.vital", "./outputs/m/b/presets/Bank One/./File 1.vital", "/mnt/x/outputs/presets/BANK ONE/FILE 1.VITAL", "outputs\\m\\presets\\Bank One\\File 1.vital",
-        "file:///mnt/x/presets/Bank%20One/File%201.vital", " outputs//presets/Bank One/File 1.vital ", "outputs/m/notes/../presets/Bank One/File 1.vital",
+        "outputs/m/a/presets/Bank One/File 1.preset", "./outputs/m/b/presets/Bank One/./File 1.preset", "/mnt/x/outputs/presets/BANK ONE/FILE 1.PRESET", "outputs\\m\\presets\\Bank One\\File 1.preset",
+        "file:///mnt/x/presets/Bank%20One/File%201.preset", " outputs//presets/Bank One/File 1.preset ", "outputs/m/notes/../presets/Bank One/File 1.preset",
     ]
-    other = ["presets/Bank Two/File 1.vital", "presets/Bank+One/File 1.vital"]
-    df = spark.createDataFrame([(p,) for p in [*same, *other, None, "", "  ", "no/dir.vital", "presets/bad%2"]], "p string").select(splits.preset_key(F.col("p")).alias("k"))
+    other = ["presets/Bank Two/File 1.preset", "presets/Bank+One/File 1.preset"]
+    df = spark.createDataFrame([(p,) for p in [*same, *other, None, "", "  ", "no/dir.preset", "presets/bad%2"]], "p string").select(splits.preset_key(F.col("p")).alias("k"))
     keys = [r.k for r in df.collect()]
-    assert keys[:7] == ["bank one/file 1.vital"] * 7
-    assert keys[7:] == ["bank two/file 1.vital", "bank+one/file 1.vital", None, None, None, None, "bad%2"]
+    assert keys[:7] == ["bank one/file 1.preset"] * 7
+    assert keys[7:] == ["bank two/file 1.preset", "bank+one/file 1.preset", None, None, None, None, "bad%2"]
 
 
 def test_sets_and_assignment(spark):
