@@ -46,6 +46,17 @@ def materialize_counted(df: DataFrame, name: str = "t") -> tuple[DataFrame, int]
     return written, int(seen.get["n"])
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over at least as many partitions as there are cores, for work that is heavy a row.
+
+    Only a scan with fewer splits than cores (a small table in one file) is shuffled; a large table has more splits and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString() or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
 @atexit.register
 def _remove() -> None:
     for p in _folders:
