@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.plans.workspace import spread
+
 DEFECTS = ("empty", "refusal", "copy", "other_language", "truncated")
 
 # Function words by language (fixed lists).
@@ -222,7 +224,7 @@ def broken_pairs(pairs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(ids, pa.int64())), pa.array(found, pa.list_(pa.string()))], names=["id", "defects"])
 
     kind = pairs.schema["id"].dataType.simpleString()
-    return pairs.select("id", F.col("prompt").cast("string"), F.col("answer").cast("string")).mapInArrow(run, f"id {kind}, defects array<string>")
+    return spread(pairs.select("id", F.col("prompt").cast("string"), F.col("answer").cast("string"))).mapInArrow(run, f"id {kind}, defects array<string>")
 
 
 def record_pairs(records: DataFrame) -> DataFrame:

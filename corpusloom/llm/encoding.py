@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.plans.workspace import spread
+
 #: Remembered words of one Python worker; beyond it the memory is emptied and fills again (speed only, never results).
 WORDS_KEPT = 400_000
 
@@ -161,4 +163,4 @@ def encode_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 lo = hi
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"`{id_col}` {kind}, ids array<int>")
+    return spread(docs.select(id_col, F.col(text_col).cast("string").alias("text"))).mapInArrow(run, f"`{id_col}` {kind}, ids array<int>")

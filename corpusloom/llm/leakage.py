@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm import textkernel as K
-from corpusloom.plans.workspace import materialize
+from corpusloom.plans.workspace import materialize, spread
 
 #: Rows of the evaluation fingerprints up to which they are broadcast (24 bytes each).
 BROADCAST_ROWS = 1_000_000
@@ -93,6 +93,7 @@ def leaked_passages(docs: DataFrame, items: DataFrame, least: int = 12, k: int =
     Null ids, null and empty texts and texts under ``least`` words give no rows; repeated texts are reported each; further columns are ignored.
     """
     docs, items = (x.select(F.col("id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).where("id is not null and text is not null") for x in (docs, items))
+    docs = spread(docs)
     w = least - k + 1
     prints = materialize(fingerprints(items, k, w).select("fp", F.col("id").alias("item"), F.col("pos").alias("i")), "evalprints")
     side = F.broadcast(prints) if prints.count() <= BROADCAST_ROWS else prints

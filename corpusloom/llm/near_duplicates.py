@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm import textkernel as K
 from corpusloom.operators.graph import components
-from corpusloom.plans.workspace import materialize
+from corpusloom.plans.workspace import materialize, spread
 
 _U = np.uint64
 CELL_BITS = 20
@@ -271,6 +271,7 @@ class Signed(NamedTuple):
 def sign(texts: DataFrame, k: int, theta: float) -> Signed:
     """Steps 1 and 2 over ``texts(id, text)``."""
     texts = texts.select(F.col("id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).where("id is not null")
+    texts = spread(texts)
     signed = materialize(texts.mapInArrow(_signatures(k), _SIGN), "signed")
     docs = signed.where("kind = 0")
     classes = docs.groupBy("sig", "n").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
