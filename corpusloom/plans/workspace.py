@@ -18,7 +18,7 @@ def shared_dir(spark: SparkSession) -> str:
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
+    if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
         raise ValueError("spark.checkpoint.dir is not set: a cluster needs a shared folder")
     made = tempfile.mkdtemp(prefix="corpusloom-")
     _folders.append(made)
