@@ -107,21 +107,16 @@ def capabilities(stems: Column, midi: Column, has_mix: Column, order: list[str])
 
 
 def clip_slices(df: DataFrame, track: str, bar: str, length: str, sizes: list[int]) -> DataFrame:
-    """Consecutive clips of a track whose sizes in bars take turns; the cursor depends on the clip before, so one pass a track in Arrow batches.
+    """Consecutive clips of a track whose sizes in bars take turns; the sizes repeat, so a bar's place in the track gives its clip.
 
     (track, clip, first_bar, n_bars, seconds); a rest too short for its size is left out.
     """
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(bar)
-        out, at, i, lengths = [], 0, 0, pdf[length].tolist()
-        while at + sizes[i % len(sizes)] <= len(lengths):
-            n = sizes[i % len(sizes)]
-            out.append((pdf[track].iloc[0], i, int(pdf[bar].iloc[at]), n, float(sum(lengths[at : at + n]))))
-            at, i = at + n, i + 1
-        return pd.DataFrame(out, columns=[track, "clip", "first_bar", "n_bars", "seconds"])
-
-    return df.select(track, bar, length).groupBy(track).applyInPandas(run, f"{track} {df.schema[track].dataType.simpleString()}, clip int, first_bar long, n_bars int, seconds double")
+    at, starts = F.row_number().over(Window.partitionBy(track).orderBy(bar)) - 1, [sum(sizes[:i]) for i in range(len(sizes))]
+    x = df.select(track, bar, length).withColumn("__p", at).withColumn("__o", F.col("__p") % sum(sizes))
+    turn = sum((F.col("__o") >= s).cast("int") for s in starts) - 1
+    x = x.withColumn("__t", turn).withColumn("clip", (F.floor(F.col("__p") / sum(sizes)) * len(sizes) + F.col("__t")).cast("int"))
+    x = x.groupBy(track, "clip", "__t").agg(F.min(bar).cast("long").alias("first_bar"), F.count("*").cast("int").alias("n_bars"), F.sum(length).cast("double").alias("seconds"))
+    return x.where(F.col("n_bars") == F.element_at(F.array(*[F.lit(s) for s in sizes]), F.col("__t") + 1)).drop("__t")
 
 
 def balanced_pick(df: DataFrame, group: str, stratum: str, ident: str, salt: str, shards: int = 16) -> DataFrame:

@@ -40,6 +40,13 @@ def map_diff(df: DataFrame, a: str, b: str, ids: list[str], absolute: float = 0.
     return x.where(F.col("va").isNull() | F.col("vb").isNull() | far)
 
 
+def long_diff(a: DataFrame, b: DataFrame, keys: list[str], value: str, absolute: float = 0.005, relative: float = 0.01) -> DataFrame:
+    """J9, U37 with one row a key instead of maps: no key range is gathered in one row.  ``keys`` are unique and not null on each side."""
+    x = a.select(*keys, F.col(value).alias("va")).join(b.select(*keys, F.col(value).alias("vb")), keys, "full_outer")
+    far = F.abs(F.col("va") - F.col("vb")) > F.greatest(F.lit(absolute), F.abs("va") * relative)
+    return x.where(F.col("va").isNull() | F.col("vb").isNull() | far)
+
+
 def asof_backward(left: DataFrame, right: DataFrame, keys: list[str], at: str, value: str, tie: str | None = None) -> DataFrame:
     """Of every left row the right value at the latest ``at`` not after its own (null before the first).
 

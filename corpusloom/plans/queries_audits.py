@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as tx
@@ -60,7 +61,17 @@ def first_failures(spark, d):
 @query("select p_brand as b, p_partkey as key, case p_partkey % 3 when 0 then true when 1 then coalesce((select bool_or(q.p_size <> 25) from part q where q.p_brand = p.p_brand and q.p_partkey = p.p_partkey - 1), false) else coalesce((select bool_or(q.p_size <> 25) from part q where q.p_brand = p.p_brand and q.p_partkey = p.p_partkey - 1), false) and coalesce((select bool_or(q.p_size <> 25) from part q where q.p_brand = p.p_brand and q.p_partkey = p.p_partkey - 2), false) end as live from part p where p_partkey < 300")
 def live_keys(spark, d):
     """a part needs the one before it, in threes."""
-    p = read(spark, d, "part").where("p_partkey < 300").select(F.col("p_brand").alias("b"), F.col("p_partkey").alias("key"), (F.col("p_size") - 25).alias("value"))
+    return _live(read(spark, d, "part").where("p_partkey < 300"))
+
+
+@query(SQL["live_keys"].replace(" where p_partkey < 300", ""))
+def live_keys_whole(spark, d):
+    """all parts."""
+    return _live(read(spark, d, "part"))
+
+
+def _live(parts: DataFrame) -> DataFrame:
+    p = parts.select(F.col("p_brand").alias("b"), F.col("p_partkey").alias("key"), (F.col("p_size") - 25).alias("value"))
     rules = p.where("key % 3 > 0").select("key", (F.col("key") - 1).alias("needs"))
     return au.live_keys(p, rules, ["b"], 3).select("b", "key", "live")
 

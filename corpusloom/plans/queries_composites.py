@@ -203,22 +203,54 @@ def balanced_pick(spark, d):
 @query("with s as (select l_orderkey as track, l_linenumber as bar, sum(l_quantity) as len from lineitem where l_orderkey < 500 group by 1, 2), c as (select track, bar, len, row_number() over (partition by track order by bar) - 1 as p from s), b as (select track, p // 3 as g, p % 3 as o, bar, len, count(*) over (partition by track) as n from c) select track, (g * 2 + case when o = 0 then 0 else 1 end)::int as clip, min(bar)::bigint as first_bar, count(*)::int as n_bars, sum(len) as seconds from b group by track, g, case when o = 0 then 0 else 1 end having count(*) = case when min(o) = 0 then 1 else 2 end")
 def clip_slices(spark, d):
     """Clips of one and two bars in turn."""
-    s = read(spark, d, "lineitem").where("l_orderkey < 500").groupBy("l_orderkey", "l_linenumber").agg(F.sum("l_quantity").alias("len")).select(F.col("l_orderkey").alias("track"), F.col("l_linenumber").alias("bar"), "len")
+    return _clips(read(spark, d, "lineitem").where("l_orderkey < 500"))
+
+
+def _clips(lines: DataFrame) -> DataFrame:
+    s = lines.groupBy("l_orderkey", "l_linenumber").agg(F.sum("l_quantity").alias("len")).select(F.col("l_orderkey").alias("track"), F.col("l_linenumber").alias("bar"), "len")
     return co.clip_slices(s, "track", "bar", "len", [1, 2])
 
 
+@query(SQL["clip_slices"].replace(" where l_orderkey < 500", ""))
+def clip_slices_whole(spark, d):
+    """Clips of every order."""
+    return _clips(read(spark, d, "lineitem"))
+
+
 @query("with o as (select p_brand as s, p_partkey as id, p_retailprice as v from part where p_partkey <= 40), x as (select s, [id] as picks, v as score from o union all select a.s, [a.id, b.id], a.v + b.v from o a join o b on a.s = b.s and a.id <> b.id) select s, picks, round(score, 4) as score, row_number() over (partition by s order by round(score, 9) desc, picks)::int as rk from x qualify rk <= 5")
 def slot_products(spark, d):
     """One and two slots among the parts of a brand."""
-    o = read(spark, d, "part").where("p_partkey <= 40").select(F.col("p_brand").alias("s"), F.col("p_partkey").alias("id"), F.col("p_retailprice").alias("v"))
-    return co.slot_products(o, "s", "id", "v", 2, 5).select("s", "picks", F.round("score", 4).alias("score"), "rk")
+    return _products(read(spark, d, "part").where("p_partkey <= 40"))
+
+
+def _products(parts: DataFrame) -> DataFrame:
+    o = parts.select(F.col("p_brand").alias("s"), F.col("p_partkey").alias("id"), F.col("p_retailprice").alias("v"))
+    # A choice with an option below the best six has at least five better ones: one for each of the better options that the other slot leaves free.
+    best = sampling.cap_per_group(o, ["s"], -F.round("v", 9), "id", 6)
+    return co.slot_products(best, "s", "id", "v", 2, 5).select("s", "picks", F.round("score", 4).alias("score"), "rk")
+
+
+@query(SQL["slot_products"].replace(" where p_partkey <= 40", ""))
+def slot_products_whole(spark, d):
+    """One and two slots among all parts of a brand."""
+    return _products(read(spark, d, "part"))
 
 
 @query("with m as (select p_brand as s, p_partkey as a from part where p_partkey between 1 and 60), t as (select p_brand as s, p_partkey as b from part where p_partkey between 61 and 120), d as (select a.s, a.a, b.a as b from m a join m b on a.s = b.s where (a.a + b.a) % 3 = 0), o as (select s, a as b from m union select s, b from t), one as (select m.s, m.a, o.b from m join o using (s) where a <> b), u as (select * from one union select s, b, a from one) select s, a, b from u where not exists (select 1 from d where d.s = u.s and d.a = u.a and d.b = u.b)")
 def unrendered_pairs(spark, d):
     """J11."""
-    p = read(spark, d, "part").select(F.col("p_brand").alias("s"), F.col("p_partkey").alias("id"))
-    m, t = p.where("id between 1 and 60"), p.where("id between 61 and 120")
+    return _unrendered(read(spark, d, "part"), "id between 1 and 60", "id between 61 and 120")
+
+
+@query(SQL["unrendered_pairs"].replace("p_partkey between 1 and 60", "p_partkey % 2 = 1").replace("p_partkey between 61 and 120", "p_partkey % 2 = 0"))
+def unrendered_pairs_whole(spark, d):
+    """Odd parts are the missed ids, even ones the top; the output grows with the square of a brand's parts."""
+    return _unrendered(read(spark, d, "part"), "id % 2 = 1", "id % 2 = 0")
+
+
+def _unrendered(parts: DataFrame, missed: str, top: str) -> DataFrame:
+    p = parts.select(F.col("p_brand").alias("s"), F.col("p_partkey").alias("id"))
+    m, t = p.where(missed), p.where(top)
     done = m.select("s", F.col("id").alias("a")).join(m.select("s", F.col("id").alias("b")), "s").where("(a + b) % 3 = 0")
     return co.unrendered_pairs(m, t, done, "id", "s")
 

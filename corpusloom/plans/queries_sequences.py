@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import text as tx
 from corpusloom.operators import aggregates as agg
-from corpusloom.operators import grade, joins, validate, vectors, windows
+from corpusloom.operators import grade, joins, sampling, validate, vectors, windows
 from corpusloom.plans.queries_curation import read
 
 Q: dict = {}
@@ -83,9 +83,20 @@ def manifest_diff(spark, d):
 def map_tolerance_diff(spark, d):
     """Mean discount by part of two nations, as maps."""
     s = read(spark, d, "supplier").where("s_nationkey in (1, 2)").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
-    v = read(spark, d, "lineitem").where("l_partkey < 40").join(s, "l_suppkey").groupBy("s_nationkey", "l_partkey").agg(F.avg("l_discount").alias("v"))
-    maps = v.agg(*[F.map_from_entries(F.collect_list(F.when(F.col("s_nationkey") == k, F.struct("l_partkey", "v")))).alias(n) for k, n in ((1, "a"), (2, "b"))]).withColumn("one", F.lit(1))
-    return joins.map_diff(maps, "a", "b", ["one"]).select(F.col("key").alias("key0"), F.round("va", 6).alias("va"), F.round("vb", 6).alias("vb"))
+    v = read(spark, d, "lineitem").where("l_partkey < 40").join(s, "l_suppkey").groupBy("s_nationkey", F.col("l_partkey").alias("key")).agg(F.avg("l_discount").alias("v"))
+    a, b = (v.where(F.col("s_nationkey") == k).select("key", "v") for k in (1, 2))
+    return joins.long_diff(a, b, ["key"], "v").select(F.col("key").alias("key0"), F.round("va", 6).alias("va"), F.round("vb", 6).alias("vb"))
+
+
+@query("with v as (select s_nationkey as n, l_partkey as key, avg(l_discount) as v from lineitem join supplier on s_suppkey = l_suppkey group by 1, 2), y as (select coalesce(a.n, b.n - 1) as nation, coalesce(a.key, b.key) as key, a.v as va, b.v as vb from (select * from v where n + 1 in (select n_nationkey from nation)) a full join (select * from v where n - 1 in (select n_nationkey from nation)) b on b.n = a.n + 1 and b.key = a.key) select nation, key, round(va, 6) as va, round(vb, 6) as vb from y where va is null or vb is null or abs(va - vb) > greatest(0.005, abs(va) * 0.01)")
+def map_tolerance_diff_whole(spark, d):
+    """Mean discount by part of every nation against the next one, all parts, in long form."""
+    s = read(spark, d, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("nation"))
+    v = read(spark, d, "lineitem").join(s, "l_suppkey").groupBy("nation", F.col("l_partkey").alias("key")).agg(F.avg("l_discount").alias("v"))
+    n = read(spark, d, "nation").select(F.col("n_nationkey").alias("nation"))
+    a = v.join(n.select((F.col("nation") - 1).alias("nation")), "nation", "left_semi")
+    b = v.withColumn("nation", F.col("nation") - 1).join(n, "nation", "left_semi")
+    return joins.long_diff(a, b, ["nation", "key"], "v").select("nation", "key", F.round("va", 6).alias("va"), F.round("vb", 6).alias("vb"))
 
 
 @query("with n as (select n_nationkey, n_name, n_regionkey from nation) select a.n_regionkey, a.n_name as a, b.n_name as b from n a join n b on a.n_regionkey = b.n_regionkey and a.n_name <> b.n_name")
@@ -148,8 +159,18 @@ def greedy_note_match(spark, d):
 @query("with a as (select c_name, row_number() over (order by c_custkey) - 1 as i from customer where c_custkey <= 30), b as (select s_name, row_number() over (order by s_suppkey) - 1 as i from supplier where s_suppkey <= 20) select coalesce(a.i, b.i) as position, c_name, s_name from a full join b on a.i = b.i")
 def positional_zip(spark, d):
     """J19."""
-    a = read(spark, d, "customer").where("c_custkey <= 30").select("c_name", (F.row_number().over(Window.orderBy("c_custkey")) - 1).cast("long").alias("i"))
-    b = read(spark, d, "supplier").where("s_suppkey <= 20").select("s_name", (F.row_number().over(Window.orderBy("s_suppkey")) - 1).cast("long").alias("j"))
+    return _zipped(read(spark, d, "customer").where("c_custkey <= 30"), read(spark, d, "supplier").where("s_suppkey <= 20"))
+
+
+@query(SQL["positional_zip"].replace(" where c_custkey <= 30", "").replace(" where s_suppkey <= 20", ""))
+def positional_zip_whole(spark, d):
+    """All customers with all suppliers."""
+    return _zipped(read(spark, d, "customer"), read(spark, d, "supplier"))
+
+
+def _zipped(customers: DataFrame, suppliers: DataFrame) -> DataFrame:
+    a = sampling.with_row_number(customers, "c_custkey").select("c_name", F.col("i").cast("long").alias("i"))
+    b = sampling.with_row_number(suppliers, "s_suppkey").select("s_name", F.col("i").cast("long").alias("j"))
     return joins.positional_zip(a, b, "i", "j")
 
 
