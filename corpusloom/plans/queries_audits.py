@@ -93,7 +93,17 @@ def claim_sets(spark, d):
 @query("with h as (select doc_id, ('0x' || substr(md5(doc_id::varchar || '|9'), 1, 16))::ubigint as h, n_chars from documents where doc_id % 3 = 0), v as (select doc_id from h where n_chars <= 900 order by h, doc_id limit 40) select doc_id, case when doc_id in (select doc_id from v) then 'val' else 'train' end as side from h")
 def counted_holdout(spark, d):
     """Forty documents of at most 900 characters."""
-    h = read(spark, d, "documents").where("doc_id % 3 = 0").select("doc_id", tx.hash64(F.concat(F.col("doc_id").cast("string"), F.lit("|9"))).alias("h"), "n_chars")
+    return _counted(read(spark, d, "documents").where("doc_id % 3 = 0"))
+
+
+@query(SQL["counted_holdout"].replace(" where doc_id % 3 = 0", ""))
+def counted_holdout_whole(spark, d):
+    """Of all documents."""
+    return _counted(read(spark, d, "documents"))
+
+
+def _counted(docs: DataFrame) -> DataFrame:
+    h = docs.select("doc_id", tx.hash64(F.concat(F.col("doc_id").cast("string"), F.lit("|9"))).alias("h"), "n_chars")
     return au.counted_holdout(h, "h", "doc_id", F.col("n_chars"), 900, 40).select("doc_id", "side")
 
 

@@ -153,6 +153,14 @@ def id_lists(spark, d):
     return p.select("source", F.slice("ids", 1, 3).alias("first3"), F.sum(F.size("ids")).over(Window.partitionBy()).alias("n"))
 
 
+@query("with p as (select distinct source, doc_id from documents where source is not null) select source, (list(doc_id order by doc_id))[1:3] as first3, sum(count(*)) over () :: bigint as n from p group by 1")
+def id_lists_whole(spark, d):
+    """D4 over all documents with a source; counted and thinned in parts, so no source is gathered in one row."""
+    p = read(spark, d, "documents").where("source is not null").select("source", "doc_id").distinct()
+    first = sampling.cap_per_group(p, ["source"], F.col("doc_id"), "doc_id", 3).groupBy("source").agg(F.array_sort(F.collect_list("doc_id")).alias("first3"))
+    return first.crossJoin(F.broadcast(p.agg(F.count("*").alias("n"))))
+
+
 @query("select event_id, epoch_us(ts) - coalesce(lag(epoch_us(ts)) over w, epoch_us(ts)) as gap_us, round(case when lag(ts) over w is not null then (event_id - lag(event_id) over w) / greatest(1.0, (epoch_us(ts) - lag(epoch_us(ts)) over w) / 1000000.0) end, 6) as rate from events window w as (partition by user_id order by ts, event_id)")
 def snapshot_rate(spark, d):
     """U33 over event numbers of a user."""
@@ -265,6 +273,24 @@ def ranking_repair(spark, d):
     return j.select("judge_seq", co.ranking_repair(j, "given", "all", "scores").alias("ranking"))
 
 
+@query()
+def ranking_repair_whole(spark, d):
+    """U26 over all rows: the chosen tuple, then the locked names, with every repeat and an unknown name; candidates are the names of both and up to four of the row before; longer names score more.
+
+    A quarter of the names has a negative score and a quarter none, by hash.
+    """
+    none = F.array().cast("array<string>")
+    given = F.concat(F.coalesce("selected_tuple", none), F.reverse(F.coalesce("selected_tuple", none)), F.array(F.lit("?")))
+    names = F.array_distinct(F.concat(F.coalesce(F.map_values("locked_slots"), none), F.coalesce("selected_tuple", none), F.slice(F.array_sort(F.coalesce("near", none)), 1, 4)))
+    r = read(spark, d, "judge_results")
+    near = r.where("selected_tuple is not null").select((F.col("judge_seq") + 1).alias("judge_seq"), F.col("selected_tuple").alias("near"))
+    draw = lambda x: tx.hash32(x) % 4
+    j = r.join(near, "judge_seq", "left").select("judge_seq", given.alias("given"), names.alias("names"))
+    scores = F.map_from_entries(F.transform(F.filter("names", lambda x: draw(x) > 0), lambda x: F.struct(x, F.when(draw(x) == 1, -1.0).otherwise(F.length(x).cast("double")))))
+    j = j.withColumn("scores", scores)
+    return j.select("judge_seq", "given", "names", "scores", co.ranking_repair(j, "given", "names", "scores").alias("ranking"))
+
+
 @query("select source, n, pos, coalesce(lag(source) over (order by n desc, source), '') as before from (select source, count(*) as n, row_number() over (order by count(*) desc, source)::int as pos from sft_records where source is not null group by 1)")
 def ordered_sources(spark, d):
     """Sources by count."""
@@ -288,6 +314,15 @@ def masked_labels(spark, d):
     return w.select("doc_id", cv.padded(cv.masked_labels(F.slice("w", 1, 5), F.slice("w", 6, 3)), F.lit(8), 0).alias("labels"))
 
 
+@query("with w as (select doc_id, list_transform(regexp_extract_all(coalesce(text, ''), '[a-zA-Z]+'), lambda x: length(x)::int) as w from documents), p as (select doc_id, w, max(len(w)) over (partition by doc_id // 32) as m from w) select doc_id, list_concat(list_transform(range(least(5, len(w))), lambda i: -100), w[6:], list_transform(range(m - len(w)), lambda i: 0)) as labels from p")
+def masked_labels_whole(spark, d):
+    """All words of every document; five prompt words, the rest is the target, padded to the longest of a batch of 32."""
+    w = read(spark, d, "documents").select("doc_id", F.transform(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit("[a-zA-Z]+"), F.lit(0)), lambda x: F.length(x)).alias("w"))
+    longest = F.max(F.size("w")).over(Window.partitionBy(F.floor(F.col("doc_id") / 32)))
+    ids = cv.masked_labels(F.slice("w", 1, 5), F.slice("w", F.lit(6), F.greatest(F.size("w"), F.lit(1))))
+    return w.withColumn("m", longest).select("doc_id", cv.padded(ids, F.col("m"), 0).alias("labels"))
+
+
 @query("select doc_id, case when u < 0.5 then 'plain' when u < 0.8 then 'guided' else 'brief' end as template from (select doc_id, ('0x' || substr(md5(doc_id::varchar || ':tpl'), 1, 8))::bigint / 4294967296.0::double as u from documents)")
 def template_choice(spark, d):
     """X4, P15, P18."""

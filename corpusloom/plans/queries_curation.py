@@ -407,8 +407,18 @@ def hash_split_modulo(spark, d):
 @query("select doc_id, ('0x' || substr(md5(doc_id::varchar || '|7'), 1, 16))::ubigint < 0.1 * 18446744073709551615 as held from documents where doc_id % 5 = 0")
 def hash_split_ratio(spark, d):
     """Ratio mode, compared as a 64-bit integer."""
+    return _held(read(spark, d, "documents").where("doc_id % 5 = 0"))
+
+
+@query(SQL["hash_split_ratio"].replace(" where doc_id % 5 = 0", ""))
+def hash_split_ratio_whole(spark, d):
+    """A side for every document."""
+    return _held(read(spark, d, "documents"))
+
+
+def _held(docs: DataFrame) -> DataFrame:
     limit = F.lit(int(0.1 * (2**64 - 1))).cast("decimal(20,0)")
-    return read(spark, d, "documents").where("doc_id % 5 = 0").select("doc_id", (tx.hash64(F.concat(F.col("doc_id").cast("string"), F.lit("|7"))) < limit).alias("held"))
+    return docs.select("doc_id", (tx.hash64(F.concat(F.col("doc_id").cast("string"), F.lit("|7"))) < limit).alias("held"))
 
 
 @query("select source, doc_id from (select *, row_number() over (partition by source order by md5(doc_id::varchar || ':3'), doc_id) as r from documents) where r <= 5")

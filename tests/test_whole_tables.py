@@ -39,3 +39,21 @@ def test_long_diff_equals_map_diff(spark):
     sides = [spark.createDataFrame(list(x.items()), "key int, v double") for x in (a, b)]
     rows = lambda df: sorted(((r.key, r.va, r.vb) for r in df.collect()), key=repr)
     assert rows(joins.long_diff(*sides, ["key"], "v")) == rows(joins.map_diff(maps, "a", "b", ["one"]))
+
+
+def test_no_row_is_filtered(spark, data):
+    docs = {r.doc_id: r.source for r in read(spark, data, "documents").collect()}
+    for name in ("hash_split_ratio_whole", "counted_holdout_whole", "masked_labels_whole"):
+        assert sorted(r.doc_id for r in run(spark, data, name).collect()) == sorted(docs)
+    assert {r.n for r in run(spark, data, "id_lists_whole").collect()} == {sum(s is not None for s in docs.values())}
+
+
+def test_rankings_with_repeats_and_scores_are_repaired(spark, data):
+    rows = run(spark, data, "ranking_repair_whole").collect()
+    assert len(rows) == read(spark, data, "judge_results").count()
+    for r in rows:
+        want = list(dict.fromkeys(x for x in r.given if x in r.names))
+        rest = [x for x in r.names if x not in want]
+        scored = sorted((x for x in rest if r.scores.get(x, -1) >= 0), key=lambda x: (-r.scores[x], r.names.index(x)))
+        assert r.ranking == want + scored + [x for x in rest if x not in scored]
+    assert any(len(r.given) > len(set(r.given)) for r in rows) and any(set(r.names) - set(r.given) for r in rows)
