@@ -42,3 +42,23 @@ def consecutive_overlap(df: DataFrame, group: list[str], order: str, text: str,
 def latest_by_key(df: DataFrame, keys: list[str], seq: str, values: list[str]) -> DataFrame:
     """Of every key the values of the row with the largest ``seq``."""
     return df.groupBy(*keys).agg(*[F.max_by(v, seq).alias(v) for v in values])
+
+
+def mean_novelty(df: DataFrame, ident: str, group: str, grams: str) -> DataFrame:
+    """(ident, novelty, n_grams): 1 - mean Jaccard of a row's distinct, non-empty ``grams`` with those of each other row of the group.
+
+    Equal sets are one representative with its count; only representatives that share a gram are paired, all others add 0.  The
+    pairs of a gram grow with the square of the representatives that have it.
+    """
+    x = df.select(ident, F.col(group).alias("__k"), grams, F.sha2(F.to_json(F.array_sort(grams)), 256).alias("__s"))
+    reps = x.groupBy("__k", "__s").agg(F.min(ident).alias("__r"), F.count("*").alias("__c"))
+    full = x.join(reps, ["__k", "__s"])
+    one = full.where(F.col(ident) == F.col("__r")).select("__k", "__r", "__c", F.size(grams).alias("__n"), F.explode(grams).alias("__g"))
+    a, b = (one.select("__k", "__g", *[F.col(c).alias(c + side) for c in ("__r", "__c", "__n")]) for side in ("a", "b"))
+    pairs = a.join(b, ["__k", "__g"]).where("__ra < __rb").groupBy("__ra", "__rb", "__ca", "__cb", "__na", "__nb").agg(F.count("*").alias("__m"))
+    pairs = pairs.withColumn("__j", F.col("__m") / (F.col("__na") + F.col("__nb") - F.col("__m")))
+    both = F.explode(F.array(F.struct(F.col("__ra").alias("r"), (F.col("__cb") * F.col("__j")).alias("v")), F.struct(F.col("__rb").alias("r"), (F.col("__ca") * F.col("__j")).alias("v"))))
+    met = pairs.select(both.alias("e")).groupBy(F.col("e.r").alias("__r")).agg(F.sum("e.v").alias("__t"))
+    size = reps.groupBy("__k").agg(F.sum("__c").alias("__all"))
+    mean = F.try_divide(F.coalesce("__t", F.lit(0.0)) + F.col("__c") - 1, F.col("__all") - 1)
+    return full.join(met, "__r", "left").join(size, "__k").select(ident, F.round(1 - mean, 6).alias("novelty"), F.size(grams).alias("n_grams"))

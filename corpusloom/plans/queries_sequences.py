@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import text as tx
 from corpusloom.operators import aggregates as agg
-from corpusloom.operators import grade, joins, sampling, validate, vectors, windows
+from corpusloom.operators import dedup, grade, joins, sampling, validate, vectors, windows
 from corpusloom.plans.queries_curation import read
 
 Q: dict = {}
@@ -392,8 +392,15 @@ def cross_references(spark, d):
 
 @query("with t as (select judge_seq, verdict, list_distinct(list_transform(range(1, greatest(1, len(w) - 1)), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) as s from (select *, regexp_extract_all(lower(coalesce(reasoning, '')), '[a-z0-9]+') as w from judge_results) where len(w) >= 3), u as (select verdict, unnest(s) as g from t), f as (select verdict, g, count(*) as c from u group by 1, 2) select t.judge_seq, round(avg(case when f.c = 1 then 1.0 else 0.0 end), 6) as novelty, count(*) as n_grams from (select judge_seq, verdict, unnest(s) as g from t) t join f using (verdict, g) group by 1")
 def trigram_novelty(spark, d):
-    """D12 by counts: share of a text's trigrams that no other text of its group has; linear in the trigrams, not in the pairs."""
+    """A count measure beside D12 (which is mean_trigram_novelty): share of a text's trigrams that no other text of its group has; linear in the trigrams, not in the pairs."""
     j = read(spark, d, "judge_results").select("judge_seq", "verdict", F.regexp_extract_all(F.lower(F.coalesce("reasoning", F.lit(""))), F.lit("[a-z0-9]+"), F.lit(0)).alias("w")).where(F.size("w") >= 3)
     g = j.select("judge_seq", "verdict", F.explode(tx.shingles(F.col("w"), 3)).alias("g"))
     f = g.groupBy("verdict", "g").agg(F.count("*").alias("c"))
     return g.join(f, ["verdict", "g"]).groupBy("judge_seq").agg(F.round(F.avg(F.when(F.col("c") == 1, 1.0).otherwise(0.0)), 6).alias("novelty"), F.count("*").alias("n_grams"))
+
+
+@query()
+def mean_trigram_novelty(spark, d):
+    """D12 as surveyed: 1 - mean Jaccard of a text's word trigrams with those of every other text of its group; null without another."""
+    j = read(spark, d, "judge_results").select("judge_seq", "verdict", F.regexp_extract_all(F.lower(F.coalesce("reasoning", F.lit(""))), F.lit("[a-z0-9]+"), F.lit(0)).alias("w")).where(F.size("w") >= 3)
+    return dedup.mean_novelty(j.select("judge_seq", F.coalesce("verdict", F.lit("")).alias("verdict"), tx.shingles(F.col("w"), 3).alias("g")), "judge_seq", "verdict", "g")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from corpusloom.operators import joins
+import re
+
+from corpusloom.operators import dedup, joins
 from corpusloom.plans import registry
 from corpusloom.plans.queries_curation import read
 
@@ -57,3 +59,26 @@ def test_rankings_with_repeats_and_scores_are_repaired(spark, data):
         scored = sorted((x for x in rest if r.scores.get(x, -1) >= 0), key=lambda x: (-r.scores[x], r.names.index(x)))
         assert r.ranking == want + scored + [x for x in rest if x not in scored]
     assert any(len(r.given) > len(set(r.given)) for r in rows) and any(set(r.names) - set(r.given) for r in rows)
+
+
+def test_mean_novelty_equals_brute_force(spark):
+    sets = {1: "abc", 2: "abc", 3: "cde", 4: "xyz", 5: "abcd", 6: "a", 7: "q", 8: "q"}
+    group = {i: "one" if i < 7 else "two" for i in sets} | {9: "alone"}
+    sets[9] = "abc"
+    df = spark.createDataFrame([(i, group[i], sorted(s)) for i, s in sets.items()], "id int, k string, g array<string>")
+    want = {}
+    for i, s in sets.items():
+        js = [len(set(s) & set(t)) / len(set(s) | set(t)) for j, t in sets.items() if j != i and group[j] == group[i]]
+        want[i] = round(1 - sum(js) / len(js), 6) if js else None
+    assert {r.id: r.novelty for r in dedup.mean_novelty(df, "id", "k", "g").collect()} == want
+    assert want[1] > 0  # a copy alone does not make a text's novelty 0
+
+
+def test_mean_trigram_novelty_of_the_table(spark, data):
+    texts = {r.judge_seq: (r.verdict or "", re.findall("[a-z0-9]+", (r.reasoning or "").lower())) for r in read(spark, data, "judge_results").collect()}
+    sets = {i: (v, {tuple(w[j : j + 3]) for j in range(len(w) - 2)}) for i, (v, w) in texts.items() if len(w) >= 3}
+    got = {r.judge_seq: r.novelty for r in run(spark, data, "mean_trigram_novelty").collect()}
+    assert got.keys() == sets.keys()
+    for i, (v, s) in sets.items():
+        js = [len(s & t) / len(s | t) for j, (u, t) in sets.items() if j != i and u == v]
+        assert abs(got[i] - (1 - sum(js) / len(js))) < 2e-6
