@@ -6,7 +6,7 @@ is scored against the codes of the nearest lists from lookup tables (query times
 norm of the coded vector; the best are scored again exactly, in double precision, where the vectors lie.
 
 Codebooks are fitted on a bounded sample (``SAMPLE`` vectors); every vector is coded and searched.  Equal
-vectors are one entry with their first k + 1 rows, so a vector that a third of all rows repeat is searched once.
+vectors and exact multiples of them are one entry with their first k + 1 rows, so a direction that a third of all rows repeat is searched once.
 Lists are cut into chunks of about ``CHUNK`` rows on the data and on the query side: no task sees an unbounded list.
 """
 
@@ -32,6 +32,15 @@ def valid_vector(v: Column, dim: int) -> Column:
     return F.coalesce((F.size(v) == dim) & ~bad & F.exists(v, lambda x: x != 0), F.lit(False))
 
 
+def direction(v: Column) -> Column:
+    """A valid vector over the size of its first value that is not 0, in double: equal for exact multiples and for no others.
+
+    Quotients of two floats that differ do so within 48 bits, so they stay apart in a double; adding 0 unites the two zeros.
+    """
+    size = F.abs(F.element_at(F.filter(v, lambda x: x != 0), 1).cast("double"))
+    return F.transform(v, lambda x: x.cast("double") / size + F.lit(0.0))
+
+
 def _kmeans(x: np.ndarray, k: int, rounds: int, seed: int) -> np.ndarray:
     rng = np.random.default_rng(seed)
     c = x[rng.choice(len(x), k, replace=len(x) < k)].astype(np.float32).copy()
@@ -119,6 +128,16 @@ def _score(dim: int, k: int, rerank: int, books):
 
     def run(data: pa.Table, queries: pa.Table) -> pa.Table:
         out_q, out_n, out_c = [], [], []
+
+        def best(qi, near_ids, cos):
+            cos = np.where(near_ids == qi[:, None], -2.0, np.round(cos, 6))
+            order = np.lexsort((near_ids, -cos), axis=1)[:, :k]
+            c, n = np.take_along_axis(cos, order, 1), np.take_along_axis(near_ids, order, 1)
+            keep = c > -2.0
+            out_q.append(np.repeat(qi, keep.sum(1)))
+            out_n.append(n[keep])
+            out_c.append(c[keep])
+
         if data.num_rows and queries.num_rows:
             all_books = books.value
             data, queries = data.combine_chunks(), queries.combine_chunks()
@@ -138,18 +157,15 @@ def _score(dim: int, k: int, rerank: int, books):
                     s *= inverse
                     s[qi[:, None] == ids[None, :]] = -np.inf
                     near = np.argpartition(-s, rerank, axis=1)[:, :rerank]
-                    cos = np.einsum("qd,qrd->qr", q, x[near])
-                    near_ids = ids[near]
+                    reached = s >= np.take_along_axis(s, near, 1).min(1, keepdims=True)
+                    tied = reached.sum(1) > rerank  # rows of one code, such as rounded multiples: all that tie with the last are scored
+                    for i in np.flatnonzero(tied):
+                        at = np.flatnonzero(reached[i])
+                        best(qi[i : i + 1], ids[None, at], (x[at] @ q[i])[None])
+                    best(qi[~tied], ids[near[~tied]], np.einsum("qd,qrd->qr", q[~tied], x[near[~tied]]))
                 else:
                     cos = q @ x.T
-                    near_ids = np.broadcast_to(ids, cos.shape)
-                cos = np.where(near_ids == qi[:, None], -2.0, np.round(cos, 6))
-                order = np.lexsort((near_ids, -cos), axis=1)[:, :k]
-                c, n = np.take_along_axis(cos, order, 1), np.take_along_axis(near_ids, order, 1)
-                keep = c > -2.0
-                out_q.append(np.repeat(qi, keep.sum(1)))
-                out_n.append(n[keep])
-                out_c.append(c[keep])
+                    best(qi, np.broadcast_to(ids, cos.shape), cos)
         cat = lambda v, t: np.concatenate(v) if v else np.empty(0, t)
         return pa.table({"q": pa.array(cat(out_q, np.int64), pa.int64()), "n": pa.array(cat(out_n, np.int64), pa.int64()), "cos": pa.array(cat(out_c, np.float64), pa.float64())})
 
@@ -164,7 +180,7 @@ def nearest_vectors(rows: DataFrame, k: int = 5, dim: int = 128, probes: int = 6
     """
     spark = rows.sparkSession
     ok = rows.select(F.col("id").cast("long").alias("id"), F.col("embedding").cast("array<float>").alias("embedding")).where(valid_vector(F.col("embedding"), dim) & F.col("id").isNotNull())
-    keyed = materialize(ok.select("id", F.xxhash64("embedding").alias("k1"), F.hash("embedding").alias("k2")), "vectorkeys")
+    keyed = materialize(ok.select("id", direction(F.col("embedding")).alias("u")).select("id", F.xxhash64("u").alias("k1"), F.hash("u").alias("k2")), "vectorkeys")
     classes = keyed.groupBy("k1", "k2").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
     member = materialize(keyed.join(classes, ["k1", "k2"]).select("id", "rep", "copies"), "members")
     n = member.where("id = rep").count()

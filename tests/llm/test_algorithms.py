@@ -95,3 +95,17 @@ def test_neighbours_match_brute_force(spark):
     assert hit / 2000 >= 0.97 and set(got) == set(range(400))
     assert got[60] == [50, 51, 52, 53, 54]
     assert neighbours.neighbour_pairs(neighbours.nearest_vectors(df.where("false"), dim=16)).count() == 0
+
+
+def test_scaled_copies_tie_by_id(spark):
+    rng = np.random.default_rng(3)
+    base, rest = rng.standard_normal(16), rng.standard_normal((400, 16))
+    factors = [(0.25, 2.0, 4.0)[i % 3] if i < 150 else 1 + i / 7 for i in range(300)]  # exact multiples, then rounded ones
+    x = np.concatenate(([base * f for f in factors], rest)).astype(np.float32)
+    ids = rng.permutation(len(x))
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x, strict=True)], "id long, embedding array<float>")
+    got = {r.id: [n.id for n in r.neighbours] for r in neighbours.nearest_vectors(df, 5, dim=16).collect()}
+    copies = sorted(int(i) for i in ids[:300])
+    assert all(got[i] == [j for j in copies if j != i][:5] for i in copies)
+    at = spark.createDataFrame([([1.0, 3.0],), ([2.0, 6.0],), ([-1.0, -3.0],), ([1.0, 3.0000002],)], "v array<float>").select(neighbours.direction(F.col("v")).alias("u")).collect()
+    assert at[0] == at[1] and len({tuple(r.u) for r in at}) == 3
