@@ -1,14 +1,14 @@
 """Subject areas of documents, sentence by sentence.
 
 1. Terms are the words of two or more characters, lower case, digits masked; the ``VOCABULARY`` terms of most
-   documents are kept and weighted by log(1 + frequency) and inverse document frequency.
+   documents are kept and weighted by log(1 + frequency) and inverse document frequency (steps 2 and 3).
 2. A truncated singular value decomposition of the document-term matrix (subspace iteration, one pass over
    all documents a step) gives every term a vector; a sentence is the weighted sum of its terms' vectors.
 3. Seed centroids come from the labelled documents, one for each subject and language, and are refined over
    all documents: every sentence goes to the centroid of highest cosine, if that reaches ``NEAR``.
    Sentences that no centroid reaches may follow the labels of the documents their terms occur in.
 4. A last refinement in the space of terms: centroids of log term shares of every subject, and of sentences
-   about none, recomputed ``ROUNDS`` times over all sentences.
+   about none, recomputed ``ROUNDS`` times over all sentences.  All words count here, those outside the vocabulary by hash.
 A document has the subjects that at least a quarter of its sentences are about.
 
 All sums run over all documents in Arrow batches; a task sends fixed-size sums (vocabulary times rank or
@@ -29,6 +29,8 @@ from corpusloom.llm.broken_pairs import FUNCTION_WORDS, language
 from corpusloom.plans.workspace import materialize, spread
 
 VOCABULARY, RANK, POWER = 4096, 128, 2
+#: Term numbers in the last refinement: the vocabulary's, and hashes of all other words.
+TERMS = 1 << 16
 NEAR, LABEL_GAIN, ROUNDS, SHARE = 0.35, 0.6, 3, 0.25
 #: Labelled documents used to seed the centroids, at most.
 LABELLED = 50_000
@@ -49,6 +51,16 @@ def sentences(text: str | None) -> list[list[str]]:
     return found
 
 
+def number_of(word: str, number: dict[str, int]) -> int:
+    """The word's place in the vocabulary, or one of the other ``TERMS`` numbers by hash."""
+    return number[word] if word in number else len(number) + zlib.crc32(word.encode("utf-8", "replace")) % (TERMS - len(number))
+
+
+def _known(s: np.ndarray, t: np.ndarray, v: int) -> tuple[np.ndarray, np.ndarray]:
+    """Only the terms of the vocabulary."""
+    return s[t < v], t[t < v]
+
+
 def _total(df: DataFrame, shapes: dict[str, tuple[int, ...]], add) -> dict[str, np.ndarray]:
     """Sum ``add(batch, sums)`` over all batches: fixed-size arrays, added in parts on the executors."""
     names = list(shapes)
@@ -86,7 +98,7 @@ def _total(df: DataFrame, shapes: dict[str, tuple[int, ...]], add) -> dict[str,
 
 def _batch(batch: pa.RecordBatch):
     """Of a batch (id, lang, lengths, terms): sentence of each term, terms, document of each sentence, language of each document."""
-    lengths = [np.frombuffer(x, np.uint16) for x in batch.column(2).to_pylist()]
+    lengths = [np.frombuffer(x, np.uint32) for x in batch.column(2).to_pylist()]
     terms = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint16).astype(np.int64)
     per_doc = np.array([len(x) for x in lengths], dtype=np.int64)
     n = np.concatenate(lengths).astype(np.int64) if len(lengths) else np.empty(0, np.int64)
@@ -121,6 +133,7 @@ class Model:
         self.vectors = self.centroids = self.label_counts = self.shares = None
 
     def embed(self, s, t, n):
+        s, t = _known(s, t, len(self.vectors))
         out = np.zeros((n, self.vectors.shape[1]), np.float32)
         for lo, hi in _chunks(s, t):
             first = s[lo]
@@ -140,6 +153,7 @@ class Model:
     def by_label(self, s, t, n):
         """Subject by the mean gain of the sentence's terms over chance, from labelled documents, or -1."""
         k = len(self.subjects)
+        s, t = _known(s, t, len(self.vectors))
         gain = np.log((self.label_counts + 4 / k) / (self.label_counts.sum(1, keepdims=True) + 4) * k)
         total = _group_sum(gain[t], s, n) / np.maximum(np.bincount(s, minlength=n), 1)[:, None]
         return np.where(total.max(1) > LABEL_GAIN, total.argmax(1), -1)
@@ -187,9 +201,9 @@ def document_subjects(docs: DataFrame, labels: DataFrame, subjects: list[str]) -
         for batch in batches:
             langs, lengths, terms = [], [], []
             for text in batch.column(1).to_pylist():
-                known = [[names.value[w] for w in s if w in names.value] for s in sentences(text)]
-                lengths.append(np.array([min(len(x), 65_535) for x in known], np.uint16).tobytes())
-                terms.append(np.array([w for x in known for w in x[:65_535]], np.uint16).tobytes())
+                known = [[number_of(w, names.value) for w in s] for s in sentences(text)]
+                lengths.append(np.array([len(x) for x in known], np.uint32).tobytes())
+                terms.append(np.array([w for x in known for w in x], np.uint16).tobytes())
                 langs.append(LANGUAGES.index(language(text) or "en") if (language(text) or "en") in LANGUAGES else len(LANGUAGES) - 1)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(langs, pa.int32()), pa.array(lengths, pa.binary()), pa.array(terms, pa.binary())], names=["id", "lang", "lengths", "terms"])
 
@@ -204,6 +218,7 @@ def document_subjects(docs: DataFrame, labels: DataFrame, subjects: list[str]) -
 
         def add(batch, sums):
             s, t, doc, _ = _batch(batch)
+            s, t = _known(s, t, v)
             d = doc[s] if len(s) else s
             pair, c = np.unique(d * v + t, return_counts=True)
             d, t = pair // v, pair % v
@@ -235,13 +250,13 @@ def document_subjects(docs: DataFrame, labels: DataFrame, subjects: list[str]) -
         single = np.array([o[0] if len(o) == 1 else -1 for o in own])
         m = single[doc] >= 0
         np.add.at(sums["c"], (lang[doc[m]], single[doc[m]]), u[m])
-        pair = np.unique(doc[s] * v + t) if len(s) else np.empty(0, np.int64)
+        pair = np.unique(doc[s] * TERMS + t) if len(s) else np.empty(0, np.int64)
         share = np.zeros((len(own), k))
         for i, o in enumerate(own):
             share[i, o] = 1 / len(o)
-        np.add.at(sums["l"], pair % v, share[pair // v])
+        np.add.at(sums["l"], pair % TERMS, share[pair // TERMS])
 
-    sums = _total(marked, {"c": shape, "l": (v, k)}, seed)
+    sums = _total(marked, {"c": shape, "l": (TERMS, k)}, seed)
     if not sums["l"].any():
         return empty
     unit = lambda c: (c / np.maximum(np.linalg.norm(c, axis=-1, keepdims=True), 1e-9)).astype(np.float32)
@@ -267,16 +282,18 @@ def document_subjects(docs: DataFrame, labels: DataFrame, subjects: list[str]) -
         held = np.zeros((batch.num_rows, k))
         np.add.at(held, (doc[a >= 0], a[a >= 0]), 1)
         main = np.where(held.max(1) > 0, held.argmax(1), -1) if len(held) else np.empty(0, int)
-        tally(sums, s, t, np.where(a >= 0, a, main[doc]), np.where(a >= 0, 1.0, 0.3))
+        rest = np.where(a >= 0, a, main[doc])
+        blank = np.bincount(_known(s, t, v)[0], minlength=n) == 0  # nothing is known yet of sentences without a term of the vocabulary
+        tally(sums, s, t, rest, np.where(a >= 0, 1.0, np.where(blank & (rest < 0), 0.0, 0.3)))
 
     def again(batch, sums):
         s, t, doc, _ = _batch(batch)
         tally(sums, s, t, model.by_terms(s, t, len(doc)), np.ones(len(doc)))
 
     for step in range(ROUNDS):
-        n = _total(coded, {"n": (v, k + 1)}, again if step else first)["n"]
+        n = _total(coded, {"n": (TERMS, k + 1)}, again if step else first)["n"]
         n[:, :k] += 2 * model.label_counts
-        model.shares = np.log((n + 0.1) / (np.maximum(n.sum(0), 1) + 0.1 * v))
+        model.shares = np.log((n + 0.1) / (np.maximum(n.sum(0), 1) + 0.1 * (n.sum(1) > 0).sum()))
 
     def assign(batches):
         for batch in batches:

@@ -92,3 +92,14 @@ def test_subjects_of_held_out_documents(spark):
     assert right >= 150 and not {900, 901, 902} & set(got) and got[903] == {"cooking"}
     assert subjects.document_subjects(docs, labels.where("false"), ["cooking"]).count() == 0
     assert subjects.document_subjects(docs.where("false"), labels, ["cooking"]).count() == 0
+
+
+def test_words_outside_the_vocabulary_count(spark, monkeypatch):
+    monkeypatch.setattr(subjects, "VOCABULARY", 6)
+    common = {"cats": "cat paw fur", "cars": "car tyre road"}
+    rare = {"cats": "whisker kitten purr", "cars": "engine gearbox clutch"}
+    rows = [(i, f"{common[x]} {rare[x]}." if i % 2 else f"{common[x]}.", x) for i, x in enumerate(["cats", "cars", "cars", "cats"] * 15)]
+    docs = spark.createDataFrame([r[:2] for r in rows] + [(900, f"{rare['cats']}."), (901, f"{rare['cars']}.")], "id long, text string")
+    labels = spark.createDataFrame([(i, x) for i, _, x in rows[:30]], "id long, subject string")
+    got = {r.id: r.subject for r in subjects.document_subjects(docs, labels, ["cats", "cars"]).collect()}
+    assert got[900] == "cats" and got[901] == "cars"
