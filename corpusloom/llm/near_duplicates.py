@@ -32,12 +32,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.llm import packed
 from corpusloom.llm import textkernel as K
 from corpusloom.operators.graph import components
-from corpusloom.plans.workspace import materialize, spread
+from corpusloom.plans.workspace import materialize, materialize_counted, spread
 
 _U = np.uint64
-CELL_BITS = 20
+#: Cells of the shingle counts: 2 ** 20, and twice as many for each doubling of the rows beyond ``CELL_ROWS``, up to 2 ** 22 (one byte a cell is broadcast, at most 4 MB).
+CELL_BITS, CELL_ROWS, CELL_MOST = 20, 4_000_000, 22
+#: A list of more postings is split (see ``spread_hot``); entries of a packed bucket, about.
+HOT_LIST, BUCKET = 50_000, 500_000
+ASKS, ASKED = 2, 4
+POSTING = (np.uint64, np.int64, np.int64, np.int32, np.int32)
+MEETING = (np.int64, np.int64, np.int32, np.int32)
 PARTS = 64
 BANDS, BAND_BINS = 4, 6
 SLACK = 0.04
@@ -45,7 +52,7 @@ SLACK = 0.04
 BROADCAST_ROWS = 400_000
 #: 64-bit words of a text's parity sketch: every shingle flips one of its bits, so two sketches differ in at most as many bits as the sets in shingles.
 SKETCH_WORDS = 8
-_SIGN = "kind int, id long, sig long, n int, bands array<long>, sketch array<long>, part int, counts binary"
+_SIGN = "kind int, id long, side int, sig long, n int, bands array<long>, sketch array<long>, part int, counts binary"
 
 
 def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
@@ -62,20 +69,21 @@ def _segments(doc: np.ndarray, n_docs: int) -> tuple[np.ndarray, np.ndarray]:
     return n, np.concatenate(([0], np.cumsum(n)[:-1]))
 
 
-def _signatures(k: int):
-    """Map (id, text) to a row a text with shingles, and the shingle counts of the whole task in compressed parts."""
+def _signatures(k: int, bits: int):
+    """Map (id, text, side) to a row a text with shingles, and the shingle counts of the whole task in compressed parts."""
 
     def run(batches):
-        cells = np.zeros(1 << CELL_BITS, dtype=np.uint32)
-        schema = pa.schema([("kind", pa.int32()), ("id", pa.int64()), ("sig", pa.int64()), ("n", pa.int32()), ("bands", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64())), ("part", pa.int32()), ("counts", pa.binary())])
+        cells = np.zeros(1 << bits, dtype=np.uint32)
+        schema = pa.schema([("kind", pa.int32()), ("id", pa.int64()), ("side", pa.int32()), ("sig", pa.int64()), ("n", pa.int32()), ("bands", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64())), ("part", pa.int32()), ("counts", pa.binary())])
         some = False
         for batch in batches:
             ids, texts = _texts(batch)
+            side = batch.column(2).to_numpy(zero_copy_only=False)
             for lo, h, d, m in K.shingle_sets(texts, k):
                 if not len(h):
                     continue
                 some = True
-                np.add(cells, np.bincount((h >> _U(K.HASH_BITS - CELL_BITS)).astype(np.int64), minlength=len(cells)).astype(np.uint32), out=cells)
+                np.add(cells, np.bincount((h >> _U(K.HASH_BITS - bits)).astype(np.int64), minlength=len(cells)).astype(np.uint32), out=cells)
                 n, start = _segments(d, m)
                 has = np.flatnonzero(n)
                 sig = np.add.reduceat(K.mix(h + _U(0x51ED27)), start[has]) + K.mix(n[has].astype(_U))
@@ -93,7 +101,7 @@ def _signatures(k: int):
                 sketch = np.packbits(flips.reshape(m, wide)[has], axis=1).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.zeros(size, np.int32)), pa.array(ids[lo + has]), pa.array(sig.view(np.int64)), pa.array(n[has].astype(np.int32)),
+                        pa.array(np.zeros(size, np.int32)), pa.array(ids[lo + has]), pa.array(side[lo + has]), pa.array(sig.view(np.int64)), pa.array(n[has].astype(np.int32)),
                         pa.ListArray.from_arrays(np.arange(0, (size + 1) * BANDS, BANDS, dtype=np.int32), pa.array(bands.ravel().view(np.int64))),
                         pa.ListArray.from_arrays(np.arange(0, (size + 1) * SKETCH_WORDS, SKETCH_WORDS, dtype=np.int32), pa.array(sketch.ravel())), pa.nulls(size, pa.int32()), pa.nulls(size, pa.binary()),
                     ],
@@ -103,7 +111,7 @@ def _signatures(k: int):
             step = len(cells) // PARTS
             blobs = [zlib.compress(cells[i * step : (i + 1) * step].tobytes(), 1) for i in range(PARTS)]
             null = [pa.nulls(PARTS, f.type) for f in schema]
-            yield pa.RecordBatch.from_arrays([pa.array(np.ones(PARTS, np.int32)), *null[1:6], pa.array(np.arange(PARTS, dtype=np.int32)), pa.array(blobs, pa.binary())], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(np.ones(PARTS, np.int32)), *null[1:7], pa.array(np.arange(PARTS, dtype=np.int32)), pa.array(blobs, pa.binary())], schema=schema)
 
     return run
 
@@ -124,11 +132,43 @@ def _ceil(x: np.ndarray) -> np.ndarray:
     return np.ceil(x - 1e-9).astype(np.int64)
 
 
-def _postings(k: int, theta: float, ranks):
-    """Map (id, text, comp, csize) to its rarest shingles: (h, id, comp, csize, n, own); own: within the shorter prefix."""
+def hot_chunks(rank: np.ndarray) -> np.ndarray:
+    """Into how many chunks the lists of shingles of these ranks are split: one for about ``HOT_LIST`` postings."""
+    return np.maximum(1, np.ceil((np.exp2(rank / 8.0) - 1) / HOT_LIST)).astype(np.int64)
+
+
+def spread_hot(h: np.ndarray, ids: np.ndarray, comp: np.ndarray, chunks: np.ndarray, n: np.ndarray, own: np.ndarray):
+    """(source place, list key, flag) of every posting.
+
+    A posting of an ordinary list both asks and is asked.  A list of S chunks becomes S * S smaller ones, one for each chunk of the askers
+    (by text) and of the asked (by group): every posting asks in S of them and is asked in S.  What is asked is summed by group within the
+    block first: of the postings of a group and list only the smallest and the largest text of each prefix stay, so a group that holds a third of all rows sends four.
+    """
+    plain = np.flatnonzero(chunks == 1)
+    hot = np.flatnonzero(chunks > 1)
+    if not len(hot):
+        return plain, h[plain], np.full(len(plain), ASKS | ASKED, np.int32)
+    c = chunks[hot]
+    rep = np.repeat(hot, c)
+    j = np.arange(len(rep)) - np.repeat(np.cumsum(c) - c, c)
+    cc = chunks[rep]
+    name = lambda q, g: K.mix(h[rep] * _U(31) + K.mix((q * cc + g + 1).astype(_U))) >> _U(24)
+    asks = name((K.mix(ids[rep].astype(_U)) % cc.astype(_U)).astype(np.int64), j)
+    asked = name(j, (K.mix(comp[rep].astype(_U)) % cc.astype(_U)).astype(np.int64))
+    order = np.lexsort((n[rep], own[rep], comp[rep], asked))
+    head = np.concatenate(([True], (asked[order][1:] != asked[order][:-1]) | (comp[rep][order][1:] != comp[rep][order][:-1]) | (own[rep][order][1:] != own[rep][order][:-1])))
+    last = np.concatenate((head[1:], [True]))
+    keep = order[head | last]
+    return np.concatenate((plain, rep, rep[keep])), np.concatenate((h[plain], asks, asked[keep])), np.concatenate((np.full(len(plain), ASKS | ASKED, np.int32), np.full(len(rep), ASKS, np.int32), np.full(len(keep), ASKED, np.int32)))
+
+
+def _postings(k: int, theta: float, ranks, buckets: int):
+    """Map (id, text, comp, csize) to the packed postings of its rarest shingles; own: within the shorter prefix."""
 
     def run(batches):
         rank = np.frombuffer(ranks.value, dtype=np.uint8)
+        shift = _U(K.HASH_BITS - (len(rank).bit_length() - 1))
+        pack = packed.Packer(buckets, *POSTING)
         for batch in batches:
             ids, texts = _texts(batch)
             comp, csize = (batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 3))
@@ -136,79 +176,102 @@ def _postings(k: int, theta: float, ranks):
                 if not len(h):
                     continue
                 # The block holds under 2**16 texts: 16 bits text, 8 bits rank, 40 bits hash order a text's shingles in one sort.
-                r = rank[(h >> _U(K.HASH_BITS - CELL_BITS)).astype(np.int64)].astype(_U)
+                r = rank[(h >> shift).astype(np.int64)].astype(_U)
                 key = np.sort((d.astype(_U) << _U(48)) | (r << _U(40)) | (h & _U((1 << 40) - 1)))
                 n, start = _segments(d, m)
                 pos = np.arange(len(key)) - np.repeat(start, n)
                 extra = (SLACK * n).astype(np.int64)
                 probe = np.minimum(n, n - _ceil(theta * n) + 1 + extra)
-                own = np.minimum(n, n - _ceil(2 * theta / (1 + theta) * n) + 1 + extra)
+                short = np.minimum(n, n - _ceil(2 * theta / (1 + theta) * n) + 1 + extra)
                 take = pos < np.repeat(probe, n)
                 key, pos = key[take], pos[take]
                 doc = (key >> _U(48)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array((key & _U((1 << 40) - 1)).view(np.int64)), pa.array(ids[lo + doc]), pa.array(comp[lo + doc]), pa.array((n[doc] * 2 + (pos < own[doc])).astype(np.int32)), pa.array(csize[lo + doc])],
-                    names=["h", "id", "comp", "meta", "csize"],
-                )
+                chunks = hot_chunks(np.arange(256))[((key >> _U(40)) & _U(255)).astype(np.int64)]
+                own = (pos < short[doc]).astype(np.int32)
+                at, name, flag = spread_hot(key & _U((1 << 40) - 1), ids[lo + doc], comp[lo + doc], chunks, n[doc], own)
+                doc = doc[at]
+                yield from pack.add(K.mix(name), name, ids[lo + doc], comp[lo + doc], n[doc] * 8 + own[at] + flag, csize[lo + doc])
+        yield from pack.flush()
 
     return run
 
 
-def _meetings(theta: float, limit: int = 2_000_000):
-    """Map a hash partition of the postings to (q, g, n, c): query text q of n shingles met group g c times.
+def _meetings(theta: float, buckets: int, symmetric: bool = True, limit: int = 2_000_000):
+    """Map the exchanged postings to packed (q, g, n, c): query text q of n shingles met group g c times.
 
-    Of two groups the smaller asks and the larger is asked (by size, then name), so that counts of one pair add up.
+    Symmetric: of two groups the smaller asks and the larger is asked (by size, then name), so that counts of one pair add up.
     """
 
-    def emit(q, g, n):
+    def emit(pack, q, g, n):
         order = np.lexsort((g, q))
         q, g, n = q[order], g[order], n[order]
         head = np.flatnonzero(np.concatenate(([True], (q[1:] != q[:-1]) | (g[1:] != g[:-1]))))
         c = np.diff(np.concatenate((head, [len(q)])))
-        return pa.RecordBatch.from_arrays([pa.array(q[head]), pa.array(g[head]), pa.array(n[head].astype(np.int32)), pa.array(c.astype(np.int32))], names=["q", "g", "n", "c"])
+        q, g, n = q[head], g[head], n[head]
+        return pack.add(K.mix(q.astype(_U) * _U(31) + K.mix(g.astype(_U))), q, g, n, c)
 
     def run(batches):
-        parts = [[c.to_numpy(zero_copy_only=False) for c in b.columns] for b in batches if b.num_rows]
-        if not parts:
-            return
-        h, ids, comp, meta, csize = (np.concatenate([p[i] for p in parts]) for i in range(5))
-        del parts
-        order = np.lexsort((comp, h))
-        h, ids, comp, meta, csize = h[order], ids[order], comp[order], meta[order], csize[order]
-        n, own = meta >> 1, (meta & 1).astype(bool)
-        head = np.concatenate(([True], h[1:] != h[:-1]))
-        at = np.flatnonzero(head)
-        m = np.diff(np.concatenate((at, [len(h)])))
-        # Matrix entries: the groups of a shingle, with the sizes of their texts.
-        ghead = np.flatnonzero(head | np.concatenate(([True], comp[1:] != comp[:-1])))
-        g_comp, g_size = comp[ghead], csize[ghead]
-        g_min, g_max, g_own = np.minimum.reduceat(n, ghead), np.maximum.reduceat(n, ghead), np.logical_or.reduceat(own, ghead)
-        u_at = np.searchsorted(ghead, at)
-        u = np.diff(np.concatenate((u_at, [len(ghead)])))
-        lists = np.flatnonzero(u > 1)
-        # Every posting of a list with several groups meets all of its groups, in slices of bounded size.
-        entry = np.concatenate([np.arange(0)] + [np.repeat(at[lists], m[lists]) + (np.arange(m[lists].sum()) - np.repeat(np.cumsum(m[lists]) - m[lists], m[lists]))]).astype(np.int64)
-        width = np.repeat(u[lists], m[lists])
-        base = np.repeat(u_at[lists], m[lists])
-        ends = np.cumsum(width)
-        lo = 0
-        while lo < len(entry):
-            hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + limit, side="right")))
-            w = width[lo:hi]
-            e = np.repeat(entry[lo:hi], w)
-            g = np.repeat(base[lo:hi], w) + (np.arange(w.sum()) - np.repeat(np.cumsum(w) - w, w))
-            lo = hi
-            ask = (csize[e] < g_size[g]) | ((csize[e] == g_size[g]) & (comp[e] < g_comp[g]))
-            e, g = e[ask], g[ask]
-            ok = ((n[e] <= g_max[g]) & own[e]) | ((n[e] >= g_min[g]) & g_own[g])
-            ok &= (g_max[g] >= theta * n[e] - 1e-9) & (theta * g_min[g] <= n[e] + 1e-9)
-            e, g = e[ok], g[ok]
-            if len(e):
-                yield emit(ids[e], g_comp[g], n[e])
+        pack = packed.Packer(buckets, *MEETING)
+        for h, ids, comp, meta, csize in packed.buckets_of(batches, *POSTING):
+            order = np.lexsort((comp, h))
+            asked = order[(meta[order] & ASKED) > 0]
+            asks = order[(meta[order] & ASKS) > 0]
+            # Matrix entries: the groups of a shingle, with the sizes of their texts.
+            gh, gc, gn = h[asked], comp[asked], meta[asked] >> 3
+            if not len(asked) or not len(asks):
+                continue
+            at = np.flatnonzero(np.concatenate(([True], (gh[1:] != gh[:-1]) | (gc[1:] != gc[:-1]))))
+            g_h, g_comp, g_size = gh[at], gc[at], csize[asked][at]
+            g_min, g_max, g_own = np.minimum.reduceat(gn, at), np.maximum.reduceat(gn, at), np.bitwise_or.reduceat(meta[asked] & 1, at) > 0
+            left, right = np.searchsorted(g_h, h[asks], "left"), np.searchsorted(g_h, h[asks], "right")
+            busy = np.flatnonzero((right - left > 1) | ((right > left) & (g_comp[np.minimum(left, len(g_comp) - 1)] != comp[asks])))
+            asks, base, width = asks[busy], left[busy], (right - left)[busy]
+            ends = np.cumsum(width)
+            lo = 0
+            while lo < len(asks):  # slices of bounded size
+                hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + limit, side="right")))
+                w = width[lo:hi]
+                e = np.repeat(asks[lo:hi], w)
+                g = np.repeat(base[lo:hi], w) + (np.arange(w.sum()) - np.repeat(np.cumsum(w) - w, w))
+                lo = hi
+                n = meta[e] >> 3
+                ok = (g_max[g] >= theta * n - 1e-9) & (theta * g_min[g] <= n + 1e-9) & (comp[e] != g_comp[g])
+                if symmetric:
+                    ok &= (csize[e] < g_size[g]) | ((csize[e] == g_size[g]) & (comp[e] < g_comp[g]))
+                    ok &= ((n <= g_max[g]) & ((meta[e] & 1) > 0)) | ((n >= g_min[g]) & g_own[g])
+                e, g, n = e[ok], g[ok], n[ok]
+                if len(e):
+                    yield from emit(pack, ids[e], g_comp[g], n)
+        yield from pack.flush()
 
     return run
 
 
+def _met_often(share: float):
+    """Map exchanged meetings to (q, g) met at least 1 + floor(share * n) times."""
+
+    def run(batches):
+        for q, g, n, c in packed.buckets_of(batches, *MEETING):
+            order = np.lexsort((g, q))
+            q, g, n, c = q[order], g[order], n[order], c[order]
+            at = np.flatnonzero(np.concatenate(([True], (q[1:] != q[:-1]) | (g[1:] != g[:-1]))))
+            ok = np.add.reduceat(c, at) >= 1 + np.floor(share * n[at] + 1e-9)
+            yield pa.RecordBatch.from_arrays([pa.array(q[at[ok]]), pa.array(g[at[ok]])], names=["q", "g"])
+
+    return run
+
+
+def bucket_count(df: DataFrame, entries: float) -> int:
+    """Buckets of about ``BUCKET`` entries, four a shuffle partition at least."""
+    return int(max(4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), entries // BUCKET + 1))
+
+
+def meet(posted: DataFrame, theta: float, share: float, buckets: int, symmetric: bool = True) -> DataFrame:
+    """(q, g): texts and groups that meet at least 1 + floor(share * n) times in the lists of ``posted``."""
+    met = packed.exchange(posted).mapInArrow(_meetings(theta, buckets, symmetric), packed.SCHEMA)
+    return packed.exchange(met).mapInArrow(_met_often(share), "q long, g long")
+
+
 def _sets(k: int):
     """Map (id, text) to (id, set): the sorted shingle hashes, 8 bytes each."""
 
@@ -242,7 +305,7 @@ def _near(theta: float):
 def admissible(pairs: DataFrame, sketches: DataFrame, theta: float) -> DataFrame:
     """The pairs (a, b) that sizes and parity sketches (id, n, sketch) don't rule out; no near pair is ruled out."""
     x, y = (sketches.select(F.col("id").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"s{c}")) for c in "ab")
-    both = pairs.join(x, "a").join(y, "b")
+    both = x.join(small(pairs), "a").join(y, "b")
     differ = F.aggregate(F.zip_with("sa", "sb", lambda u, v: F.bit_count(u.bitwiseXOR(v))), F.lit(0), lambda t, v: t + v)
     total = F.col("na") + F.col("nb")
     need = F.ceil(F.lit(theta / (1 + theta)) * total - 1e-9)
@@ -258,59 +321,60 @@ def verify_pairs(pairs: DataFrame, texts: DataFrame, k: int, theta: float) -> Da
 
 
 class Signed(NamedTuple):
-    """What the signature and partition steps give: classes(id, rep, copies, sig, n, bands, sketch), the broadcast shingle ranks,
-    star links (a, b) and the partition (node, root) of the representatives that have one."""
+    """What the signature and partition steps give: texts(id, text, side), classes(id, side, rep, copies, sig, n, bands, sketch), the broadcast
+    shingle ranks, star links (a, b), the partition (node, root) of the representatives that have one, and the shingles of all representatives."""
 
     texts: DataFrame
     classes: DataFrame
     ranks: object
     star_links: DataFrame
     parts: DataFrame
+    shingles: int
 
 
 def sign(texts: DataFrame, k: int, theta: float) -> Signed:
-    """Steps 1 and 2 over ``texts(id, text)``."""
-    texts = texts.select(F.col("id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).where("id is not null")
-    texts = spread(texts)
-    signed = materialize(texts.mapInArrow(_signatures(k), _SIGN), "signed")
+    """Steps 1 and 2 over ``texts(id, text)``; with a column ``side`` (int) equal and near texts of different sides are not united here."""
+    side = F.col("side").cast("int") if "side" in texts.columns else F.lit(0)
+    texts = texts.select(F.col("id").cast("long").alias("id"), F.col("text").cast("string").alias("text"), F.coalesce(side, F.lit(0)).alias("side")).where("id is not null")
+    texts, rows = materialize_counted(spread(texts), "texts")
+    bits = min(CELL_MOST, CELL_BITS + max(0, (rows // CELL_ROWS).bit_length()))
+    signed = materialize(texts.mapInArrow(_signatures(k, bits), _SIGN), "signed")
     docs = signed.where("kind = 0")
-    classes = docs.groupBy("sig", "n").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
-    classes = materialize(docs.select("id", "sig", "n", "bands", "sketch").join(classes, ["sig", "n"]), "classes")
+    classes = docs.groupBy("sig", "n", "side").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
+    classes = materialize(docs.select("id", "side", "sig", "n", "bands", "sketch").join(classes, ["sig", "n", "side"]), "classes")
+    shingles = classes.where("id = rep").agg(F.sum("n")).first()[0] or 0
 
-    cells = signed.where("kind = 1").select("part", "counts").repartition(PARTS, "part").mapInArrow(_add_counts, "part int, ranks binary").collect()  # 64 rows, 1 MB in all, whatever the input
-    ranks = np.zeros(1 << CELL_BITS, dtype=np.uint8)
+    cells = signed.where("kind = 1").select("part", "counts").repartition(PARTS, "part").mapInArrow(_add_counts, "part int, ranks binary").collect()  # 64 rows, 4 MB in all at most
+    ranks = np.zeros(1 << bits, dtype=np.uint8)
     step = len(ranks) // PARTS
     for row in cells:
         ranks[row.part * step : (row.part + 1) * step] = np.frombuffer(row.ranks, np.uint8)
     table = texts.sparkSession.sparkContext.broadcast(ranks.tobytes())
 
-    # Partition: each text of a band against the band's first.
+    # Partition: each text of a band against the band's first of the same side.
     reps = classes.where("id = rep")
-    banded = reps.select("id", F.posexplode("bands").alias("b", "v"))
-    leaders = banded.groupBy("b", "v").agg(F.min("id").alias("a"), F.count("*").alias("m")).where("m > 1").select("b", "v", "a")
-    met = banded.join(leaders, ["b", "v"]).where("id <> a").select("a", F.col("id").alias("b")).distinct()
+    banded = reps.select("id", "side", F.posexplode("bands").alias("b", "v"))
+    leaders = banded.groupBy("side", "b", "v").agg(F.min("id").alias("a"), F.count("*").alias("m")).where("m > 1").select("side", "b", "v", "a")
+    met = materialize(banded.join(leaders, ["side", "b", "v"]).where("id <> a").select("a", F.col("id").alias("b")).distinct(), "met")
     stars = materialize(admissible(met, reps.select("id", "n", "sketch"), theta), "stars")
     star_links = materialize(verify_pairs(stars, texts, k, theta), "starlinks")
-    return Signed(texts, classes, table, star_links, materialize(components(star_links), "groups"))
+    return Signed(texts, classes, table, star_links, materialize(components(star_links), "groups"), int(shingles))
 
 
-def matrix_links(signed: Signed, k: int, theta: float, leave_out: DataFrame | None = None) -> DataFrame:
-    """Steps 3 and 4: links (a, b) between representatives of different groups; representatives in ``leave_out(id)`` take no part."""
+def matrix_links(signed: Signed, k: int, theta: float, leave_out: int | None = None) -> DataFrame:
+    """Steps 3 and 4: links (a, b) between representatives of different groups; those of the side ``leave_out`` take no part."""
     texts, classes, parts = signed.texts, signed.classes, signed.parts
     sizes = parts.groupBy("root").agg(F.count("*").cast("int").alias("csize"))
     grouped = parts.join(sizes, "root").select(F.col("node").alias("id"), F.col("root").alias("comp"), "csize")
-    special = classes.where("id <> rep").select("id", F.lit(None).cast("long").alias("comp"), F.lit(0).alias("csize"))
-    if leave_out is not None:
-        grouped = grouped.join(leave_out, "id", "left_anti")
-        special = special.union(leave_out.select("id", F.lit(None).cast("long"), F.lit(0)))
-    special = materialize(special.union(grouped), "special")
-
-    reading = texts.join(small(special), "id", "left").where("csize is null or csize > 0").select("id", "text", F.coalesce("comp", "id").alias("comp"), F.coalesce("csize", F.lit(1)).alias("csize"))
-    posted = reading.mapInArrow(_postings(k, theta, signed.ranks), "h long, id long, comp long, meta int, csize int")
-    met = posted.repartition("h").mapInArrow(_meetings(theta), "q long, g long, n int, c int")
-    open_ = met.groupBy("q", "g").agg(F.sum("c").alias("c"), F.max("n").alias("n")).where(F.col("c") >= 1 + F.floor(F.lit(SLACK * theta) * F.col("n"))).select("q", "g")
-    members = open_.join(grouped.select(F.col("comp").alias("g"), F.col("id").alias("node")), "g", "left").select(F.col("q").alias("a"), F.coalesce("node", "g").alias("b"))
-    opened = materialize(admissible(members, classes.where("id = rep").select("id", "n", "sketch"), theta), "opened")
+    special = materialize(classes.where("id <> rep").select("id", F.lit(None).cast("long").alias("comp"), F.lit(0).alias("csize")).union(grouped), "special")
+
+    part = texts if leave_out is None else texts.where(F.col("side") != leave_out)
+    reading = part.join(small(special), "id", "left").where("csize is null or csize > 0").select("id", "text", F.coalesce("comp", "id").alias("comp"), F.coalesce("csize", F.lit(1)).alias("csize"))
+    buckets = bucket_count(texts, 0.45 * signed.shingles)
+    posted = reading.mapInArrow(_postings(k, theta, signed.ranks, buckets), packed.SCHEMA)
+    open_ = materialize(meet(posted, theta, SLACK * theta, buckets), "open")
+    members = open_.join(small(materialize(grouped.select(F.col("comp").alias("g"), F.col("id").alias("node")), "grouped")), "g", "left").select(F.col("q").alias("a"), F.coalesce("node", "g").alias("b"))
+    opened = materialize(admissible(materialize(members, "members"), classes.where("id = rep").select("id", "n", "sketch"), theta), "opened")
     return verify_pairs(opened, texts, k, theta)
 
 
@@ -334,8 +398,23 @@ def near_duplicate_groups(texts: DataFrame, k: int = 5, theta: float = 0.8) -> D
 
 def group_pairs(groups: DataFrame) -> DataFrame:
     """The pairs (seq_lo, seq_hi) of ids that share a group."""
-    x, y = groups.select(F.col("id").alias("seq_lo"), "grp"), groups.select(F.col("id").alias("seq_hi"), "grp")
-    return x.join(y, "grp").where("seq_lo < seq_hi").select("seq_lo", "seq_hi")
+    return pairs_within(groups.select("id", "grp"), groups.select("id", "grp"), "grp").where("x < y").select(F.col("x").alias("seq_lo"), F.col("y").alias("seq_hi"))
+
+
+def pairs_within(left: DataFrame, right: DataFrame, key: str, chunk: int = 2000) -> DataFrame:
+    """(x, y): every id of ``left(id, key)`` with every id of ``right(id, key)`` of the same key.
+
+    Keys of more than ``chunk`` rows are cut into chunks on both sides, so that no task holds a whole key: chunk i of the left meets chunk j of
+    the right in the part (key, i, j).  Null keys never match.
+    """
+    count = lambda df, name: df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias(name))
+    hot = count(left, "l").join(count(right, "r"), key).where((F.col("l") > chunk) | (F.col("r") > chunk))
+    hot = small(materialize(hot.select(key, F.ceil(F.col("l") / chunk).cast("int").alias("lc"), F.ceil(F.col("r") / chunk).cast("int").alias("rc")), "hotkeys"))
+    own = lambda m: F.pmod(F.xxhash64("id"), F.coalesce(m, F.lit(1))).cast("int")
+    every = lambda m: F.explode(F.sequence(F.lit(0), F.coalesce(F.col(m), F.lit(1)) - 1))
+    a = left.join(hot, key, "left").select(key, F.col("id").alias("x"), own(F.col("lc")).alias("i"), every("rc").alias("j"))
+    b = right.join(hot, key, "left").select(key, F.col("id").alias("y"), every("lc").alias("i"), own(F.col("rc")).alias("j"))
+    return a.join(b, [key, "i", "j"]).select("x", "y")
 
 
 def record_texts(records: DataFrame, *further: str) -> DataFrame:

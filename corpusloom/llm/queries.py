@@ -17,27 +17,42 @@ def _read(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
-def _p1_members(spark: SparkSession, d: str) -> list[tuple[str, DataFrame, str]]:
-    records, samples = _read(spark, d, "sft_records"), _read(spark, d, "samples")
-    told = near_duplicates.record_texts(records.withColumn("side", F.col("split")), "side").withColumnRenamed("side", "split")
-    files = samples.select(F.col("sample_seq").alias("id"), splits.preset_key(F.col("gt_preset_path")).alias("file"), "split").where("file is not null")
-    return [("sft_records", cross_splits.cross_split_groups(told, k=3, theta=0.6), "grp"), ("samples", files, "file")]
+def _preset_files(spark: SparkSession, d: str) -> DataFrame:
+    samples = _read(spark, d, "samples")
+    return samples.select(F.col("sample_seq").alias("id"), splits.preset_key(F.col("gt_preset_path")).alias("file"), "split").where("file is not null")
+
+
+def _told(spark: SparkSession, d: str) -> DataFrame:
+    records = _read(spark, d, "sft_records")
+    return near_duplicates.record_texts(records.withColumn("side", F.col("split")), "side").withColumnRenamed("side", "split")
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
     """(tbl, seq_lo, seq_hi): pairs of rows across train and the other splits that are near-same records or name the same preset file."""
-    parts = [cross_splits.cross_pairs(m, key).select(F.lit(t).alias("tbl"), "seq_lo", "seq_hi") for t, m, key in _p1_members(spark, d)]
-    return parts[0].union(parts[1])
+    parts = [("sft_records", cross_splits.cross_split_groups(_told(spark, d), k=3, theta=0.6), "grp"), ("samples", _preset_files(spark, d), "file")]
+    found = [cross_splits.cross_pairs(m, key).select(F.lit(t).alias("tbl"), "seq_lo", "seq_hi") for t, m, key in parts]
+    return found[0].union(found[1])
 
 
 def p1_report(spark: SparkSession, d: str) -> DataFrame:
-    """(tbl, split, source, n_rows): held-out rows with an overlapping row in train, by split and source."""
+    """(tbl, split, source, n_rows, n_links, n_matches, n_spans, n_words): held-out rows with an overlapping row in train, by split and source.
+
+    The last four come from the index: near texts of train that were aligned with a row (one of each group of the index a text, equal rows
+    share those of their class), their maximal matches, and the spans and words of the text that these cover; 0 for samples.
+    """
+    told = _told(spark, d)
+    found = cross_splits.overlaps(told, k=3, theta=0.6)
+    rep = found.classes.select("id", "rep").join(told.select("id", "split"), "id")
+    trained = rep.where("split = 'train'").select(F.col("rep").alias("a")).distinct()
+    spans = found.links.join(trained, "a", "left_semi").groupBy(F.col("b").alias("rep")).agg(*[f.alias(n) for f, n in ((F.count("*"), "n_links"), (F.sum("matches"), "n_matches"), (F.sum("spans"), "n_spans"), (F.sum("words"), "n_words"))])
+    counts = rep.join(spans, "rep").select("id", "n_links", "n_matches", "n_spans", "n_words")
     out = []
-    for (t, members, key), (name, seq) in zip(_p1_members(spark, d), (("sft_records", "input_seq"), ("samples", "sample_seq")), strict=True):
+    for t, members, key, name, seq in (("sft_records", found.groups, "grp", "sft_records", "input_seq"), ("samples", _preset_files(spark, d), "file", "samples", "sample_seq")):
         in_train = members.where("split = 'train'").select(key).distinct()
         hit = members.where("split in ('val', 'test')").join(in_train, key, "left_semi").select("id", "split")
         sources = _read(spark, d, name).select(F.col(seq).alias("id"), "source")
-        out.append(hit.join(sources, "id").groupBy(F.lit(t).alias("tbl"), "split", "source").agg(F.count("*").alias("n_rows")))
+        hit = hit.join(sources, "id").join(counts, "id", "left") if t == "sft_records" else hit.join(sources, "id").withColumns({c: F.lit(0).cast("long") for c in counts.columns[1:]})
+        out.append(hit.groupBy(F.lit(t).alias("tbl"), "split", "source").agg(F.count("*").alias("n_rows"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts.columns[1:]]))
     return out[0].union(out[1])
 
 
