@@ -1,13 +1,14 @@
 """Defects of prompt and response pairs, by ordered rules.
 
-The rules run in the order of ``DEFECTS``; ``defects`` of a pair holds every one that is triggered and
+The rules run in the order of ``DEFECTS``, each over the whole texts; ``defects`` of a pair holds every one that is triggered and
 ``defect`` the first.  Only the two texts of a pair reach Python, in Arrow batches; nothing is shuffled.
 
 empty           no letter or digit is left after hidden reasoning, tags, invisible characters and punctuation are taken away
-refusal         the first sentence declines the task in one of the languages below, and little else follows
-copy            the words of the answer are those of the prompt, in their order, but for a few
-other_language  the answer's script or function words belong to another language than the prompt asks for, or is written in
 truncated       a bracket, brace, quotation of a list or code fence stays open, or the text ends inside a sentence or item
+refusal         a clause declines in one of the languages below, and at least half of all words stand in clauses that decline, apologise,
+                give the reason for it or take leave, so that no answer is given besides
+copy            four fifths of the answer's runs of three words are runs of the prompt (of a shorter answer: its words begin the prompt)
+other_language  the answer's script, function words, letters and endings belong to another language than the prompt asks for, or is written in
 """
 
 from __future__ import annotations
@@ -21,7 +22,9 @@ from pyspark.sql import functions as F
 
 from corpusloom.plans.workspace import spread
 
-DEFECTS = ("empty", "refusal", "copy", "other_language", "truncated")
+DEFECTS = ("empty", "truncated", "refusal", "copy", "other_language")
+#: Share of an answer's runs of three words that makes it a copy.
+COPIED = 0.8
 
 # Function words by language (fixed lists).
 FUNCTION_WORDS = {
@@ -37,6 +40,17 @@ _SPEAKS: dict[str, list[str]] = {}
 for _k, _v in FUNCTION_WORDS.items():
     for _w in _v.split():
         _SPEAKS.setdefault(_w, []).append(_k)
+# Letters and word endings that speak for a language (fixed lists); those of several share a vote.
+_LETTERS: dict[str, list[str]] = {}
+for _k, _v in {"de": "äöüß", "fr": "éèêëàâçœîïûù", "es": "éáíóúñ¿¡", "pt": "éáíóúãõçâê", "it": "èàòìù", "nl": "ëï"}.items():
+    for _w in _v:
+        _LETTERS.setdefault(_w, []).append(_k)
+_MARKED = re.compile("[" + "".join(_LETTERS) + "]")
+_ENDINGS = {
+    "ción": ["es"], "dad": ["es"], "mente": ["es", "it", "pt"], "ando": ["es", "it", "pt"], "zione": ["it"], "ção": ["pt"], "dade": ["pt"], "tion": ["fr", "en"], "ment": ["fr", "en"], "eur": ["fr"], "eux": ["fr"], "aux": ["fr"], "ique": ["fr"],
+    "ung": ["de"], "keit": ["de"], "lich": ["de"], "isch": ["de"], "schaft": ["de"], "ing": ["en"], "ness": ["en"], "ally": ["en"], "heid": ["nl"], "lijk": ["nl"],
+}
+_ENDING = re.compile("(?:" + "|".join(sorted(_ENDINGS, key=len, reverse=True)) + ")$")
 _SCRIPTS = (
     ("ja", re.compile("[぀-ヿ]")), ("zh", re.compile("[一-鿿]")), ("ko", re.compile("[가-힯]")), ("ru", re.compile("[Ѐ-ӿ]")), ("ar", re.compile("[؀-ۿ]")),
     ("el", re.compile("[Ͱ-Ͽ]")), ("he", re.compile("[֐-׿]")), ("hi", re.compile("[ऀ-ॿ]")), ("th", re.compile("[฀-๿]")),
@@ -50,13 +64,14 @@ LANGUAGE_NAMES = {
     "nl": "dutch niederländisch néerlandais neerlandés", "ja": "japanese japanisch japonais japonés", "zh": "chinese chinesisch chinois chino", "ru": "russian russisch russe ruso",
 }
 _NAMED = {w: k for k, v in LANGUAGE_NAMES.items() for w in v.split()}
+_IN = re.compile(r"\b(?:in|auf|en|em)\s+(" + "|".join(sorted(_NAMED, key=len, reverse=True)) + r")\W*$", re.I)
 _ASK = re.compile(r"\b(?:answer|reply|respond|write|antworte\w*|schreib\w*|réponds?|répondez|responde|responda|contesta|escribe|rispondi)\b(?:[^.?!\n]{0,30}?)\b(?:in|auf|en|em)\s+(" + "|".join(sorted(_NAMED, key=len, reverse=True)) + r")\b", re.I)
 # Ways to decline (fixed lists), over lower-cased text with straight apostrophes.
 _REFUSALS = re.compile(
     "|".join(
         (
             r"\bi (?:can't|cannot|can not|could not|couldn't|won't be able to|will not be able to|am not able to|am unable to|'m unable to) (?:help|assist|say anything|listen|judge|process|answer|comply|provide|do (?:this|that|it)|continue|give|hear (?:files|audio|sound|the)|access|open|discuss|work on|fulfil|create|complete|engage|offer|evaluate|rate)",
-            r"\bi'm (?:unable|not able) to (?!raise|lower|reach)", r"\bi (?:won't|will not) (?:help|assist|answer|judge|do|provide|comply|work)", r"\bi (?:must|have to|need to) (?:decline|refuse) (?:to\b|this|your|the request)",
+            r"\bi(?:'m| am) (?:unable|not able) to\b", r"\bi (?:won't|will not) (?:help|assist|answer|judge|do|provide|comply|work)", r"\bi (?:must|have to|need to) (?:decline|refuse) (?:to\b|this|your|the request)",
             r"\bi (?:decline|refuse) to\b", r"\bi would rather not\b", r"\bi'd rather not\b", r"\bi (?:don't|do not) have the (?:ability|means|tools)", r"\bi have no (?:way|access|means|ability)", r"\bnot possible for me to\b",
             r"\b(?:isn't|is not|not) something i can\b", r"\bbeyond what i can\b", r"\boutside what i (?:do|can)\b", r"\bno answer can be given\b", r"\bagainst my guidelines\b", r"^as an ai\b[^.]*\b(?:can't|cannot|unable|not)\b",
             r"\b(?:kann|könnte|darf|möchte|werde) ich (?:dir |ihnen |euch |das |dies |dabei |hier |darauf |leider |es )*nicht\b", r"\bich (?:kann|darf|möchte|werde) (?:dir |ihnen |das |dies |dabei |darauf |hier |leider )*nicht\b", r"\bist (?:es )?mir (?:leider )?nicht möglich\b", r"\bes ist mir nicht möglich\b", r"\bich bin (?:leider )?nicht in der lage\b", r"\bmuss ich (?:leider )?ablehnen\b",
@@ -66,13 +81,29 @@ _REFUSALS = re.compile(
         )
     )
 )
+# What goes with declining: apologies, reasons and leave-taking (fixed lists).
+_COURTESY = re.compile(
+    "|".join(
+        (
+            r"\b(?:sorry|apologi[sz]e|apologies|unfortunately|regret|afraid)\b", r"\bplease (?:ask|try|consult|contact|feel|let)\b", r"\b(?:anything|something) else\b", r"\b(?:hope|trust) (?:that )?you\b", r"\bunderstand(?:ing)?\b", r"\blet me know\b", r"\bthank(?:s| you)\b",
+            r"\bguidelines?\b|\bpolic(?:y|ies)\b", r"\boutside what\b|\bbeyond (?:what|my)\b", r"\bas an? (?:ai|assistant|language model)\b", r"\bi (?:have|was given) no\b", r"\bi (?:do|am|can|could|will|would|was|have|may|must|should)(?: not|n't)\b", r"\bno access\b", r"\binstead\b", r"\bhappy to help\b", r"\byou (?:could|may|might|can) (?:try|ask|want|use|consult)\b",
+            r"\b(?:leider|entschuldig\w*|verzeih\w*|bedau\w+|tut mir leid|verständnis|richtlinien|etwas anderes|andere frage|kann ich sonst|stattdessen)\b", r"\bich (?:habe|bin|kann|darf) (?:\w+ )?(?:kein\w*|nicht)\b",
+            r"\b(?:désolée?|malheureusement|excuse\w*|regrette|compréhension|comprends|comprenez|règles|consignes|autre (?:chose|question))\b", r"\b(?:posez|essayez|demandez)\b", r"\bje n['e]",
+            r"\b(?:lo siento|lamento|lamentablemente|disculp\w*|perdón|comprensión|comprendas?|entiendas?|normas|políticas|otra (?:cosa|pregunta)|algo más)\b", r"\b(?:pregunta|pregúntame|prueba|intenta)\b.*\botra\b", r"\bno (?:tengo|puedo|debo|soy)\b",
+            r"\b(?:mi dispiace|purtroppo|scusa\w*|desculpe\w*|infelizmente|lamento)\b",
+        )
+    )
+)
 _THINK = re.compile(r"<(think|thinking|reasoning|scratchpad)>.*?(?:</\1>|\Z)", re.S | re.I)
 _TAG = re.compile(r"</?[A-Za-z][\w:-]*(?:\s[^<>]*)?/?>|<\|[^<>|]*\|>")
 _SENTENCE = re.compile(r"(?<=[.!?。！？])[\s\"'”’)\]]*(?=\S)|\n+")
 _WORD = re.compile(r"[^\W_]+")
 _PLAIN = re.compile(r"[^\W\d_]+")
+_REASON = re.compile(r"\s*(?:as|since|because|da|weil|denn|car|puisque|parce|porque|pues|ya que|poiché|perché)\b")
+_CLAUSE = re.compile(r"[,;:—–]")
 _ITEM = re.compile(r"^(?:[-*•+]|\d{1,3}[.)])\s")
 _DONE = re.compile(r"(?:[.!?…。！？؟।]|[.!?…。！？][\"'”’»)\]]+)$")
+_LABEL = re.compile(r"^\w+(?:[ -]\w+){0,2}:(?:\s+\S+){1,6}$")
 _CUT_NUMBER = re.compile(r"\b\d{1,3}\.$")
 
 
@@ -86,31 +117,44 @@ def is_empty(answer: str | None) -> bool:
     return not any(c.isalnum() for c in _bare(answer))
 
 
-def is_refusal(answer: str) -> bool:
+def is_refusal(answer: str | None) -> bool:
     text = _bare(answer).strip().lower().replace("’", "'").replace("‘", "'")
-    if len(text) > 600:
+    if not _REFUSALS.search(text):
         return False
-    parts = [s for s in _SENTENCE.split(text) if s and s.strip()]
-    if not parts or len(parts) > 5:
+    declines = aside = total = 0
+    for sentence in _SENTENCE.split(text):
+        declined = False  # in this sentence; a reason given for it belongs to it
+        for clause in _CLAUSE.split(sentence or ""):
+            n = len(_WORD.findall(clause))
+            total += n
+            if n and _REFUSALS.search(clause):
+                declines, declined = declines + n, True
+            elif n and (_COURTESY.search(clause) or declined and _REASON.match(clause)):
+                aside += n
+    return declines > 0 and 2 * (declines + aside) >= total
+
+
+def is_copy(prompt: str | None, answer: str | None) -> bool:
+    a, p = _WORD.findall(_bare(answer).lower()), _WORD.findall(_bare(prompt).lower())
+    if not a or not p:
         return False
-    return any(_REFUSALS.search(s) for s in parts[:2])
+    if len(a) < 6:  # too short for a share: the prompt's beginning, and most of it
+        return a == p[: len(a)] and len(a) >= 0.8 * len(p)
+    runs = set(zip(p, p[1:], p[2:], strict=False))
+    mine = list(zip(a, a[1:], a[2:], strict=False))
+    return sum(x in runs for x in mine) >= COPIED * len(mine)
 
 
-def is_copy(prompt: str | None, answer: str) -> bool:
-    if not prompt or len(answer) > 3 * len(prompt) + 200:
-        return False
-    a, p = _WORD.findall(_bare(answer).lower()), _WORD.findall(_bare(prompt).lower())
-    if len(a) < 4 or not p or len(a) > 1.25 * len(p) + 2:
-        return False
-    shared = sum((Counter(a) & Counter(p)).values())
-    if shared < 0.8 * len(a):
-        return False
-    runs = set(zip(p, p[1:], strict=False))
-    return sum(x in runs for x in zip(a, a[1:], strict=False)) >= 0.6 * (len(a) - 1)
+def _weights() -> dict[str, tuple[tuple[str, float], ...]]:
+    """Of a function word, the languages that have it, which share one vote."""
+    return {w: tuple((k, 1 / len(ks)) for k in ks) for w, ks in _SPEAKS.items()}
+
+
+_VOTES = _weights()
 
 
 def language(text: str) -> str | None:
-    """Language by script or function words; null if the text doesn't say."""
+    """Language by script, or by the votes of function words, letters and endings; null if the text doesn't say."""
     if not text.isascii() and not _EXTENDED_LATIN.fullmatch(text):
         latin = len(_LATIN.findall(text))
         for name, script in _SCRIPTS:
@@ -118,16 +162,21 @@ def language(text: str) -> str | None:
             if n >= 4 and n * 3 > latin * (1 if name in ("ja", "zh", "ko") else 2):
                 return name
     words = _PLAIN.findall(text.lower())
-    found: Counter = Counter()
-    for w in words:
-        if w in _SPEAKS:
-            found.update(_SPEAKS[w])
-    top = found.most_common(2)
-    if not top or top[0][1] < 3 or top[0][1] < 0.08 * len(words):
-        return None
-    if len(top) > 1 and top[1][1] > 0.75 * top[0][1]:
+    votes: dict[str, float] = {}
+    for w, n in Counter(words).items():
+        for k, v in _VOTES.get(w, ()):
+            votes[k] = votes.get(k, 0.0) + n * v
+        if len(w) > 5 and (m := _ENDING.search(w)):
+            for k in _ENDINGS[m.group()]:
+                votes[k] = votes.get(k, 0.0) + n * 0.5 / len(_ENDINGS[m.group()])
+    if not text.isascii():
+        for c, n in Counter(_MARKED.findall(text.lower())).items():
+            for k in _LETTERS[c]:
+                votes[k] = votes.get(k, 0.0) + n * 0.5 / len(_LETTERS[c])
+    top = sorted(votes.items(), key=lambda x: (-x[1], x[0]))[:2]
+    if not top or top[0][1] < 1.5 or top[0][1] < 0.04 * len(words):
         return None
-    return top[0][0]
+    return None if len(top) > 1 and top[1][1] > 0.75 * top[0][1] else top[0][0]
 
 
 def is_other_language(prompt: str | None, answer: str) -> bool:
@@ -135,6 +184,8 @@ def is_other_language(prompt: str | None, answer: str) -> bool:
     if not got or not prompt:
         return False
     asked = _ASK.findall(prompt)
+    if not asked:  # a short sentence that ends with the language, however the asking is worded
+        asked = [m.group(1) for x in _SENTENCE.split(prompt) if x and len(x.split()) <= 5 and (m := _IN.search(x))]
     want = _NAMED[asked[-1].lower()] if asked else language(_bare(prompt))
     return bool(want and want != got)
 
@@ -193,7 +244,7 @@ def is_truncated(answer: str) -> bool:
             return not last.rsplit(":", 1)[1].strip()
         others = [x for x in lines[:-1]]
         return bool(others) and (all(":" in x for x in others) or all(_DONE.search(x) for x in others)) or not others and len(last.split()) > 8
-    if re.match(r"^[A-Z][A-Z_ ]{2,}:\s*\S", last):  # a labelled closing line
+    if _LABEL.match(last):  # a labelled line holds a value, not a sentence
         return False
     if last.endswith(('"', "'", "”", "’", "»", "*", "`", "|", ">")):
         return last.count('"') % 2 == 1
@@ -201,10 +252,9 @@ def is_truncated(answer: str) -> bool:
 
 
 def defects(prompt: str | None, answer: str | None) -> list[str]:
-    """Every defect of a pair, in the order of DEFECTS.  An empty answer has no other."""
-    if is_empty(answer):
-        return ["empty"]
-    return [name for name, hit in (("refusal", is_refusal(answer)), ("copy", is_copy(prompt, answer)), ("other_language", is_other_language(prompt, answer)), ("truncated", is_truncated(answer))) if hit]
+    """Every defect of a pair, in the order of DEFECTS."""
+    rules = (is_empty(answer), is_truncated(answer or ""), is_refusal(answer), is_copy(prompt, answer), is_other_language(prompt, answer or ""))
+    return [name for name, hit in zip(DEFECTS, rules, strict=True) if hit]
 
 
 def broken_pairs(pairs: DataFrame) -> DataFrame:

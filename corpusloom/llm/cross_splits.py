@@ -60,16 +60,26 @@ class TextIndex:
         start = np.concatenate(([0], np.cumsum(n + 1))).astype(np.int64)
         text = np.zeros(int(start[-1]), dtype=np.int64)
         text[np.arange(len(w)) + d] = symbols + 1
+        size = len(text)
         rank = text + m - 1
         rank[start[1:] - 1] = np.arange(m)
-        size, depth, distinct = len(text), 1, 0
-        while distinct < size:  # prefix doubling until every suffix has its place
-            after = np.zeros(size, dtype=np.int64)
-            after[:-depth] = rank[depth:] + 1
-            key = rank * (int(rank.max()) + 2) + after
-            values, rank = np.unique(key, return_inverse=True)
-            distinct, depth = len(values), depth * 2
-            del after, key, values
+        # A suffix's rank is the number of smaller ones, by its first ``depth`` words; those that share a rank are ordered further, by twice as many.
+        open_, depth = np.arange(size), 0
+        while len(open_):
+            after = rank[np.minimum(open_ + depth, size - 1)] if depth else np.zeros(size, np.int64)
+            by = np.lexsort((after, rank[open_])) if depth else np.argsort(rank, kind="stable")
+            open_, after = open_[by], after[by]
+            group = rank[open_]
+            head = np.concatenate(([True], group[1:] != group[:-1]))
+            own = np.concatenate(([True], head[1:] | (after[1:] != after[:-1])))
+            place = np.arange(len(open_))
+            place -= np.maximum.accumulate(np.where(head, place, 0))
+            base = group if depth else np.arange(size) - place
+            place = np.maximum.accumulate(np.where(own, np.arange(len(open_)), 0)) - np.maximum.accumulate(np.where(head, np.arange(len(open_)), 0))
+            rank[open_] = base + place
+            single = own & np.concatenate((own[1:], [True]))
+            open_ = open_[~single]
+            depth = 2 * depth if depth else 1
         order = np.empty(size, np.int64)
         order[rank] = np.arange(size)
         self.size = size

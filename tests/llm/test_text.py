@@ -29,10 +29,24 @@ def test_defects(answer, want):
     assert got[:1] == want[:1] if want else got == []
 
 
+def test_whole_answers_are_read():
+    """Long refusals and copies are found whatever their length; a phrase of refusal inside a long answer is none."""
+    long_refusal = "I'm sorry, but I can't help with that. " + "I am not able to judge this clip because of my guidelines. Please ask something else, and I hope you understand. " * 20
+    assert len(long_refusal) > 2000 and bp.defects(PROMPT, long_refusal.strip()) == ["refusal"]
+    late = "Thank you for the clip. I have no ears of my own. Unfortunately I cannot listen to audio. Please ask something else."
+    assert bp.defects(PROMPT, late) == ["refusal"]
+    assert bp.defects(PROMPT, "The table is the second one, which is brighter than the first. " * 30 + "I cannot help with the third.") == []
+    assert bp.defects(PROMPT, f"{PROMPT} {PROMPT} {PROMPT}") == ["copy"]
+    assert bp.defects(PROMPT, "I'm unable to raise the level of this voice, so the second table stays, and it fits the bright lead around A4 well. The first is too dark.") == []
+    assert bp.defects(PROMPT, "<think>not closed") == ["empty", "truncated"]
+    assert bp.defects("¿Qué tabla encaja mejor con el objetivo?", PROMPT[:-12]) == ["truncated", "other_language"]
+
+
 def test_asked_language():
     spanish = "El filtro suena más oscuro cerca de la nota y la voz se oye en el centro de la mezcla."
     assert bp.defects(PROMPT + " Please answer in Spanish.", spanish) == []
     assert bp.defects(PROMPT + " Please answer in German.", spanish) == ["other_language"]
+    assert bp.defects(PROMPT + " All of it in Spanish.", spanish) == []
     assert bp.defects(None, spanish) == []
 
 
