@@ -37,20 +37,22 @@ def _merge(batches):
             if x != y:
                 root[max(x, y)] = min(x, y)
     nodes = list(root)
-    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([find(x) for x in nodes], pa.int64())], names=["label", "root"])
+    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([find(x) for x in nodes], pa.int64())], names=["node", "root"])
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def components(edges: DataFrame, a: str = "a", b: str = "b", merge_up_to: int = 0) -> DataFrame:
     """Label the nodes of the undirected graph ``edges(a, b)``.
 
     Returns (node, root): one row for every node with an edge to another node; root is the smallest
     node of its component.  Null ends and self-loops are ignored, repeated edges count once, an empty
-    edge table gives an empty result.
+    edge table gives an empty result.  A whole graph of at most ``merge_up_to`` edges is merged by one task, as the collisions are.
     """
     e = edges.select(F.col(a).cast("long").alias("x"), F.col(b).cast("long").alias("y")).where("x is not null and y is not null and x <> y")
     e, n = materialize_counted(e.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "edges")
     if not n:
         return e.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    if n <= merge_up_to:
+        return e.coalesce(1).mapInArrow(_merge, "node long, root long")
     labels, root = _solve(e, 0)
     full = labels.join(root, "label", "left").select("node", F.coalesce("root", "label").alias("part")) if root is not None else labels.select("node", F.col("label").alias("part"))
     full = materialize(full, "parts")
@@ -77,7 +79,7 @@ def _solve(edges: DataFrame, r: int) -> tuple[DataFrame, DataFrame | None]:
     if not n:
         return labelled, None
     if n <= SMALL_EDGES:
-        return labelled, materialize(clash.coalesce(1).mapInArrow(_merge, "label long, root long"), "up")
+        return labelled, materialize(clash.coalesce(1).mapInArrow(_merge, "node long, root long").withColumnRenamed("node", "label"), "up")
     deeper, root = _solve(clash, r + 1)
     up = deeper.join(root, "label", "left").select(F.col("node").alias("label"), F.coalesce("root", "label").alias("root")) if root is not None else deeper.select(F.col("node").alias("label"), F.col("label").alias("root"))
     return labelled, materialize(up, "up")
