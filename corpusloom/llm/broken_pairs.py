@@ -50,7 +50,6 @@ _ENDINGS = {
     "ción": ["es"], "dad": ["es"], "mente": ["es", "it", "pt"], "ando": ["es", "it", "pt"], "zione": ["it"], "ção": ["pt"], "dade": ["pt"], "tion": ["fr", "en"], "ment": ["fr", "en"], "eur": ["fr"], "eux": ["fr"], "aux": ["fr"], "ique": ["fr"],
     "ung": ["de"], "keit": ["de"], "lich": ["de"], "isch": ["de"], "schaft": ["de"], "ing": ["en"], "ness": ["en"], "ally": ["en"], "heid": ["nl"], "lijk": ["nl"],
 }
-_ENDING = re.compile("(?:" + "|".join(sorted(_ENDINGS, key=len, reverse=True)) + ")$")
 _SCRIPTS = (
     ("ja", re.compile("[぀-ヿ]")), ("zh", re.compile("[一-鿿]")), ("ko", re.compile("[가-힯]")), ("ru", re.compile("[Ѐ-ӿ]")), ("ar", re.compile("[؀-ۿ]")),
     ("el", re.compile("[Ͱ-Ͽ]")), ("he", re.compile("[֐-׿]")), ("hi", re.compile("[ऀ-ॿ]")), ("th", re.compile("[฀-๿]")),
@@ -66,21 +65,29 @@ LANGUAGE_NAMES = {
 _NAMED = {w: k for k, v in LANGUAGE_NAMES.items() for w in v.split()}
 _IN = re.compile(r"\b(?:in|auf|en|em)\s+(" + "|".join(sorted(_NAMED, key=len, reverse=True)) + r")\W*$", re.I)
 _ASK = re.compile(r"\b(?:answer|reply|respond|write|antworte\w*|schreib\w*|réponds?|répondez|responde|responda|contesta|escribe|rispondi)\b(?:[^.?!\n]{0,30}?)\b(?:in|auf|en|em)\s+(" + "|".join(sorted(_NAMED, key=len, reverse=True)) + r")\b", re.I)
-# Ways to decline (fixed lists), over lower-cased text with straight apostrophes.
-_REFUSALS = re.compile(
-    "|".join(
-        (
-            r"\bi (?:can't|cannot|can not|could not|couldn't|won't be able to|will not be able to|am not able to|am unable to|'m unable to) (?:help|assist|say anything|listen|judge|process|answer|comply|provide|do (?:this|that|it)|continue|give|hear (?:files|audio|sound|the)|access|open|discuss|work on|fulfil|create|complete|engage|offer|evaluate|rate)",
-            r"\bi(?:'m| am) (?:unable|not able) to\b", r"\bi (?:won't|will not) (?:help|assist|answer|judge|do|provide|comply|work)", r"\bi (?:must|have to|need to) (?:decline|refuse) (?:to\b|this|your|the request)",
-            r"\bi (?:decline|refuse) to\b", r"\bi would rather not\b", r"\bi'd rather not\b", r"\bi (?:don't|do not) have the (?:ability|means|tools)", r"\bi have no (?:way|access|means|ability)", r"\bnot possible for me to\b",
-            r"\b(?:isn't|is not|not) something i can\b", r"\bbeyond what i can\b", r"\boutside what i (?:do|can)\b", r"\bno answer can be given\b", r"\bagainst my guidelines\b", r"^as an ai\b[^.]*\b(?:can't|cannot|unable|not)\b",
-            r"\b(?:kann|könnte|darf|möchte|werde) ich (?:dir |ihnen |euch |das |dies |dabei |hier |darauf |leider |es )*nicht\b", r"\bich (?:kann|darf|möchte|werde) (?:dir |ihnen |das |dies |dabei |darauf |hier |leider )*nicht\b", r"\bist (?:es )?mir (?:leider )?nicht möglich\b", r"\bes ist mir nicht möglich\b", r"\bich bin (?:leider )?nicht in der lage\b", r"\bmuss ich (?:leider )?ablehnen\b",
-            r"\bje ne (?:peux|puis|saurais) (?:malheureusement )?(?:pas\b)?", r"\bje ne suis pas (?:en mesure|capable|autorisé)", r"\bm'est impossible\b", r"\bimpossible (?:pour moi )?de répondre\b", r"\bje (?:dois|préfère) (?:refuser|décliner|ne pas)\b", r"\bje refuse de\b",
-            r"\bno (?:puedo|podré|podría) (?:ayudar|responder|escuchar|juzgar|opinar|hacer|decir|procesar|contestar|abrir|evaluar)", r"\bme es imposible\b", r"\bno (?:soy|estoy) (?:capaz|en condiciones)\b", r"\bdebo (?:rechazar|negarme)\b", r"\bprefiero no\b",
-            r"\bnon (?:posso|sono in grado)\b", r"\bnão (?:posso|consigo) (?:ajudar|responder|ouvir|avaliar)",
-        )
+# Ways to decline (fixed lists), over lower-cased text with straight apostrophes; each with a string that every match holds.
+_DO = r"(?:help|assist|say anything|listen|judge|process|answer|comply|provide|do (?:this|that|it)|continue|give|hear (?:files|audio|sound|the)|access|open|discuss|work on|fulfil|create|complete|engage|offer|evaluate|rate)"
+_DECLINES = [
+    (held, re.compile(pattern))
+    for held, pattern in (
+        ("i can't", r"\bi can't " + _DO), ("i cannot", r"\bi cannot " + _DO), ("i can not", r"\bi can not " + _DO), ("i could", r"\bi could(?: not|n't) " + _DO), ("able to", r"\bi(?: won't be | will not be | am not | am un|'m un)able to " + _DO),
+        ("able to", r"\bi(?:'m| am) (?:unable|not able) to\b"), ("i wo", r"\bi won't (?:help|assist|answer|judge|do|provide|comply|work)"), ("i will not", r"\bi will not (?:help|assist|answer|judge|do|provide|comply|work)"),
+        ("decline", r"\bi (?:must|have to|need to) decline (?:to\b|this|your|the request)"), ("refuse", r"\bi (?:must|have to|need to) refuse (?:to\b|this|your|the request)"), ("i decline", r"\bi decline to\b"), ("i refuse", r"\bi refuse to\b"), ("rather not", r"\bi(?:'d| would) rather not\b"),
+        ("have the", r"\bi (?:don't|do not) have the (?:ability|means|tools)"), ("i have no", r"\bi have no (?:way|access|means|ability)"), ("not possible", r"\bnot possible for me to\b"), ("something i can", r"\b(?:isn't|is not|not) something i can\b"), ("beyond what i", r"\bbeyond what i can\b"),
+        ("outside what i", r"\boutside what i (?:do|can)\b"), ("no answer", r"\bno answer can be given\b"), ("guidelines", r"\bagainst my guidelines\b"), ("as an ai", r"\bas an ai\b[^.]*\b(?:can't|cannot|unable|not)\b"),
+        (" ich ", r"\b(?:kann|könnte|darf|möchte|werde) ich (?:dir |ihnen |euch |das |dies |dabei |hier |darauf |leider |es )*nicht\b"), ("ich ", r"\bich (?:kann|darf|möchte|werde) (?:dir |ihnen |das |dies |dabei |darauf |hier |leider )*nicht\b"), ("nicht möglich", r"\b(?:es ist|ist es|ist) mir (?:leider )?nicht möglich\b"),
+        ("in der lage", r"\bich bin (?:leider )?nicht in der lage\b"), ("ablehnen", r"\bmuss ich (?:leider )?ablehnen\b"),
+        ("je ne", r"\bje ne (?:peux|puis|saurais) (?:malheureusement )?(?:pas\b)?"), ("je ne suis", r"\bje ne suis pas (?:en mesure|capable|autorisé)"), ("impossible", r"\bm'est impossible\b"), ("impossible", r"\bimpossible (?:pour moi )?de répondre\b"), ("je ", r"\bje (?:dois|préfère) (?:refuser|décliner|ne pas)\b"), ("je refuse", r"\bje refuse de\b"),
+        ("no p", r"\bno (?:puedo|podré|podría) (?:ayudar|responder|escuchar|juzgar|opinar|hacer|decir|procesar|contestar|abrir|evaluar)"), ("imposible", r"\bme es imposible\b"), ("no ", r"\bno (?:soy|estoy) (?:capaz|en condiciones)\b"), ("debo ", r"\bdebo (?:rechazar|negarme)\b"), ("prefiero no", r"\bprefiero no\b"),
+        ("non ", r"\bnon (?:posso|sono in grado)\b"), ("não ", r"\bnão (?:posso|consigo) (?:ajudar|responder|ouvir|avaliar)"),
     )
-)
+]
+
+
+def _declines(text: str) -> bool:
+    return any(held in text and pattern.search(text) for held, pattern in _DECLINES)
+
+
 # What goes with declining: apologies, reasons and leave-taking (fixed lists).
 _COURTESY = re.compile(
     "|".join(
@@ -119,7 +126,7 @@ def is_empty(answer: str | None) -> bool:
 
 def is_refusal(answer: str | None) -> bool:
     text = _bare(answer).strip().lower().replace("’", "'").replace("‘", "'")
-    if not _REFUSALS.search(text):
+    if not _declines(text):
         return False
     declines = aside = total = 0
     for sentence in _SENTENCE.split(text):
@@ -127,7 +134,7 @@ def is_refusal(answer: str | None) -> bool:
         for clause in _CLAUSE.split(sentence or ""):
             n = len(_WORD.findall(clause))
             total += n
-            if n and _REFUSALS.search(clause):
+            if n and _declines(clause):
                 declines, declined = declines + n, True
             elif n and (_COURTESY.search(clause) or declined and _REASON.match(clause)):
                 aside += n
@@ -166,9 +173,9 @@ def language(text: str) -> str | None:
     for w, n in Counter(words).items():
         for k, v in _VOTES.get(w, ()):
             votes[k] = votes.get(k, 0.0) + n * v
-        if len(w) > 5 and (m := _ENDING.search(w)):
-            for k in _ENDINGS[m.group()]:
-                votes[k] = votes.get(k, 0.0) + n * 0.5 / len(_ENDINGS[m.group()])
+        if len(w) > 5 and (ks := _ENDINGS.get(w[-6:]) or _ENDINGS.get(w[-5:]) or _ENDINGS.get(w[-4:]) or _ENDINGS.get(w[-3:])):
+            for k in ks:
+                votes[k] = votes.get(k, 0.0) + n * 0.5 / len(ks)
     if not text.isascii():
         for c, n in Counter(_MARKED.findall(text.lower())).items():
             for k in _LETTERS[c]:

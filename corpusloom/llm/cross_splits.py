@@ -449,8 +449,8 @@ def evaluation_links(texts: DataFrame, k: int, theta: float) -> DataFrame:
         cells = texts.sparkSession.sparkContext.broadcast(_all_cells(built))
         buckets = nd.bucket_count(texts, 4.0 * total)
         posted = reading.mapInArrow(_asking(k, theta, cells, buckets), packed.SCHEMA).union(chosen.select("id", "text", "comp").mapInArrow(_asked(k, cells, buckets), packed.SCHEMA))
-        route = materialize(nd.meet(posted, theta, SLACK, buckets, symmetric=False).select(F.col("q").alias("id"), shard("g")).distinct(), "route")
-        routed = reading.join(nd.small(route), "id").select("shard", "id", "text", "comp").repartition("shard", F.pmod(F.xxhash64("id"), F.lit(8))).sortWithinPartitions("shard")
+        route = nd.side_table(nd.meet(posted, theta, SLACK, buckets, symmetric=False).select(F.col("q").alias("id"), shard("g")).distinct(), "route")
+        routed = reading.join(route, "id").select("shard", "id", "text", "comp").repartition("shard", F.pmod(F.xxhash64("id"), F.lit(8))).sortWithinPartitions("shard")
     return materialize(routed.mapInArrow(_stream(path, k, theta), _LINK), "overlaps")
 
 
@@ -467,9 +467,8 @@ def overlaps(records: DataFrame, k: int = 5, theta: float = 0.8, held: tuple[str
     side = F.coalesce(F.col("split").isin(*held), F.lit(False)).cast("int").alias("side")
     signed = nd.sign(records.select("id", "text", side), k, theta)
     inner = nd.matrix_links(signed, k, theta, leave_out=1)
-    copies = materialize(signed.classes.where("id <> rep").select("id", F.lit(True).alias("copy")), "copies")
-    parts = signed.parts.select(F.col("node").alias("id"), F.col("root").alias("comp"))
-    reading = signed.texts.join(nd.small(copies), "id", "left").where("copy is null and text is not null").join(nd.small(parts), "id", "left").select("id", "text", F.coalesce("comp", "id").alias("comp"), (F.col("side") == 1).alias("held"))
+    special = signed.classes.where("id <> rep").select("id", F.lit(True).alias("copy"), F.lit(None).cast("long").alias("comp")).union(signed.parts.select("node", F.lit(False), "root"))
+    reading = signed.texts.join(nd.side_table(special, "copies"), "id", "left").where("text is not null and (copy is null or not copy)").select("id", "text", F.coalesce("comp", "id").alias("comp"), (F.col("side") == 1).alias("held"))
     links = evaluation_links(reading, k, theta)
     groups = nd.groups_of(signed.classes, signed.star_links.union(inner).union(links.select("a", "b")))
     return Overlaps(groups.join(records.select("id", "split"), "id"), links, signed.classes)
@@ -486,5 +485,6 @@ def cross_split_groups(records: DataFrame, k: int = 5, theta: float = 0.8, held:
 
 def cross_pairs(members: DataFrame, key: str, train: str = "train", held: tuple[str, ...] = ("val", "test")) -> DataFrame:
     """(seq_lo, seq_hi): pairs of rows of ``members(id, key, split)`` with the same key, one in training, the other held out; null keys and splits never match."""
+    members = materialize(members.select("id", key, "split").where(F.col(key).isNotNull() & F.col("split").isin(train, *held)), "members")
     x, y = members.where(F.col("split") == train), members.where(F.col("split").isin(*held))
     return nd.pairs_within(x.select("id", key), y.select("id", key), key).select(F.least("x", "y").alias("seq_lo"), F.greatest("x", "y").alias("seq_hi"))

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm import packed
 from corpusloom.llm import textkernel as K
-from corpusloom.operators.graph import components
+from corpusloom.operators.graph import SMALL_EDGES, components
 from corpusloom.plans.workspace import materialize, materialize_counted, spread
 
 _U = np.uint64
@@ -55,9 +55,10 @@ SKETCH_WORDS = 8
 _SIGN = "kind int, id long, side int, sig long, n int, bands array<long>, sketch array<long>, part int, counts binary"
 
 
-def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """A written side table with a broadcast hint if its counted rows are within the bound, else as it is."""
-    return F.broadcast(df) if df.count() <= limit else df
+def side_table(df: DataFrame, name: str, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` written and counted in one job, with a broadcast hint if its rows are within the bound."""
+    written, n = materialize_counted(df, name)
+    return F.broadcast(written) if n <= limit else written
 
 
 def _texts(batch: pa.RecordBatch) -> tuple[np.ndarray, list]:
@@ -303,9 +304,9 @@ def _near(theta: float):
 
 
 def admissible(pairs: DataFrame, sketches: DataFrame, theta: float) -> DataFrame:
-    """The pairs (a, b) that sizes and parity sketches (id, n, sketch) don't rule out; no near pair is ruled out."""
+    """The pairs (a, b), a side table, that sizes and parity sketches (id, n, sketch) don't rule out; no near pair is ruled out."""
     x, y = (sketches.select(F.col("id").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"s{c}")) for c in "ab")
-    both = x.join(small(pairs), "a").join(y, "b")
+    both = x.join(pairs, "a").join(y, "b")
     differ = F.aggregate(F.zip_with("sa", "sb", lambda u, v: F.bit_count(u.bitwiseXOR(v))), F.lit(0), lambda t, v: t + v)
     total = F.col("na") + F.col("nb")
     need = F.ceil(F.lit(theta / (1 + theta)) * total - 1e-9)
@@ -313,10 +314,10 @@ def admissible(pairs: DataFrame, sketches: DataFrame, theta: float) -> DataFrame
 
 
 def verify_pairs(pairs: DataFrame, texts: DataFrame, k: int, theta: float) -> DataFrame:
-    """The pairs (a, b) of ids whose texts are near, exactly.  Only the texts named in a pair are read into sets."""
-    named = materialize(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "named")
-    sets = materialize(texts.join(small(named), "id", "left_semi").select("id", "text").mapInArrow(_sets(k), "id long, shingles binary"), "sets")
-    joined = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b")
+    """The pairs (a, b) of ids whose texts are near, exactly.  Only the texts named in a pair are read into sets.  pairs: a side table."""
+    named = side_table(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "named")
+    sets = materialize(texts.join(named, "id", "left_semi").select("id", "text").mapInArrow(_sets(k), "id long, shingles binary"), "sets")
+    joined = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")).join(pairs, "a").join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b")
     return joined.select("a", "b", "sa", "sb").mapInArrow(_near(theta), "a long, b long")
 
 
@@ -355,10 +356,10 @@ def sign(texts: DataFrame, k: int, theta: float) -> Signed:
     reps = classes.where("id = rep")
     banded = reps.select("id", "side", F.posexplode("bands").alias("b", "v"))
     leaders = banded.groupBy("side", "b", "v").agg(F.min("id").alias("a"), F.count("*").alias("m")).where("m > 1").select("side", "b", "v", "a")
-    met = materialize(banded.join(leaders, ["side", "b", "v"]).where("id <> a").select("a", F.col("id").alias("b")).distinct(), "met")
-    stars = materialize(admissible(met, reps.select("id", "n", "sketch"), theta), "stars")
+    met = side_table(banded.join(leaders, ["side", "b", "v"]).where("id <> a").select("a", F.col("id").alias("b")).distinct(), "met")
+    stars = side_table(admissible(met, reps.select("id", "n", "sketch"), theta), "stars")
     star_links = materialize(verify_pairs(stars, texts, k, theta), "starlinks")
-    return Signed(texts, classes, table, star_links, materialize(components(star_links), "groups"), int(shingles))
+    return Signed(texts, classes, table, star_links, materialize(components(star_links, merge_up_to=SMALL_EDGES), "groups"), int(shingles))
 
 
 def matrix_links(signed: Signed, k: int, theta: float, leave_out: int | None = None) -> DataFrame:
@@ -366,21 +367,21 @@ def matrix_links(signed: Signed, k: int, theta: float, leave_out: int | None = N
     texts, classes, parts = signed.texts, signed.classes, signed.parts
     sizes = parts.groupBy("root").agg(F.count("*").cast("int").alias("csize"))
     grouped = parts.join(sizes, "root").select(F.col("node").alias("id"), F.col("root").alias("comp"), "csize")
-    special = materialize(classes.where("id <> rep").select("id", F.lit(None).cast("long").alias("comp"), F.lit(0).alias("csize")).union(grouped), "special")
+    special = side_table(classes.where("id <> rep").select("id", F.lit(None).cast("long").alias("comp"), F.lit(0).alias("csize")).union(grouped), "special")
 
     part = texts if leave_out is None else texts.where(F.col("side") != leave_out)
-    reading = part.join(small(special), "id", "left").where("csize is null or csize > 0").select("id", "text", F.coalesce("comp", "id").alias("comp"), F.coalesce("csize", F.lit(1)).alias("csize"))
+    reading = part.join(special, "id", "left").where("csize is null or csize > 0").select("id", "text", F.coalesce("comp", "id").alias("comp"), F.coalesce("csize", F.lit(1)).alias("csize"))
     buckets = bucket_count(texts, 0.45 * signed.shingles)
     posted = reading.mapInArrow(_postings(k, theta, signed.ranks, buckets), packed.SCHEMA)
     open_ = materialize(meet(posted, theta, SLACK * theta, buckets), "open")
-    members = open_.join(small(materialize(grouped.select(F.col("comp").alias("g"), F.col("id").alias("node")), "grouped")), "g", "left").select(F.col("q").alias("a"), F.coalesce("node", "g").alias("b"))
-    opened = materialize(admissible(materialize(members, "members"), classes.where("id = rep").select("id", "n", "sketch"), theta), "opened")
+    members = open_.join(grouped.select(F.col("comp").alias("g"), F.col("id").alias("node")), "g", "left").select(F.col("q").alias("a"), F.coalesce("node", "g").alias("b"))
+    opened = side_table(admissible(side_table(members, "members"), classes.where("id = rep").select("id", "n", "sketch"), theta), "opened")
     return verify_pairs(opened, texts, k, theta)
 
 
 def groups_of(classes: DataFrame, links: DataFrame) -> DataFrame:
     """(id, grp) of every row in a group of two or more, from classes and links between representatives."""
-    roots = components(links)
+    roots = components(links, merge_up_to=SMALL_EDGES)
     by_class = classes.where("copies > 1").select("id", "rep").union(roots.select(F.col("node").alias("id"), F.col("node").alias("rep"))).distinct()
     return by_class.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left").select("id", F.coalesce("root", "rep").alias("grp"))
 
@@ -398,7 +399,8 @@ def near_duplicate_groups(texts: DataFrame, k: int = 5, theta: float = 0.8) -> D
 
 def group_pairs(groups: DataFrame) -> DataFrame:
     """The pairs (seq_lo, seq_hi) of ids that share a group."""
-    return pairs_within(groups.select("id", "grp"), groups.select("id", "grp"), "grp").where("x < y").select(F.col("x").alias("seq_lo"), F.col("y").alias("seq_hi"))
+    groups = materialize(groups.select("id", "grp"), "grouped")
+    return pairs_within(groups, groups, "grp").where("x < y").select(F.col("x").alias("seq_lo"), F.col("y").alias("seq_hi"))
 
 
 def pairs_within(left: DataFrame, right: DataFrame, key: str, chunk: int = 2000) -> DataFrame:
@@ -409,7 +411,7 @@ def pairs_within(left: DataFrame, right: DataFrame, key: str, chunk: int = 2000)
     """
     count = lambda df, name: df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias(name))
     hot = count(left, "l").join(count(right, "r"), key).where((F.col("l") > chunk) | (F.col("r") > chunk))
-    hot = small(materialize(hot.select(key, F.ceil(F.col("l") / chunk).cast("int").alias("lc"), F.ceil(F.col("r") / chunk).cast("int").alias("rc")), "hotkeys"))
+    hot = side_table(hot.select(key, F.ceil(F.col("l") / chunk).cast("int").alias("lc"), F.ceil(F.col("r") / chunk).cast("int").alias("rc")), "hotkeys")
     own = lambda m: F.pmod(F.xxhash64("id"), F.coalesce(m, F.lit(1))).cast("int")
     every = lambda m: F.explode(F.sequence(F.lit(0), F.coalesce(F.col(m), F.lit(1)) - 1))
     a = left.join(hot, key, "left").select(key, F.col("id").alias("x"), own(F.col("lc")).alias("i"), every("rc").alias("j"))
