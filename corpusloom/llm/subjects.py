@@ -1,23 +1,20 @@
 """Subject areas of documents, sentence by sentence.
 
-1. Terms are the words of two or more characters, lower case, digits masked; the ``VOCABULARY`` terms of most
-   documents are kept and weighted by log(1 + frequency) and inverse document frequency (steps 2 and 3).
-2. A truncated singular value decomposition of the document-term matrix (subspace iteration, one pass over
-   all documents a step) gives every term a vector; a sentence is the weighted sum of its terms' vectors.
-3. Seed centroids come from the labelled documents, one for each subject and language, and are refined over
-   all documents: every sentence goes to the centroid of highest cosine, if that reaches ``NEAR``.
-   Sentences that no centroid reaches may follow the labels of the documents their terms occur in.
-4. A last refinement in the space of terms: centroids of log term shares of every subject, and of sentences
-   about none, recomputed ``ROUNDS`` times over all sentences.  All words count here, those outside the vocabulary by hash.
-A document has the subjects that at least a quarter of its sentences are about.
-
-All sums run over all documents in Arrow batches; a task sends fixed-size sums (vocabulary times rank or
-subjects), which are added in parts on the executors.  The labelled documents are used up to ``LABELLED``, by hash order.
+1. One pass turns every text into its sentences' terms, numbered by hash in a space that grows with the corpus, so that every word of every
+   text counts.  The same pass sums document frequencies, and in which language's documents a term stands.
+2. A truncated singular value decomposition of the weighted document-term matrix (subspace iteration, one pass over all documents a
+   step) gives every term a vector.
+3. Terms are weighted by what they tell about subjects: the divergence of a term's subjects from all.  A sentence is the weighted sum of its
+   terms' vectors.  Seed centroids, one for each subject and language, are the weighted sums of the terms of labelled documents.
+4. Refinement: every sentence of all documents goes to the centroid of highest cosine if that reaches ``NEAR``, else to none; from the
+   terms of the sentences then assigned follow new term weights and new centroids, with one for sentences about none, ``ROUNDS`` times.
+A document has the subjects that at least a quarter of its sentences are nearest to.
+
+A task sends fixed-size sums (terms times rank or subjects), which are added in parts on the executors.
 """
 
 from __future__ import annotations
 
-import re
 import zlib
 
 import numpy as np
@@ -25,84 +22,139 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.broken_pairs import FUNCTION_WORDS, language
+from corpusloom.llm import textkernel as K
+from corpusloom.llm.broken_pairs import FUNCTION_WORDS
 from corpusloom.plans.workspace import materialize, spread
 
-VOCABULARY, RANK, POWER = 4096, 128, 2
-#: Term numbers in the last refinement: the vocabulary's, and hashes of all other words.
-TERMS = 1 << 16
-NEAR, LABEL_GAIN, ROUNDS, SHARE = 0.35, 0.6, 3, 0.25
-#: Labelled documents used to seed the centroids, at most.
+_U = np.uint64
+#: Bits of term numbers: 15, and one more for each doubling of the documents beyond 2 million, up to 17 (the vectors then take 32 MB).
+TERM_BITS, TERM_DOCS, TERM_MOST = 15, 2_000_000, 17
+RANK, POWER = 64, 2
+NEAR, ROUNDS, SHARE = 0.25, 3, 0.25
+#: Pseudo-counts that a term's subjects are smoothed with, from labels and from all sentences.
+SMOOTH = (4.0, 10.0)
+#: Labelled documents used to seed the centroids, at most, by hash order.
 LABELLED = 50_000
 LANGUAGES = [*FUNCTION_WORDS, "other"]
 _PARTS = 16
-_WORD = re.compile(r"[^\W_]{2,}")
-_DIGITS = re.compile(r"\d+")
-_SENTENCE = re.compile(r"(?<=[.!?。！？])\s+|\n+|(?<=[。！？])")
+_CODED = "kind int, id long, lang int, lengths binary, terms binary, part int, sums binary"
 
 
-def sentences(text: str | None) -> list[list[str]]:
-    """The masked words of every sentence of three or more."""
-    found = []
-    for s in _SENTENCE.split(text or ""):
-        words = [_DIGITS.sub("0", w) for w in _WORD.findall(s.lower()) if not w.isdigit()]
-        if len(words) >= 3:
-            found.append(words)
-    return found
+def _blobs(sums: dict[str, np.ndarray]) -> list[bytes]:
+    flat = np.concatenate([a.ravel() for a in sums.values()]).astype(np.float32)
+    return [zlib.compress(c.tobytes(), 1) for c in np.array_split(flat, _PARTS)]
 
 
-def number_of(word: str, number: dict[str, int]) -> int:
-    """The word's place in the vocabulary, or one of the other ``TERMS`` numbers by hash."""
-    return number[word] if word in number else len(number) + zlib.crc32(word.encode("utf-8", "replace")) % (TERMS - len(number))
+def _merge(batches):
+    out: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for part, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            a = np.frombuffer(zlib.decompress(blob), np.float32).astype(np.float64)
+            out[part] = out[part] + a if part in out else a
+    for part, a in out.items():
+        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([a.astype(np.float32).tobytes()], pa.binary())], names=["part", "sums"])
 
 
-def _known(s: np.ndarray, t: np.ndarray, v: int) -> tuple[np.ndarray, np.ndarray]:
-    """Only the terms of the vocabulary."""
-    return s[t < v], t[t < v]
+def _collect(sent: DataFrame, shapes: dict[str, tuple[int, ...]]) -> dict[str, np.ndarray]:
+    """Add the parts (part, sums) on the executors; the driver gets one array of each shape."""
+    rows = sent.repartition(_PARTS, "part").mapInArrow(_merge, "part int, sums binary").collect()
+    size = sum(int(np.prod(s)) for s in shapes.values())
+    flat = np.concatenate([np.frombuffer(r.sums, np.float32) for r in sorted(rows, key=lambda r: r.part)]) if rows else np.zeros(size, np.float32)
+    result, at = {}, 0
+    for n, shape in shapes.items():
+        m = int(np.prod(shape))
+        result[n] = flat[at : at + m].reshape(shape).astype(np.float64)
+        at += m
+    return result
 
 
-def _total(df: DataFrame, shapes: dict[str, tuple[int, ...]], add) -> dict[str, np.ndarray]:
-    """Sum ``add(batch, sums)`` over all batches: fixed-size arrays, added in parts on the executors."""
-    names = list(shapes)
+def _total(coded: DataFrame, shapes: dict[str, tuple[int, ...]], add) -> dict[str, np.ndarray]:
+    """Sum ``add(batch, sums)`` over all batches."""
 
     def run(batches):
-        sums = {n: np.zeros(shapes[n]) for n in names}
+        sums = {n: np.zeros(s, np.float32 if len(s) > 1 else np.float64) for n, s in shapes.items()}
         some = False
         for batch in batches:
             add(batch, sums)
             some = True
         if some:
-            flat = np.concatenate([sums[n].ravel() for n in names]).astype(np.float32)
-            cut = np.array_split(flat, _PARTS)
-            yield pa.RecordBatch.from_arrays([pa.array(range(_PARTS), pa.int32()), pa.array([zlib.compress(c.tobytes(), 1) for c in cut], pa.binary())], names=["part", "sums"])
+            yield pa.RecordBatch.from_arrays([pa.array(range(_PARTS), pa.int32()), pa.array(_blobs(sums), pa.binary())], names=["part", "sums"])
+
+    return _collect(coded.mapInArrow(run, "part int, sums binary"), shapes)
+
+
+def _votes(bits: int) -> np.ndarray:
+    """(terms, languages): what a function word says about the language; words of several languages share a vote."""
+    speaks: dict[str, list[int]] = {}
+    for i, words in enumerate(FUNCTION_WORDS.values()):
+        for w in words.split():
+            if len(w) > 1:
+                speaks.setdefault(w, []).append(i)
+    out = np.zeros((1 << bits, len(LANGUAGES)), np.float32)
+    for w, found in speaks.items():
+        for h in K.word_hashes([w])[0][:1]:
+            out[int(h >> _U(64 - bits)), found] += 1 / len(found)
+    return out
 
-    def merge(batches):
-        out: dict[int, np.ndarray] = {}
+
+def _code(bits: int):
+    """Map (id, text) to coded documents (kind 0), and at the end the task's document frequencies and language counts in parts (kind 1)."""
+    kind_of = np.uint16 if bits <= 16 else np.uint32
+    d = 1 << bits
+
+    def run(batches):
+        votes = _votes(bits)
+        sums = {"df": np.zeros(d), "lang": np.zeros((d, len(LANGUAGES)))}
+        some = False
         for batch in batches:
-            for part, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                a = np.frombuffer(zlib.decompress(blob), np.float32).astype(np.float64)
-                out[part] = out[part] + a if part in out else a
-        for part, a in out.items():
-            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([a.tobytes()], pa.binary())], names=["part", "sums"])
+            ids, texts = batch.column(0), batch.column(1).to_pylist()
+            langs, lengths, terms = [], [], []
+            for lo, hi in K.blocks(texts):
+                some = True
+                h, sentence, doc = K.sentence_terms(texts[lo:hi])
+                t = (h >> _U(64 - bits)).astype(np.int64)
+                own = doc[sentence] if len(t) else sentence
+                said = np.zeros((hi - lo, len(LANGUAGES)))
+                np.add.at(said, own, votes[t])
+                lang = np.where(said.max(1) > 0, said.argmax(1), len(LANGUAGES) - 1)
+                sums["df"] += np.bincount(np.unique(own * d + t) % d, minlength=d)
+                sums["lang"] += np.bincount(t * len(LANGUAGES) + lang[own], minlength=d * len(LANGUAGES)).reshape(d, -1)
+                n = np.bincount(sentence).astype(np.uint32) if len(t) else np.empty(0, np.uint32)
+                s_at = np.searchsorted(doc, np.arange(hi - lo + 1))
+                t_at = np.concatenate(([0], np.cumsum(n, dtype=np.int64)))[s_at] if len(n) else np.zeros(hi - lo + 1, np.int64)
+                t = t.astype(kind_of)
+                langs.append(lang)
+                lengths += [n[a:b].tobytes() for a, b in zip(s_at, s_at[1:], strict=False)]
+                terms += [t[a:b].tobytes() for a, b in zip(t_at, t_at[1:], strict=False)]
+            m = len(ids)
+            if m:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.zeros(m, np.int32)), ids, pa.array(np.concatenate(langs).astype(np.int32)), pa.array(lengths, pa.binary()), pa.array(terms, pa.binary()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())],
+                    names=["kind", "id", "lang", "lengths", "terms", "part", "sums"],
+                )
+        if some:
+            m = _PARTS
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.ones(m, np.int32)), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary()), pa.nulls(m, pa.binary()), pa.array(range(m), pa.int32()), pa.array(_blobs(sums), pa.binary())],
+                names=["kind", "id", "lang", "lengths", "terms", "part", "sums"],
+            )
 
-    rows = df.mapInArrow(run, "part int, sums binary").repartition(_PARTS, "part").mapInArrow(merge, "part int, sums binary").collect()
-    size = sum(int(np.prod(s)) for s in shapes.values())
-    flat = np.concatenate([np.frombuffer(r.sums) for r in sorted(rows, key=lambda r: r.part)]) if rows else np.zeros(size)
-    result, at = {}, 0
-    for n in names:
-        m = int(np.prod(shapes[n]))
-        result[n] = flat[at : at + m].reshape(shapes[n])
-        at += m
-    return result
+    return run
 
 
-def _batch(batch: pa.RecordBatch):
-    """Of a batch (id, lang, lengths, terms): sentence of each term, terms, document of each sentence, language of each document."""
-    lengths = [np.frombuffer(x, np.uint32) for x in batch.column(2).to_pylist()]
-    terms = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint16).astype(np.int64)
-    per_doc = np.array([len(x) for x in lengths], dtype=np.int64)
-    n = np.concatenate(lengths).astype(np.int64) if len(lengths) else np.empty(0, np.int64)
-    return np.repeat(np.arange(len(n)), n), terms, np.repeat(np.arange(len(per_doc)), per_doc), batch.column(1).to_numpy(zero_copy_only=False)
+def _batches(batch: pa.RecordBatch, bits: int, limit: int = 60_000):
+    """Of a batch (id, lang, lengths, terms, ...), in slices of about ``limit`` terms: rows lo and hi, sentence of each term, terms, row of each sentence."""
+    kind_of = np.uint16 if bits <= 16 else np.uint32
+    lengths, terms = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+    size = np.cumsum([len(x) // np.dtype(kind_of).itemsize for x in terms])
+    lo = 0
+    while lo < batch.num_rows:
+        hi = max(lo + 1, int(np.searchsorted(size, (size[lo - 1] if lo else 0) + limit, side="right")))
+        n = np.frombuffer(b"".join(lengths[lo:hi]), np.uint32).astype(np.int64)
+        t = np.frombuffer(b"".join(terms[lo:hi]), kind_of).astype(np.int64)
+        doc = np.repeat(np.arange(hi - lo), [len(x) // 4 for x in lengths[lo:hi]])
+        yield lo, hi, np.repeat(np.arange(len(n)), n), t, doc
+        lo = hi
 
 
 def _group_sum(values: np.ndarray, group: np.ndarray, n: int) -> np.ndarray:
@@ -114,55 +166,39 @@ def _group_sum(values: np.ndarray, group: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def _chunks(s: np.ndarray, t: np.ndarray, limit: int = 40_000):
-    """Cut the terms of sorted sentences into slices of about ``limit`` terms, between sentences."""
-    lo = 0
-    while lo < len(t):
-        hi = min(len(t), lo + limit)
-        if hi < len(t):
-            hi = max(int(np.searchsorted(s, s[hi])), lo + 1) if s[hi] != s[lo] else int(np.searchsorted(s, s[lo], side="right"))
-        yield lo, hi
-        lo = hi
+def _unit(x: np.ndarray) -> np.ndarray:
+    return (x / np.maximum(np.linalg.norm(x, axis=-1, keepdims=True), 1e-9)).astype(np.float32)
+
+
+def _basis(y: np.ndarray) -> np.ndarray:
+    """Orthonormal columns that span y, strongest first; directions that y does not reach are left out."""
+    value, vector = np.linalg.eigh(y.T @ y)
+    keep = value > 1e-10 * max(value.max(), 1e-30)
+    return (y @ (vector[:, keep] / np.sqrt(value[keep])))[:, ::-1].astype(np.float32)
 
 
 class Model:
-    """What the passes share: vocabulary weights, term vectors, centroids, label shares."""
-
-    def __init__(self, subjects: list[str], idf: np.ndarray):
-        self.subjects, self.idf = subjects, idf
-        self.vectors = self.centroids = self.label_counts = self.shares = None
-
-    def embed(self, s, t, n):
-        s, t = _known(s, t, len(self.vectors))
-        out = np.zeros((n, self.vectors.shape[1]), np.float32)
-        for lo, hi in _chunks(s, t):
-            first = s[lo]
-            part = _group_sum(self.vectors[t[lo:hi]], s[lo:hi] - first, int(s[hi - 1] - first) + 1)
-            out[first : first + len(part)] += part
-        return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
-
-    def nearest(self, u, lang):
-        """(subject or -1, cosine) of unit sentence vectors."""
-        best, cos = np.full(len(u), -1), np.full(len(u), -1.0)
+    """Weighted term vectors and centroids."""
+
+    def __init__(self, vectors: np.ndarray, by_language: np.ndarray, counts: np.ndarray, smooth: float):
+        """counts: (terms, subjects and none) of the sentences, or of the labels' subjects."""
+        prior = np.maximum(counts.sum(0) / max(counts.sum(), 1e-9), 1e-9)
+        p = (counts + smooth * prior) / (counts.sum(1, keepdims=True) + smooth)
+        told = (p * np.log(np.maximum(p, 1e-12) / prior)).sum(1)
+        self.vectors = (vectors * told[:, None]).astype(np.float32)
+        share = by_language / np.maximum(by_language.sum(1, keepdims=True), 1e-9)
+        self.centroids = np.stack([_unit((counts * share[:, [i]]).T @ self.vectors) for i in range(share.shape[1])])
+        self.none = counts.shape[1] - 1
+
+    def nearest(self, s: np.ndarray, t: np.ndarray, lang: np.ndarray) -> np.ndarray:
+        """Number of the centroid of highest cosine of every sentence; that of none if no cosine reaches ``NEAR``."""
+        u = _unit(_group_sum(self.vectors[t], s, len(lang)))
+        best = np.full(len(u), self.none)
         for i in np.unique(lang):
-            m = lang == i
-            c = u[m] @ self.centroids[i].T
-            best[m], cos[m] = c.argmax(1), c.max(1)
-        return np.where(cos >= NEAR, best, -1), cos
-
-    def by_label(self, s, t, n):
-        """Subject by the mean gain of the sentence's terms over chance, from labelled documents, or -1."""
-        k = len(self.subjects)
-        s, t = _known(s, t, len(self.vectors))
-        gain = np.log((self.label_counts + 4 / k) / (self.label_counts.sum(1, keepdims=True) + 4) * k)
-        total = _group_sum(gain[t], s, n) / np.maximum(np.bincount(s, minlength=n), 1)[:, None]
-        return np.where(total.max(1) > LABEL_GAIN, total.argmax(1), -1)
-
-    def by_terms(self, s, t, n):
-        """Subject, or -1 for none, by the log term shares of the centroids."""
-        score = _group_sum(self.shares[t], s, n)
-        best = score.argmax(1)
-        return np.where((best == len(self.subjects)) | (np.bincount(s, minlength=n) == 0), -1, best)
+            m = np.flatnonzero(lang == i)
+            cos = u[m] @ self.centroids[i].T
+            best[m] = np.where(cos.max(1) >= NEAR, cos.argmax(1), self.none)
+        return best
 
 
 def document_subjects(docs: DataFrame, labels: DataFrame, subjects: list[str]) -> DataFrame:
@@ -173,136 +209,80 @@ def document_subjects(docs: DataFrame, labels: DataFrame, subjects: list[str]) -
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).where("id is not null and text is not null")
-    docs = spread(docs)
-    k = len(subjects)
+    k, n_docs = len(subjects), docs.count()
+    bits = min(TERM_MOST, TERM_BITS + (n_docs // TERM_DOCS).bit_length())
+    d = 1 << bits
+    written = materialize(spread(docs).mapInArrow(_code(bits), _CODED), "coded")
+    coded = written.where("kind = 0").select("id", "lang", "lengths", "terms")
+    stats = _collect(written.where("kind = 1").select("part", "sums"), {"df": (d,), "lang": (d, len(LANGUAGES))})
+    idf = (np.log((n_docs + 1) / np.maximum(stats["df"], 1)) * (stats["df"] > 0)).astype(np.float32)
 
-    def count_terms(batches):
-        found: dict[str, int] = {}
-        n = 0
-        for batch in batches:
-            for text in batch.column(1).to_pylist():
-                n += 1
-                for w in {w for s in sentences(text) for w in s}:
-                    found[w] = found.get(w, 0) + 1
-        yield pa.RecordBatch.from_arrays([pa.array(["", *found], pa.string()), pa.array([n, *found.values()], pa.int64())], names=["term", "n"])
-
-    counted = materialize(docs.mapInArrow(count_terms, "term string, n long").groupBy("term").agg(F.sum("n").alias("n")), "terms")
-    n_docs = sum(r.n for r in counted.where("term = ''").collect())
-    top = counted.where("term <> '' and n >= 3").orderBy(F.desc("n"), "term").limit(VOCABULARY).collect()
-    empty = spark.createDataFrame([], "id long, subject string")
-    if not top:
-        return empty
-    number = {r.term: i for i, r in enumerate(top)}
-    v = len(top)
-    model = Model(subjects, np.log((n_docs + 1) / np.array([r.n for r in top])).astype(np.float32))
-    names = spark.sparkContext.broadcast(number)
-
-    def code(batches):
-        for batch in batches:
-            langs, lengths, terms = [], [], []
-            for text in batch.column(1).to_pylist():
-                known = [[number_of(w, names.value) for w in s] for s in sentences(text)]
-                lengths.append(np.array([len(x) for x in known], np.uint32).tobytes())
-                terms.append(np.array([w for x in known for w in x], np.uint16).tobytes())
-                langs.append(LANGUAGES.index(language(text) or "en") if (language(text) or "en") in LANGUAGES else len(LANGUAGES) - 1)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(langs, pa.int32()), pa.array(lengths, pa.binary()), pa.array(terms, pa.binary())], names=["id", "lang", "lengths", "terms"])
-
-    coded = materialize(docs.mapInArrow(code, "id long, lang int, lengths binary, terms binary"), "coded")
+    # Seeds from labelled documents.
     known = labels.select(F.col("id").cast("long").alias("id"), "subject").where(F.col("subject").isin(subjects)).groupBy("id").agg(F.sort_array(F.collect_set("subject")).alias("own"))
     known = known.orderBy(F.xxhash64("id"), "id").limit(LABELLED)
-    marked = materialize(coded.join(F.broadcast(known), "id"), "marked")
-
-    # Truncated decomposition by subspace iteration: each pass adds X'(XQ) of all documents.
-    def project(q):
-        sent = spark.sparkContext.broadcast(q.astype(np.float32))
-
-        def add(batch, sums):
-            s, t, doc, _ = _batch(batch)
-            s, t = _known(s, t, v)
-            d = doc[s] if len(s) else s
-            pair, c = np.unique(d * v + t, return_counts=True)
-            d, t = pair // v, pair % v
-            w = np.log1p(c) * model.idf[t]
-            w = (w / np.sqrt(np.bincount(d, w * w, minlength=batch.num_rows))[d]).astype(np.float32)
-            for lo, hi in _chunks(d, t):
-                dd, tt, ww = d[lo:hi] - d[lo], t[lo:hi], w[lo:hi, None]
-                z = _group_sum(ww * sent.value[tt], dd, int(dd[-1]) + 1)
-                order = np.argsort(tt, kind="stable")
-                at = np.flatnonzero(np.concatenate(([True], tt[order][1:] != tt[order][:-1])))
-                sums["y"][tt[order][at]] += np.add.reduceat(ww[order] * z[dd[order]], at, axis=0)
-
-        return _total(coded, {"y": (v, q.shape[1])}, add)["y"]
-
-    rank = min(RANK, v)
-    q = np.linalg.qr(np.random.default_rng(0).standard_normal((v, rank)))[0]
-    for _ in range(POWER):
-        q = np.linalg.qr(project(q))[0]
-    model.vectors = (q * model.idf[:, None]).astype(np.float32)
-
-    # Seeds from labelled documents.
     index = {x: i for i, x in enumerate(subjects)}
-    shape = (len(LANGUAGES), k, rank)
 
     def seed(batch, sums):
-        s, t, doc, lang = _batch(batch)
         own = [[index[x] for x in xs] for xs in batch.column(4).to_pylist()]
-        u = model.embed(s, t, len(doc))
-        single = np.array([o[0] if len(o) == 1 else -1 for o in own])
-        m = single[doc] >= 0
-        np.add.at(sums["c"], (lang[doc[m]], single[doc[m]]), u[m])
-        pair = np.unique(doc[s] * TERMS + t) if len(s) else np.empty(0, np.int64)
-        share = np.zeros((len(own), k))
+        share = np.zeros((len(own), k + 1), np.float32)
         for i, o in enumerate(own):
             share[i, o] = 1 / len(o)
-        np.add.at(sums["l"], pair % TERMS, share[pair // TERMS])
+        for lo, _, s, t, doc in _batches(batch, bits):
+            pair = np.unique(doc[s] * d + t) if len(s) else np.empty(0, np.int64)
+            np.add.at(sums["n"], pair % d, share[lo + pair // d])
+
+    seeds = _total(coded.join(F.broadcast(known), "id"), {"n": (d, k + 1)}, seed)["n"]
+    if not seeds.any():
+        return spark.createDataFrame([], "id long, subject string")
+
+    # Truncated decomposition by subspace iteration: each pass adds X'(XQ) of all documents.
+    def project(q):
+        sent = spark.sparkContext.broadcast(q)
 
-    sums = _total(marked, {"c": shape, "l": (TERMS, k)}, seed)
-    if not sums["l"].any():
-        return empty
-    unit = lambda c: (c / np.maximum(np.linalg.norm(c, axis=-1, keepdims=True), 1e-9)).astype(np.float32)
-    model.centroids, model.label_counts = unit(sums["c"]), sums["l"]
+        def add(batch, sums):
+            q = sent.value
+            for _, _, s, t, doc in _batches(batch, bits):
+                pair, c = np.unique(doc[s] * d + t, return_counts=True) if len(s) else (np.empty(0, np.int64),) * 2
+                row, t = pair // d, pair % d
+                if not len(row):
+                    continue
+                w = np.log1p(c) * idf[t]
+                w = (w / np.sqrt(np.maximum(np.bincount(row, w * w, minlength=int(row[-1]) + 1), 1e-9))[row]).astype(np.float32)[:, None]
+                z = _group_sum(w * q[t], row, int(row[-1]) + 1)
+                order = np.argsort(t, kind="stable")
+                t = t[order]
+                at = np.flatnonzero(np.concatenate(([True], t[1:] != t[:-1])))
+                sums["y"][t[at]] += np.add.reduceat((w * z[row])[order], at, axis=0)
+
+        return _total(coded, {"y": (d, q.shape[1])}, add)["y"]
+
+    q = np.random.default_rng(0).standard_normal((d, RANK)).astype(np.float32) * (idf > 0)[:, None]
+    for _ in range(POWER):
+        q = _basis(project(q))
 
     def refine(batch, sums):
-        s, t, doc, lang = _batch(batch)
-        u = model.embed(s, t, len(doc))
-        a, _ = model.nearest(u, lang[doc])
-        np.add.at(sums["c"], (lang[doc[a >= 0]], a[a >= 0]), u[a >= 0])
-
-    for _ in range(3):
-        model.centroids = unit(_total(coded, {"c": shape}, refine)["c"])
-
-    def tally(sums, s, t, a, weight):
-        np.add.at(sums["n"], (t, np.where(a < 0, k, a)[s]), weight[s])
-
-    def first(batch, sums):
-        s, t, doc, lang = _batch(batch)
-        n = len(doc)
-        a, _ = model.nearest(model.embed(s, t, n), lang[doc])
-        a = np.where(a < 0, model.by_label(s, t, n), a)
-        held = np.zeros((batch.num_rows, k))
-        np.add.at(held, (doc[a >= 0], a[a >= 0]), 1)
-        main = np.where(held.max(1) > 0, held.argmax(1), -1) if len(held) else np.empty(0, int)
-        rest = np.where(a >= 0, a, main[doc])
-        blank = np.bincount(_known(s, t, v)[0], minlength=n) == 0  # nothing is known yet of sentences without a term of the vocabulary
-        tally(sums, s, t, rest, np.where(a >= 0, 1.0, np.where(blank & (rest < 0), 0.0, 0.3)))
-
-    def again(batch, sums):
-        s, t, doc, _ = _batch(batch)
-        tally(sums, s, t, model.by_terms(s, t, len(doc)), np.ones(len(doc)))
-
-    for step in range(ROUNDS):
-        n = _total(coded, {"n": (TERMS, k + 1)}, again if step else first)["n"]
-        n[:, :k] += 2 * model.label_counts
-        model.shares = np.log((n + 0.1) / (np.maximum(n.sum(0), 1) + 0.1 * (n.sum(1) > 0).sum()))
+        lang = batch.column(1).to_numpy(zero_copy_only=False)
+        for lo, _, s, t, doc in _batches(batch, bits):
+            a = sent.value.nearest(s, t, lang[lo + doc])
+            sums["n"] += np.bincount(t * (k + 1) + a[s], minlength=d * (k + 1)).reshape(d, k + 1)
+
+    model = Model(q, stats["lang"], seeds, SMOOTH[0])
+    for _ in range(ROUNDS):
+        sent = spark.sparkContext.broadcast(model)
+        model = Model(q, stats["lang"], _total(coded, {"n": (d, k + 1)}, refine)["n"] + 2 * seeds, SMOOTH[1])
+    last = spark.sparkContext.broadcast(model)
 
     def assign(batches):
         for batch in batches:
-            s, t, doc, _ = _batch(batch)
-            a = model.by_terms(s, t, len(doc))
-            held = np.zeros((batch.num_rows, k))
-            np.add.at(held, (doc[a >= 0], a[a >= 0]), 1)
-            total = np.bincount(doc, minlength=batch.num_rows)[:, None]
-            row, col = np.nonzero((held > 0) & (held >= SHARE * total))
+            lang = batch.column(1).to_numpy(zero_copy_only=False)
+            rows, found = [], []
+            for lo, hi, s, t, doc in _batches(batch, bits):
+                a = last.value.nearest(s, t, lang[lo + doc])
+                held = np.bincount(doc * (k + 1) + a, minlength=(hi - lo) * (k + 1)).reshape(hi - lo, k + 1)
+                row, col = np.nonzero((held[:, :k] > 0) & (held[:, :k] >= SHARE * held.sum(1, keepdims=True)))
+                rows.append(lo + row)
+                found.append(col)
+            row, col = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (rows, found))
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array([subjects[c] for c in col], pa.string())], names=["id", "subject"])
 
     return coded.mapInArrow(assign, "id long, subject string")

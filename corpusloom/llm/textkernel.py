@@ -111,3 +111,51 @@ def shingle_sets(texts: list, k: int):
         w, d = word_hashes(texts[lo:hi])
         h, d = distinct(*shingle_hashes(w, d, k))
         yield lo, h, d, hi - lo
+
+
+def _kinds() -> np.ndarray:
+    """Kind of a code point in bits: 1 letter, 2 ends a sentence before white space, 4 white space, 8 ends a sentence at once, 16 a letter that is a word of its own."""
+    if "kinds" not in _tables:
+        t = np.zeros(0x110000, dtype=np.uint8)
+        for c in [*range(0x32400), *range(0xE0000, 0xE01F0)]:
+            t[c] = chr(c).isalpha() | 4 * chr(c).isspace()
+        t[[ord(c) for c in ".!?"]] |= 2
+        t[[ord(c) for c in "。！？\n"]] |= 8
+        for lo, hi in ((0x3040, 0x3100), (0x3400, 0xA000), (0x20000, 0x32400)):
+            t[lo:hi] |= 16 * (t[lo:hi] & 1)
+        _tables["kinds"] = t
+    return _tables["kinds"]
+
+
+def sentence_terms(texts: list, least: int = 3) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of a block of texts: hash of every term in order, number of its sentence, text index of every sentence.
+
+    Terms are runs of two or more letters of the lower-cased text, and single characters of scripts without spaces; digits and all else
+    separate.  A sentence ends after . ! ? before white space, after their wide forms and at line ends; it counts with ``least`` terms.
+    """
+    lowered = [t.lower() if t else "" for t in texts]
+    cp = np.frombuffer("\n".join(lowered).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    none = np.empty(0, np.int64)
+    if not len(cp):
+        return np.empty(0, _U), none, none
+    kind = _kinds()[cp]
+    letter, alone = (kind & 1) > 0, (kind & 16) > 0
+    before, solo = np.concatenate(([False], letter[:-1])), np.concatenate(([False], alone[:-1]))
+    first = letter & (~before | alone | solo)
+    start = np.flatnonzero(first)
+    stop = np.flatnonzero(np.concatenate((before & (~letter | first), [letter[-1]])))
+    keep = (stop - start > 1) | alone[start]
+    start, stop = start[keep], stop[keep]
+    power, inverse = _powers(len(cp) + 1)
+    prefix = np.zeros(len(cp) + 1, dtype=_U)
+    np.cumsum((cp.astype(_U) + _U(7)) * power[: len(cp)], out=prefix[1:])
+    h = mix((prefix[stop] - prefix[start]) * inverse[start])
+    ends = (kind & 8) > 0
+    ends[:-1] |= ((kind[:-1] & 2) > 0) & ((kind[1:] & 4) > 0)
+    sentence = np.cumsum(ends)[start]
+    _, sentence, count = np.unique(sentence, return_inverse=True, return_counts=True)
+    keep = (count >= least)[sentence]
+    h, start = h[keep], start[keep]
+    _, at, sentence = np.unique(sentence[keep], return_index=True, return_inverse=True)
+    offsets = np.cumsum([0] + [len(t) + 1 for t in lowered[:-1]])
+    return h, sentence, np.searchsorted(offsets, start[at], side="right") - 1

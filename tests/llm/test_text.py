@@ -108,12 +108,18 @@ def test_subjects_of_held_out_documents(spark):
     assert subjects.document_subjects(docs.where("false"), labels, ["cooking"]).count() == 0
 
 
-def test_words_outside_the_vocabulary_count(spark, monkeypatch):
-    monkeypatch.setattr(subjects, "VOCABULARY", 6)
-    common = {"cats": "cat paw fur", "cars": "car tyre road"}
+def test_every_word_of_a_long_sentence_counts(spark):
+    common = {"cats": "the cat has a paw and fur", "cars": "the car has a tyre on the road"}
     rare = {"cats": "whisker kitten purr", "cars": "engine gearbox clutch"}
     rows = [(i, f"{common[x]} {rare[x]}." if i % 2 else f"{common[x]}.", x) for i, x in enumerate(["cats", "cars", "cars", "cats"] * 15)]
-    docs = spark.createDataFrame([r[:2] for r in rows] + [(900, f"{rare['cats']}."), (901, f"{rare['cars']}.")], "id long, text string")
+    filler = "zum yox wev " * 25_000  # 75,000 words before the first that tells
+    docs = spark.createDataFrame([r[:2] for r in rows] + [(900, f"{rare['cats']}."), (901, f"{rare['cars']}."), (902, filler + rare["cars"]), (903, "漢字 " + rare["cats"])], "id long, text string")
     labels = spark.createDataFrame([(i, x) for i, _, x in rows[:30]], "id long, subject string")
     got = {r.id: r.subject for r in subjects.document_subjects(docs, labels, ["cats", "cars"]).collect()}
-    assert got[900] == "cats" and got[901] == "cars"
+    assert got[900] == "cats" and got[901] == "cars" and got[902] == "cars" and got[903] == "cats"
+
+
+def test_sentence_terms():
+    h, sentence, doc = textkernel.sentence_terms(["One two three. Four five!\nsix seven 8 eight_nine", None, "a b", "漢字仮名。Last one here"])
+    assert sentence.tolist() == [0, 0, 0, 1, 1, 1, 1, 2, 2, 2, 2, 3, 3, 3] and doc.tolist() == [0, 0, 3, 3]
+    assert h[0] == textkernel.word_hashes(["one"])[0][0]
