@@ -5,9 +5,12 @@ lies in, the others code what is left, and a beam search keeps several partial s
 is scored against the codes of the nearest lists from lookup tables (query times codeword) over the stored
 norm of the coded vector; the best are scored again exactly, in double precision, where the vectors lie.
 
-Codebooks are fitted on a bounded sample (``SAMPLE`` vectors); every vector is coded and searched.  Equal
-vectors and exact multiples of them are one entry with their first k + 1 rows, so a direction that a third of all rows repeat is searched once.
-Lists are cut into chunks of about ``CHUNK`` rows on the data and on the query side: no task sees an unbounded list.
+Codebooks are fitted on a bounded sample; every vector is coded and searched.  There are about as many lists as the root of the
+vectors, whatever their number, in cells of some 16 neighbouring lists: a query goes once to each cell that holds a list it asks.  How many
+lists a query asks is measured: so many that ``RECALL`` of the sample's own neighbours lie in them, and these lie farther apart than those
+of the whole collection.  ``exact=True`` scores every pair of blocks instead.
+Equal vectors and exact multiples of them are one entry with their first k + 1 rows, so a direction that a third of all rows repeat is searched once.
+Cells are cut into chunks of about ``CHUNK`` rows on the data and on the query side: no task sees an unbounded cell.
 """
 
 from __future__ import annotations
@@ -19,8 +22,10 @@ from pyspark.sql import functions as F
 
 from corpusloom.plans.workspace import materialize
 
-#: Vectors on which the codebooks are fitted (at most; 10 MB at 128 dimensions).
-SAMPLE = 20_000
+#: Vectors on which the codebooks are fitted: 20,000, and 16 for each list beyond 1,250, at most 200,000 (100 MB at 128 dimensions).
+SAMPLE, SAMPLE_MOST = 20_000, 200_000
+#: Share of the sample's nearest vectors that the asked lists must hold, and lists of a cell.
+RECALL, CELL = 0.985, 16
 #: Codebooks after the first, codewords of each, width of the beam.
 LEVELS, WORDS, BEAM = 4, 256, 4
 CHUNK = 8192
@@ -55,15 +60,42 @@ def _kmeans(x: np.ndarray, k: int, rounds: int, seed: int) -> np.ndarray:
     return c
 
 
-def fit_codebooks(sample: np.ndarray, lists: int) -> list[np.ndarray]:
-    """The list codebook and the residual codebooks of unit vectors."""
-    books = [_kmeans(sample, lists, 8, 1)]
+def fit_codebooks(sample: np.ndarray, lists: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """The list codebook and the residual codebooks of unit vectors, and the cell of every list.
+
+    The lists are fitted cell by cell: about lists / 16 coarse centroids, then as many lists in each as its share of the sample asks for.
+    """
+    coarse = _kmeans(sample, max(1, round(lists / CELL)), 8, 1)
+    near = np.argmax(sample @ coarse.T - 0.5 * (coarse * coarse).sum(1), axis=1)
+    parts, cells = [], []
+    for c in range(len(coarse)):
+        own = sample[near == c]
+        n = max(1, round(lists * len(own) / len(sample)))
+        parts.append(_kmeans(own, min(n, len(own)), 6, c + 7) if len(own) else coarse[c : c + 1])
+        cells += [c] * len(parts[-1])
+    books = [np.concatenate(parts)]
     rest = sample - books[0][np.argmax(sample @ books[0].T - 0.5 * (books[0] ** 2).sum(1), axis=1)]
     for level in range(LEVELS):
         book = _kmeans(rest, WORDS, 6, level + 2)
         books.append(book)
         rest = rest - book[np.argmax(rest @ book.T - 0.5 * (book**2).sum(1), axis=1)]
-    return books
+    return books, np.array(cells, np.int32)
+
+
+def asked_lists(sample: np.ndarray, book: np.ndarray, k: int, wanted: float = RECALL, queries: int = 1000) -> int:
+    """How many nearest lists hold the share ``wanted`` of the k nearest others of some sampled vectors, which must be distinct."""
+    q = sample[:queries]
+    cos = q @ sample.T
+    cos[np.arange(len(q)), np.arange(len(q))] = -2
+    k = min(k, len(sample) - 1)
+    if k < 1:
+        return 1
+    near = np.argpartition(-cos, k - 1, axis=1)[:, :k]
+    half = 0.5 * (book * book).sum(1)
+    home = np.argmax(sample @ book.T - half, axis=1)
+    rank = np.argsort(np.argsort(-(q @ book.T - half), axis=1), axis=1)
+    place = np.sort(np.take_along_axis(rank, home[near], 1).ravel())
+    return int(place[int(np.ceil(wanted * len(place))) - 1]) + 1
 
 
 def encode(x: np.ndarray, books: list[np.ndarray], beam: int = BEAM) -> np.ndarray:
@@ -99,32 +131,37 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 def _code(dim: int, books, probes: int):
     def run(batches):
+        all_books, cell_of = books.value
+        book = all_books[0]
+        half = 0.5 * (book * book).sum(1)
+        p = min(probes, len(book))
         for batch in batches:
             for lo in range(0, batch.num_rows, 1024):
                 part = batch.slice(lo, 1024)
                 flat = part.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float32).reshape(-1, dim)
                 unit = _unit(flat).astype(np.float32)
-                codes = encode(unit, books.value)
-                norm = np.linalg.norm(decode(codes, books.value), axis=1).astype(np.float32)
-                book = books.value[0]
-                near = unit @ book.T - 0.5 * (book * book).sum(1)
-                p = min(probes, len(book))
+                codes = encode(unit, all_books)
+                norm = np.linalg.norm(decode(codes, all_books), axis=1).astype(np.float32)
+                near = unit @ book.T - half
                 asked = np.argpartition(-near, p - 1, axis=1)[:, :p].astype(np.int32) if p < len(book) else np.tile(np.arange(p, dtype=np.int32), (len(unit), 1))
-                asked[~(asked == codes[:, :1]).any(axis=1), -1] = codes[~(asked == codes[:, :1]).any(axis=1), 0]  # its own list is always asked
+                away = ~(asked == codes[:, :1]).any(axis=1)
+                asked[away, -1] = codes[away, 0]  # its own list is always asked
+                cells = np.sort(cell_of[asked], axis=1)
+                first = np.concatenate((np.ones((len(unit), 1), bool), cells[:, 1:] != cells[:, :-1]), axis=1)
                 small = codes[:, 1:].astype(np.uint8)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column(0), pa.array([r.tobytes() for r in flat], pa.binary()), pa.array([r.tobytes() for r in small], pa.binary()), pa.array(norm),
-                        pa.array(codes[:, 0].astype(np.int32)), pa.ListArray.from_arrays(np.arange(0, (len(unit) + 1) * p, p, dtype=np.int32), pa.array(asked.ravel())),
+                        part.column(0), pa.array([r.tobytes() for r in flat], pa.binary()), pa.array([r.tobytes() for r in small], pa.binary()), pa.array(norm), pa.array(codes[:, 0].astype(np.int32)), pa.array(cell_of[codes[:, 0]]),
+                        pa.array([r.tobytes() for r in asked], pa.binary()), pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum(first.sum(1)))).astype(np.int32), pa.array(cells[first])),
                     ],
-                    names=["id", "vec", "codes", "norm", "list", "asked"],
+                    names=["id", "vec", "codes", "norm", "list", "cell", "asked", "cells"],
                 )
 
     return run
 
 
 def _score(dim: int, k: int, rerank: int, books):
-    """Search of one (list, data chunk, query chunk): the best k rows of the data for each query, by (cosine to 6 decimals, id)."""
+    """Search of one (cell, data chunk, query chunk): the best k rows of the asked lists for each query, by (cosine to 6 decimals, id)."""
 
     def run(data: pa.Table, queries: pa.Table) -> pa.Table:
         out_q, out_n, out_c = [], [], []
@@ -138,45 +175,58 @@ def _score(dim: int, k: int, rerank: int, books):
             out_n.append(n[keep])
             out_c.append(c[keep])
 
+        def search(first, ids, x, codes, inverse, q, qi):
+            if len(ids) <= rerank:
+                cos = q @ x.T
+                best(qi, np.broadcast_to(ids, cos.shape), cos)
+                return
+            q32 = q.astype(np.float32)
+            s = np.repeat((q32 @ first)[:, None], len(ids), axis=1)
+            for m in range(LEVELS):
+                s += np.take(q32 @ all_books[m + 1].T, codes[:, m], axis=1)
+            s *= inverse
+            s[qi[:, None] == ids[None, :]] = -np.inf
+            near = np.argpartition(-s, rerank, axis=1)[:, :rerank]
+            reached = s >= np.take_along_axis(s, near, 1).min(1, keepdims=True)
+            tied = reached.sum(1) > rerank  # rows of one code, such as rounded multiples: all that tie with the last are scored
+            for i in np.flatnonzero(tied):
+                at = np.flatnonzero(reached[i])
+                best(qi[i : i + 1], ids[None, at], (x[at] @ q[i])[None])
+            best(qi[~tied], ids[near[~tied]], np.einsum("qd,qrd->qr", q[~tied], x[near[~tied]]))
+
         if data.num_rows and queries.num_rows:
-            all_books = books.value
-            data, queries = data.combine_chunks(), queries.combine_chunks()
-            ids = data.column("id").to_numpy()
+            all_books, _ = books.value
+            order = np.argsort(data.column("list").to_numpy(), kind="stable")
+            data, queries = data.take(pa.array(order)).combine_chunks(), queries.combine_chunks()
+            ids, lists = data.column("id").to_numpy(), data.column("list").to_numpy()
             x = _unit(_matrix(data.column("vec").combine_chunks(), dim))
             codes = np.frombuffer(b"".join(data.column("codes").to_pylist()), dtype=np.uint8).reshape(-1, LEVELS)
             inverse = 1.0 / np.maximum(data.column("norm").to_numpy(), 1e-12)
-            first = all_books[0][data.column("list")[0].as_py()]
             q_ids, q_all = queries.column("qid").to_numpy(), _unit(_matrix(queries.column("qvec").combine_chunks(), dim))
-            for lo in range(0, len(q_ids), 128):
-                q, qi = q_all[lo : lo + 128], q_ids[lo : lo + 128]
-                q32 = q.astype(np.float32)
-                if len(ids) > rerank:
-                    s = np.repeat((q32 @ first)[:, None], len(ids), axis=1)
-                    for m in range(LEVELS):
-                        s += np.take(q32 @ all_books[m + 1].T, codes[:, m], axis=1)
-                    s *= inverse
-                    s[qi[:, None] == ids[None, :]] = -np.inf
-                    near = np.argpartition(-s, rerank, axis=1)[:, :rerank]
-                    reached = s >= np.take_along_axis(s, near, 1).min(1, keepdims=True)
-                    tied = reached.sum(1) > rerank  # rows of one code, such as rounded multiples: all that tie with the last are scored
-                    for i in np.flatnonzero(tied):
-                        at = np.flatnonzero(reached[i])
-                        best(qi[i : i + 1], ids[None, at], (x[at] @ q[i])[None])
-                    best(qi[~tied], ids[near[~tied]], np.einsum("qd,qrd->qr", q[~tied], x[near[~tied]]))
-                else:
-                    cos = q @ x.T
-                    best(qi, np.broadcast_to(ids, cos.shape), cos)
+            asked = np.frombuffer(b"".join(queries.column("qasked").to_pylist()), np.int32).reshape(len(q_ids), -1)
+            cuts = np.concatenate((np.flatnonzero(np.diff(lists, prepend=-1)), [len(lists)]))
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                asks = np.flatnonzero((asked == lists[a]).any(axis=1))
+                for lo in range(0, len(asks), 128):
+                    at = asks[lo : lo + 128]
+                    search(all_books[0][lists[a]], ids[a:b], x[a:b], codes[a:b], inverse[a:b], q_all[at], q_ids[at])
         cat = lambda v, t: np.concatenate(v) if v else np.empty(0, t)
-        return pa.table({"q": pa.array(cat(out_q, np.int64), pa.int64()), "n": pa.array(cat(out_n, np.int64), pa.int64()), "cos": pa.array(cat(out_c, np.float64), pa.float64())})
+        q, n, c = cat(out_q, np.int64), cat(out_n, np.int64), cat(out_c, np.float64)
+        order = np.lexsort((n, -c, q))  # of the cell's lists together the best k a query
+        q, n, c = q[order], n[order], c[order]
+        at = np.flatnonzero(np.concatenate((np.ones(min(1, len(q)), bool), q[1:] != q[:-1])))
+        keep = np.arange(len(q)) - np.repeat(at, np.diff(np.concatenate((at, [len(q)])))) < k
+        return pa.table({"q": pa.array(q[keep], pa.int64()), "n": pa.array(n[keep], pa.int64()), "cos": pa.array(c[keep], pa.float64())})
 
     return run
 
 
-def nearest_vectors(rows: DataFrame, k: int = 5, dim: int = 128, probes: int = 6, rerank: int = 64) -> DataFrame:
+def nearest_vectors(rows: DataFrame, k: int = 5, dim: int = 128, probes: int | None = None, rerank: int = 64, exact: bool = False, lists: int | None = None) -> DataFrame:
     """(id, neighbours): the k nearest other rows of every valid row of ``rows(id, embedding)`` as array<struct<cos, id>>.
 
     By cosine to 6 decimals, ties to the smaller id; copies are rows of their own.  Null vectors and vectors of another length, with
     null, NaN or infinite values or all zero take no part; rows with a null id neither.  No valid rows give an empty result.
+    ``probes``: lists asked, measured if null; ``lists``: their number, the root of the vectors if null; ``exact``: all pairs of blocks, in double.
     """
     spark = rows.sparkSession
     ok = rows.select(F.col("id").cast("long").alias("id"), F.col("embedding").cast("array<float>").alias("embedding")).where(valid_vector(F.col("embedding"), dim) & F.col("id").isNotNull())
@@ -189,22 +239,28 @@ def nearest_vectors(rows: DataFrame, k: int = 5, dim: int = 128, probes: int = 6
     copies = member.where("id <> rep").select("id")
     copies = F.broadcast(copies) if copies.count() <= 1_000_000 else copies
     reps = ok.join(copies, "id", "left_anti")
-    share = int(min(1.0, 2.0 * SAMPLE / n) * (1 << 30))
-    taken = reps.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < share).orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("embedding").collect()
-    sample = _unit(np.array([r.embedding for r in taken] or [[1.0] * dim], dtype=np.float32)).astype(np.float32)
-    lists = int(2 ** np.clip(np.round(np.log2(np.sqrt(n))), 0, 12))
-    books = spark.sparkContext.broadcast(fit_codebooks(sample, lists))
-
-    coded = materialize(reps.mapInArrow(_code(dim, books, probes), "id long, vec binary, codes binary, norm float, list int, asked array<int>"), "codes")
-    asked = coded.select("id", "vec", F.explode("asked").alias("list"))
-    held = {r.list: r.m for r in coded.groupBy("list").agg(F.count("*").alias("m")).collect()}  # at most 4,096 lists
-    wanted = {r.list: r.m for r in asked.groupBy("list").agg(F.count("*").alias("m")).collect()}
-    sizes = spark.createDataFrame([(i, max(1, -(-held.get(i, 0) // CHUNK)), max(1, -(-wanted.get(i, 0) // CHUNK))) for i in range(lists)], "list int, dc int, qc int")
+    lists = 1 if exact else lists or int(2 ** max(0, np.round(np.log2(np.sqrt(n)))))
+    wanted = int(min(SAMPLE_MOST, max(SAMPLE, 16 * lists)))
+    share = int(min(1.0, 2.0 * wanted / n) * (1 << 30))
+    taken = reps.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < share).orderBy(F.xxhash64("id"), "id").limit(wanted).select("embedding").toArrow()
+    flat = taken.column(0).combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    sample = _unit(flat.reshape(-1, dim)).astype(np.float32) if len(flat) else np.full((1, dim), dim**-0.5, np.float32)
+    fitted = fit_codebooks(sample, lists)
+    books = spark.sparkContext.broadcast(fitted)
+    if exact:
+        probes, rerank = 1, 2 * CHUNK
+    probes = probes or asked_lists(sample, fitted[0][0], k)
+
+    coded = materialize(reps.mapInArrow(_code(dim, books, probes), "id long, vec binary, codes binary, norm float, list int, cell int, asked binary, cells array<int>"), "codes")
+    asked = coded.select("id", "vec", "asked", F.explode("cells").alias("cell"))
+    held = {r.cell: r.m for r in coded.groupBy("cell").agg(F.count("*").alias("m")).collect()}  # a sixteenth of the lists
+    wanted = {r.cell: r.m for r in asked.groupBy("cell").agg(F.count("*").alias("m")).collect()}
+    sizes = spark.createDataFrame([(c, max(1, -(-held.get(c, 0) // CHUNK)), max(1, -(-wanted.get(c, 0) // CHUNK))) for c in sorted(set(held) | set(wanted))], "cell int, dc int, qc int")
     salt = lambda m: F.pmod(F.xxhash64("id"), F.col(m)).cast("int")
     every = lambda m: F.explode(F.sequence(F.lit(0), F.col(m) - 1))
-    data = coded.join(F.broadcast(sizes), "list").select("list", salt("dc").alias("d"), every("qc").alias("c"), "id", "vec", "codes", "norm")
-    queries = asked.join(F.broadcast(sizes), "list").select(F.col("list").alias("ql"), every("dc").alias("qd"), salt("qc").alias("qk"), F.col("id").alias("qid"), F.col("vec").alias("qvec"))
-    found = data.groupBy("list", "d", "c").cogroup(queries.groupBy("ql", "qd", "qk")).applyInArrow(_score(dim, k, rerank, books), "q long, n long, cos double")
+    data = coded.join(F.broadcast(sizes), "cell").select("cell", salt("dc").alias("d"), every("qc").alias("c"), "list", "id", "vec", "codes", "norm")
+    queries = asked.join(F.broadcast(sizes), "cell").select(F.col("cell").alias("ql"), every("dc").alias("qd"), salt("qc").alias("qk"), F.col("id").alias("qid"), F.col("vec").alias("qvec"), F.col("asked").alias("qasked"))
+    found = data.groupBy("cell", "d", "c").cogroup(queries.groupBy("ql", "qd", "qk")).applyInArrow(_score(dim, k, rerank, books), "q long, n long, cos double")
     best = found.groupBy("q").agg(F.collect_list(F.struct((-F.col("cos")).alias("far"), F.col("n").alias("id"))).alias("near"))  # at most k a chunk that was asked
     best = materialize(best.select("q", F.slice(F.array_sort("near"), 1, k).alias("near")), "nearest")
 

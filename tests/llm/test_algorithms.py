@@ -109,3 +109,22 @@ def test_scaled_copies_tie_by_id(spark):
     assert all(got[i] == [j for j in copies if j != i][:5] for i in copies)
     at = spark.createDataFrame([([1.0, 3.0],), ([2.0, 6.0],), ([-1.0, -3.0],), ([1.0, 3.0000002],)], "v array<float>").select(neighbours.direction(F.col("v")).alias("u")).collect()
     assert at[0] == at[1] and len({tuple(r.u) for r in at}) == 3
+
+
+def test_many_lists_measured_recall_and_exact_mode(spark):
+    """With 4,096 lists for 6,000 vectors the measured number of lists still finds what brute force does for ids divisible by 100; the exact mode finds all."""
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(300, 16))
+    x = np.float32(np.repeat(centres, 20, axis=0) + 0.4 * rng.normal(size=(6000, 16)))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, embedding array<float>")
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    asks = range(0, 6000, 100)
+    want = {}
+    for i in asks:
+        cos = np.round(u @ u[i], 6)
+        cos[i] = -2
+        want[i] = set(np.lexsort((np.arange(6000), -cos))[:5].tolist())
+    for options, least in (({"lists": 4096}, 0.95), ({}, 0.95), ({"exact": True}, 1.0)):
+        got = {r.id: {n.id for n in r.neighbours} for r in neighbours.nearest_vectors(df, 5, dim=16, **options).where("id % 100 = 0").collect()}
+        recall = sum(len(want[i] & got[i]) for i in asks) / (5 * len(want))
+        assert recall >= least, (options, recall)
