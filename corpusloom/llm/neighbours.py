@@ -7,8 +7,8 @@ norm of the coded vector; the best are scored again exactly, in double precision
 
 Codebooks are fitted on a bounded sample; every vector is coded and searched.  There are about as many lists as the root of the
 vectors, whatever their number, in cells of some 16 neighbouring lists: a query goes once to each cell that holds a list it asks.  How many
-lists a query asks is measured: so many that ``RECALL`` of the sample's own neighbours lie in them, and these lie farther apart than those
-of the whole collection.  ``exact=True`` scores every pair of blocks instead.
+lists a query asks is measured: for ``ASKING`` vectors one exact pass over all rows gives the true neighbours, and so many lists are asked
+that ``RECALL`` of these lie in them.  ``exact=True`` scores every pair of blocks instead.
 Equal vectors and exact multiples of them are one entry with their first k + 1 rows, so a direction that a third of all rows repeat is searched once.
 Cells are cut into chunks of about ``CHUNK`` rows on the data and on the query side: no task sees an unbounded cell.
 """
@@ -17,33 +17,52 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusloom.llm import textkernel as K
 from corpusloom.plans.workspace import materialize
 
 #: Vectors on which the codebooks are fitted: 20,000, and 16 for each list beyond 1,250, at most 200,000 (100 MB at 128 dimensions).
 SAMPLE, SAMPLE_MOST = 20_000, 200_000
-#: Share of the sample's nearest vectors that the asked lists must hold, and lists of a cell.
-RECALL, CELL = 0.985, 16
+#: Share of the true nearest vectors that the asked lists must hold, measured on so many asking vectors, and lists of a cell.
+RECALL, ASKING, CELL = 0.995, 500, 16
 #: Codebooks after the first, codewords of each, width of the beam.
 LEVELS, WORDS, BEAM = 4, 256, 4
 CHUNK = 8192
 
 
-def valid_vector(v: Column, dim: int) -> Column:
-    """``dim`` values, all finite, not all zero; null counts as invalid."""
-    bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    return F.coalesce((F.size(v) == dim) & ~bad & F.exists(v, lambda x: x != 0), F.lit(False))
+def valid_rows(batch: pa.RecordBatch, dim: int) -> tuple[pa.Array, np.ndarray]:
+    """Ids and vectors (float32) of the rows (id, embedding) with ``dim`` values, all finite, not all zero; null vectors and values are invalid."""
+    ids, column = batch.column(0), batch.column(1)
+    long_enough = pc.fill_null(pc.equal(pc.list_value_length(column), dim), False)
+    ids, column = ids.filter(long_enough), column.filter(long_enough)
+    x = column.flatten().to_numpy(zero_copy_only=False).astype(np.float32).reshape(-1, dim)  # null values become NaN
+    ok = np.isfinite(x).all(axis=1) & (x != 0).any(axis=1)
+    return ids.filter(pa.array(ok)), x[ok]
 
 
-def direction(v: Column) -> Column:
-    """A valid vector over the size of its first value that is not 0, in double: equal for exact multiples and for no others.
+def direction_keys(x: np.ndarray) -> np.ndarray:
+    """(rows, 2) 64-bit hashes of valid vectors over the size of their first value that is not 0, in double: equal for exact multiples.
 
     Quotients of two floats that differ do so within 48 bits, so they stay apart in a double; adding 0 unites the two zeros.
     """
-    size = F.abs(F.element_at(F.filter(v, lambda x: x != 0), 1).cast("double"))
-    return F.transform(v, lambda x: x.cast("double") / size + F.lit(0.0))
+    x = x.astype(np.float64)
+    size = np.abs(x[np.arange(len(x)), (x != 0).argmax(axis=1)])
+    bits = np.ascontiguousarray(x / size[:, None] + 0.0).view(np.uint64)
+    place = K.mix(np.arange(1, x.shape[1] + 1, dtype=np.uint64))
+    return np.stack([K.mix(K.mix(bits + place * np.uint64(c)).sum(axis=1, dtype=np.uint64)) for c in (1, 3)], axis=1)
+
+
+def _keys(dim: int):
+    def run(batches):
+        for batch in batches:
+            ids, x = valid_rows(batch, dim)
+            k = direction_keys(x).view(np.int64)
+            yield pa.RecordBatch.from_arrays([ids, pa.array(k[:, 0]), pa.array(k[:, 1])], names=["id", "k1", "k2"])
+
+    return run
 
 
 def _kmeans(x: np.ndarray, k: int, rounds: int, seed: int) -> np.ndarray:
@@ -82,19 +101,41 @@ def fit_codebooks(sample: np.ndarray, lists: int) -> tuple[list[np.ndarray], np.
     return books, np.array(cells, np.int32)
 
 
-def asked_lists(sample: np.ndarray, book: np.ndarray, k: int, wanted: float = RECALL, queries: int = 1000) -> int:
-    """How many nearest lists hold the share ``wanted`` of the k nearest others of some sampled vectors, which must be distinct."""
-    q = sample[:queries]
-    cos = q @ sample.T
-    cos[np.arange(len(q)), np.arange(len(q))] = -2
-    k = min(k, len(sample) - 1)
-    if k < 1:
+def _scan(dim: int, k: int, asks):
+    """Brute force for the few asking vectors: of a task, the k nearest other rows of each (q, far, id, vec)."""
+
+    def run(batches):
+        q_ids, q = asks.value
+        best = [np.full((len(q), k), -2.0), np.zeros((len(q), k), np.int64), np.zeros((len(q), k, dim), np.float32)]
+        for batch in batches:
+            ids, x = valid_rows(batch, dim)
+            ids = ids.to_numpy(zero_copy_only=False)
+            for lo in range(0, len(ids), 4096):
+                part, own = x[lo : lo + 4096], ids[lo : lo + 4096]
+                cos = q @ _unit(part).astype(np.float32).T
+                cos[q_ids[:, None] == own[None]] = -2.0
+                near = np.argpartition(-cos, min(k, cos.shape[1]) - 1, axis=1)[:, :k]
+                both = [np.concatenate((best[0], np.take_along_axis(cos, near, 1)), axis=1), np.concatenate((best[1], own[near]), axis=1), np.concatenate((best[2], part[near]), axis=1)]
+                top = np.argsort(-both[0], axis=1, kind="stable")[:, :k]
+                best = [np.take_along_axis(both[0], top, 1), np.take_along_axis(both[1], top, 1), np.take_along_axis(both[2], top[:, :, None], 1)]
+        row, col = np.nonzero(best[0] > -2.0)
+        yield pa.RecordBatch.from_arrays([pa.array(row, pa.int64()), pa.array(-best[0][row, col]), pa.array(best[1][row, col]), pa.array([v.tobytes() for v in best[2][row, col]], pa.binary())], names=["q", "far", "id", "vec"])
+
+    return run
+
+
+def asked_lists(reps: DataFrame, asks: tuple[np.ndarray, np.ndarray], books: list[np.ndarray], k: int, wanted: float = RECALL) -> int:
+    """How many nearest lists hold the share ``wanted`` of the true k nearest others of the asking vectors (ids, unit vectors), found by one exact pass over all rows."""
+    dim = asks[1].shape[1]
+    sent = reps.sparkSession.sparkContext.broadcast(asks)
+    met = reps.mapInArrow(_scan(dim, k, sent), "q long, far double, id long, vec binary").groupBy("q").agg(F.slice(F.array_sort(F.collect_list(F.struct("far", "id", "vec"))), 1, k).alias("near"))
+    rows = met.select("q", F.explode("near.vec").alias("vec")).collect()  # at most ASKING * k
+    if not rows:
         return 1
-    near = np.argpartition(-cos, k - 1, axis=1)[:, :k]
-    half = 0.5 * (book * book).sum(1)
-    home = np.argmax(sample @ book.T - half, axis=1)
-    rank = np.argsort(np.argsort(-(q @ book.T - half), axis=1), axis=1)
-    place = np.sort(np.take_along_axis(rank, home[near], 1).ravel())
+    x = _unit(np.frombuffer(b"".join(r.vec for r in rows), np.float32).reshape(-1, dim)).astype(np.float32)
+    book = books[0]
+    rank = np.argsort(np.argsort(-(asks[1] @ book.T - 0.5 * (book * book).sum(1)), axis=1), axis=1)
+    place = np.sort(rank[np.array([r.q for r in rows]), encode(x, books)[:, 0]])
     return int(place[int(np.ceil(wanted * len(place))) - 1]) + 1
 
 
@@ -136,9 +177,9 @@ def _code(dim: int, books, probes: int):
         half = 0.5 * (book * book).sum(1)
         p = min(probes, len(book))
         for batch in batches:
-            for lo in range(0, batch.num_rows, 1024):
-                part = batch.slice(lo, 1024)
-                flat = part.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float32).reshape(-1, dim)
+            all_ids, all_rows = valid_rows(batch, dim)
+            for lo in range(0, len(all_rows), 1024):
+                flat = all_rows[lo : lo + 1024]
                 unit = _unit(flat).astype(np.float32)
                 codes = encode(unit, all_books)
                 norm = np.linalg.norm(decode(codes, all_books), axis=1).astype(np.float32)
@@ -151,7 +192,7 @@ def _code(dim: int, books, probes: int):
                 small = codes[:, 1:].astype(np.uint8)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column(0), pa.array([r.tobytes() for r in flat], pa.binary()), pa.array([r.tobytes() for r in small], pa.binary()), pa.array(norm), pa.array(codes[:, 0].astype(np.int32)), pa.array(cell_of[codes[:, 0]]),
+                        all_ids.slice(lo, 1024), pa.array([r.tobytes() for r in flat], pa.binary()), pa.array([r.tobytes() for r in small], pa.binary()), pa.array(norm), pa.array(codes[:, 0].astype(np.int32)), pa.array(cell_of[codes[:, 0]]),
                         pa.array([r.tobytes() for r in asked], pa.binary()), pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum(first.sum(1)))).astype(np.int32), pa.array(cells[first])),
                     ],
                     names=["id", "vec", "codes", "norm", "list", "cell", "asked", "cells"],
@@ -229,8 +270,8 @@ def nearest_vectors(rows: DataFrame, k: int = 5, dim: int = 128, probes: int | N
     ``probes``: lists asked, measured if null; ``lists``: their number, the root of the vectors if null; ``exact``: all pairs of blocks, in double.
     """
     spark = rows.sparkSession
-    ok = rows.select(F.col("id").cast("long").alias("id"), F.col("embedding").cast("array<float>").alias("embedding")).where(valid_vector(F.col("embedding"), dim) & F.col("id").isNotNull())
-    keyed = materialize(ok.select("id", direction(F.col("embedding")).alias("u")).select("id", F.xxhash64("u").alias("k1"), F.hash("u").alias("k2")), "vectorkeys")
+    ok = rows.select(F.col("id").cast("long").alias("id"), F.col("embedding").cast("array<float>").alias("embedding")).where("id is not null")
+    keyed = materialize(ok.mapInArrow(_keys(dim), "id long, k1 long, k2 long"), "vectorkeys")
     classes = keyed.groupBy("k1", "k2").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
     member = materialize(keyed.join(classes, ["k1", "k2"]).select("id", "rep", "copies"), "members")
     n = member.where("id = rep").count()
@@ -242,14 +283,14 @@ def nearest_vectors(rows: DataFrame, k: int = 5, dim: int = 128, probes: int | N
     lists = 1 if exact else lists or int(2 ** max(0, np.round(np.log2(np.sqrt(n)))))
     wanted = int(min(SAMPLE_MOST, max(SAMPLE, 16 * lists)))
     share = int(min(1.0, 2.0 * wanted / n) * (1 << 30))
-    taken = reps.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < share).orderBy(F.xxhash64("id"), "id").limit(wanted).select("embedding").toArrow()
-    flat = taken.column(0).combine_chunks().flatten().to_numpy(zero_copy_only=False)
-    sample = _unit(flat.reshape(-1, dim)).astype(np.float32) if len(flat) else np.full((1, dim), dim**-0.5, np.float32)
+    taken = reps.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < share).orderBy(F.xxhash64("id"), "id").limit(wanted).select("id", "embedding").toArrow().combine_chunks()
+    ids, vectors = valid_rows(taken.to_batches()[0], dim) if taken.num_rows else (pa.array([], pa.int64()), np.empty((0, dim), np.float32))
+    sample = _unit(vectors).astype(np.float32) if len(vectors) else np.full((1, dim), dim**-0.5, np.float32)
     fitted = fit_codebooks(sample, lists)
     books = spark.sparkContext.broadcast(fitted)
     if exact:
         probes, rerank = 1, 2 * CHUNK
-    probes = probes or asked_lists(sample, fitted[0][0], k)
+    probes = probes or asked_lists(reps, (ids.to_numpy()[:ASKING], sample[:ASKING]), fitted[0], k)
 
     coded = materialize(reps.mapInArrow(_code(dim, books, probes), "id long, vec binary, codes binary, norm float, list int, cell int, asked binary, cells array<int>"), "codes")
     asked = coded.select("id", "vec", "asked", F.explode("cells").alias("cell"))

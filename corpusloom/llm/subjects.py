@@ -7,7 +7,7 @@
 3. Terms are weighted by what they tell about subjects: the divergence of a term's subjects from all.  A sentence is the weighted sum of its
    terms' vectors.  Seed centroids, one for each subject and language, are the weighted sums of the terms of labelled documents.
 4. Refinement: every sentence of all documents goes to the centroid of highest cosine if that reaches ``NEAR``, else to none; from the
-   terms of the sentences then assigned follow new term weights and new centroids, with one for sentences about none, ``ROUNDS`` times.
+   terms of the sentences then assigned follow new term weights and new centroids, with one for sentences about none, until little changes.
 A document has the subjects that at least a quarter of its sentences are nearest to.
 
 A task sends fixed-size sums (terms times rank or subjects), which are added in parts on the executors.
@@ -30,7 +30,9 @@ _U = np.uint64
 #: Bits of term numbers: 15, and one more for each doubling of the documents beyond 2 million, up to 17 (the vectors then take 32 MB).
 TERM_BITS, TERM_DOCS, TERM_MOST = 15, 2_000_000, 17
 RANK, POWER = 64, 2
-NEAR, ROUNDS, SHARE = 0.25, 3, 0.25
+NEAR, ROUNDS, SHARE = 0.25, 8, 0.25
+#: Refinement ends when less than this share of the terms changes its subject (or after ``ROUNDS``); weights under a hundredth of the largest are 0.
+STABLE, LIGHT = 0.002, 0.01
 #: Pseudo-counts that a term's subjects are smoothed with, from labels and from all sentences.
 SMOOTH = (4.0, 10.0)
 #: Labelled documents used to seed the centroids, at most, by hash order.
@@ -185,6 +187,8 @@ class Model:
         prior = np.maximum(counts.sum(0) / max(counts.sum(), 1e-9), 1e-9)
         p = (counts + smooth * prior) / (counts.sum(1, keepdims=True) + smooth)
         told = (p * np.log(np.maximum(p, 1e-12) / prior)).sum(1)
+        told[told < LIGHT * told.max()] = 0
+        self.tells = told > 0
         self.vectors = (vectors * told[:, None]).astype(np.float32)
         share = by_language / np.maximum(by_language.sum(1, keepdims=True), 1e-9)
         self.centroids = np.stack([_unit((counts * share[:, [i]]).T @ self.vectors) for i in range(share.shape[1])])
@@ -192,7 +196,8 @@ class Model:
 
     def nearest(self, s: np.ndarray, t: np.ndarray, lang: np.ndarray) -> np.ndarray:
         """Number of the centroid of highest cosine of every sentence; that of none if no cosine reaches ``NEAR``."""
-        u = _unit(_group_sum(self.vectors[t], s, len(lang)))
+        keep = self.tells[t]
+        u = _unit(_group_sum(self.vectors[t[keep]], s[keep], len(lang)))
         best = np.full(len(u), self.none)
         for i in np.unique(lang):
             m = np.flatnonzero(lang == i)
@@ -266,10 +271,14 @@ def document_subjects(docs: DataFrame, labels: DataFrame, subjects: list[str]) -
             a = sent.value.nearest(s, t, lang[lo + doc])
             sums["n"] += np.bincount(t * (k + 1) + a[s], minlength=d * (k + 1)).reshape(d, k + 1)
 
-    model = Model(q, stats["lang"], seeds, SMOOTH[0])
+    model, before = Model(q, stats["lang"], seeds, SMOOTH[0]), None
     for _ in range(ROUNDS):
         sent = spark.sparkContext.broadcast(model)
-        model = Model(q, stats["lang"], _total(coded, {"n": (d, k + 1)}, refine)["n"] + 2 * seeds, SMOOTH[1])
+        counts = _total(coded, {"n": (d, k + 1)}, refine)["n"]
+        model = Model(q, stats["lang"], counts + 2 * seeds, SMOOTH[1])
+        if before is not None and np.abs(counts - before).sum() < 2 * STABLE * counts.sum():
+            break
+        before = counts
     last = spark.sparkContext.broadcast(model)
 
     def assign(batches):
