@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusloom.functions import text as tx
 from corpusloom.functions.numbers import round_half_even_rank
 from corpusloom.operators.aggregates import ranked_value
-from corpusloom.operators.conversations import keyed_draw
+from corpusloom.operators.conversations import keyed_draw, weighted_choice
 from corpusloom.operators.validate import conversation_errors
 
 SECTIONS = ["HEARD:", "HYPOTHESIS:", "PLAN:"]
+# Kinds of corruption with their shares, and the totals a record may draw with theirs (fixed values).
+CORRUPTIONS = [("drop", 0.35), ("scale", 0.30), ("shift", 0.20), ("flip", 0.15)]
+TOTALS = [(0, 0.35), (1, 0.25), (2, 0.15), (3, 0.10), (4, 0.07), (5, 0.05), (6, 0.03)]
 
 
 def verdict_counts(df: DataFrame, by: list[str], predicted: Column, measured: Column, least: float) -> DataFrame:
@@ -64,6 +68,44 @@ def direction_faults(text: Column, rises: Column, up: str = r"\b(rises|louder|br
     return F.coalesce(wrong, F.lit(0))
 
 
+def narration_problems(text: Column, supported: dict[str, Column], words: dict[str, str]) -> Column:
+    """Names of what is wrong with a narration: empty, quoted numbers, named parameters, and dimensions it speaks of that ``supported`` does not hold.
+
+    ``words``: a pattern of each dimension; a negated clause speaks of none.
+    """
+    t = F.coalesce(text, F.lit(""))
+    numbers = F.when(F.rlike(t, F.lit(r"(?i)\d+(?:\.\d+)?\s?(?:hz|khz|db|ms|%|percent)\b|\b\d+\.\d+\b")), F.lit("quotes numbers"))
+    params = F.when(F.rlike(t, F.lit(tx.SNAKE_CASE)), F.lit("names parameters"))
+    dims = [F.when(tx.unnegated(t, w) & ~F.coalesce(supported[d], F.lit(False)), F.lit("unsupported: " + d)) for d, w in words.items()]
+    found = F.filter(F.array(numbers, params, *dims), lambda c: c.isNotNull())
+    return F.when(F.trim(t) == "", F.array(F.lit("empty"))).otherwise(found)
+
+
+def subject_claims(text: Column, subjects: list[str], up: str, down: str) -> Column:
+    """array<struct<subject, direction>> of a text in first-seen order without repeats: a sentence's subject is the first it names, else that of the
+    sentence before; a sentence that claims both directions or none claims nothing."""
+    sentences = F.split(F.coalesce(text, F.lit("")), r"[.;!?\n]")
+    named = "(?i)\\b(" + "|".join(subjects) + ")\\b"
+    kind = "struct<last:string,found:array<struct<subject:string,direction:int>>>"
+    start = F.struct(F.lit(None).cast("string").alias("last"), F.array().cast("array<struct<subject:string,direction:int>>").alias("found")).cast(kind)
+
+    def step(s: Column, c: Column) -> Column:
+        own = F.lower(F.regexp_extract(c, named, 1))
+        subject = F.when(own != "", own).otherwise(s["last"])
+        rises, falls = F.rlike(c, F.lit("(?i)" + up)), F.rlike(c, F.lit("(?i)" + down))
+        claim = F.struct(subject.alias("subject"), F.when(rises, 1).otherwise(-1).alias("direction"))
+        fresh = subject.isNotNull() & (rises != falls) & ~F.coalesce(F.array_contains(s["found"], claim), F.lit(False))
+        return F.struct(subject.alias("last"), F.when(F.coalesce(fresh, F.lit(False)), F.array_append(s["found"], claim)).otherwise(s["found"]).alias("found")).cast(kind)
+
+    return F.aggregate(sentences, start, step, lambda s: s["found"])
+
+
+def contradictions(claims: Column, measured: Column) -> Column:
+    """Labels ``subject:direction`` of the claims that go against a map of measured directions (1, -1), in their order."""
+    against = F.filter(claims, lambda c: F.coalesce(F.try_element_at(measured, c["subject"]) == -c["direction"], F.lit(False)))
+    return F.transform(against, lambda c: F.concat(c["subject"], F.lit(":"), F.when(c["direction"] > 0, "up").otherwise("down")))
+
+
 def claim_sets(predicted: Column, grounded: Column, measured: Column) -> list[Column]:
     """Claims without ground, measured changes nobody claimed, and those all three share."""
     return [F.array_sort(F.array_except(predicted, grounded)).alias("unfounded"), F.array_sort(F.array_except(measured, F.array_union(predicted, grounded))).alias("missed"), F.array_sort(F.array_intersect(F.array_intersect(predicted, grounded), measured)).alias("agreed")]
@@ -120,6 +162,26 @@ def pooled_candidates(scored: DataFrame, query: str, name: str, least: float, si
     return x.withColumn("place", F.row_number().over(Window.partitionBy(query).orderBy("padded", F.desc("cos"), name))).where(F.col("place") <= size)
 
 
+def slice_starts(n: Column, agents: int, width: int, offset: Column) -> Column:
+    """Starts of ``agents`` slices of ``width`` places among n, a stride apart from an offset; a slice over the end is moved back."""
+    stride = F.greatest(F.lit(1), F.floor(n / agents))
+    start = lambda i: (offset % stride + i * stride) % n
+    return F.transform(F.sequence(F.lit(0), F.lit(agents - 1)), lambda i: F.when(start(i) + width > n, F.greatest(F.lit(0), n - width)).otherwise(start(i)).cast("long"))
+
+
+def rotated_pool(scored: DataFrame, query: str, place: str, name: str, agents: int, width: int, each: int, least: float, offset: Column) -> DataFrame:
+    """(query, name, pool_place): scored(query, place, name, cos) cut into rotated slices; a slice gives its names of at least ``least``, in
+    order of place, then the most similar others, ``each`` in all; names of several slices count once, where they come first."""
+    n = scored.groupBy(query).agg((F.max(place) + 1).alias("__n"))
+    starts = n.select(query, F.posexplode(slice_starts(F.col("__n"), agents, width, offset)).alias("__s", "__at"))
+    x = scored.join(starts, query).where((F.col(place) >= F.col("__at")) & (F.col(place) < F.col("__at") + width))
+    picked = F.col("cos") >= least
+    order = [F.when(picked, 0).otherwise(1), F.when(picked, F.col(place)), F.when(~picked, -F.col("cos")), F.col(place)]
+    x = x.withColumn("__r", F.row_number().over(Window.partitionBy(query, "__s").orderBy(*order))).where(F.col("__r") <= each)
+    first = x.groupBy(query, name).agg(F.min(F.struct("__s", "__r")).alias("__f"))
+    return first.withColumn("pool_place", F.row_number().over(Window.partitionBy(query).orderBy("__f"))).drop("__f")
+
+
 def first_passing(attempts: DataFrame, ident: str, attempt: str, passed: Column, most: int) -> DataFrame:
     """The first passing attempt of every id within ``most``, null if none, and the number rejected before it."""
     ok = attempts.where(F.col(attempt) < most).groupBy(ident).agg(F.min(F.when(passed, F.col(attempt))).alias("kept"), F.count("*").alias("__n"))
@@ -143,18 +205,36 @@ def job_specs(a: DataFrame, b: DataFrame, ka: str, kb: str, salt: str) -> DataFr
     return a.select(ka).crossJoin(F.broadcast(b.select(kb))).withColumn("seed", F.xxhash64(F.concat_ws("|", F.col(ka).cast("string"), F.col(kb).cast("string"), F.lit(salt))))
 
 
+def drawn_specs(a: DataFrame, b: DataFrame, ka: str, kb: str, count: int, salt: str) -> DataFrame:
+    """``count`` independent draws of a pair, with repeats: job i takes the rows of both bounded lists that a keyed draw names, and a seed from its identity."""
+    numbered = lambda t, k, i: t.select(k).distinct().withColumn(i, F.row_number().over(Window.orderBy(k)) - 1)
+    na, nb = (t.select(k).distinct().agg(F.count("*").alias(c)) for t, k, c in ((a, ka, "__na"), (b, kb, "__nb")))
+    jobs = a.sparkSession.range(count).withColumnRenamed("id", "job").crossJoin(F.broadcast(na)).crossJoin(F.broadcast(nb)).where("__na > 0 and __nb > 0")
+    draw = lambda s, n: F.floor(keyed_draw(F.col("job").cast("string"), salt + s) * F.col(n)).cast("int")
+    x = jobs.withColumn("__i", draw("a", "__na")).withColumn("__j", draw("b", "__nb")).join(F.broadcast(numbered(a, ka, "__i")), "__i").join(F.broadcast(numbered(b, kb, "__j")), "__j")
+    return x.select("job", ka, kb, F.xxhash64(F.concat_ws("|", F.col("job").cast("string"), F.col(ka).cast("string"), F.col(kb).cast("string"), F.lit(salt))).alias("seed"))
+
+
 def finished_specs(specs: DataFrame, files: DataFrame, key: str, meta: list[str]) -> DataFrame:
     """U32: specs whose file exists, with the file's columns."""
     return specs.join(files.select(key, *meta), key)
 
 
-def capped_corruption(params: DataFrame, by: list[str], key: str, value: str, cap: int, salt: str) -> DataFrame:
-    """Of every batch of two or more parameters at most ``cap`` change, by keyed draws: drop .35, scale .30, shift .20, flip .15; effects under 0.03 are left out after the cap."""
+def capped_corruption(params: DataFrame, by: list[str], key: str, value: str, cap: int, salt: str, record: list[str] | None = None) -> DataFrame:
+    """Of every batch of two or more parameters at most ``cap`` change, by keyed draws of ``CORRUPTIONS``; effects under 0.03 are left out after the cap.
+
+    With ``record`` (columns that name the record of a batch) all batches of a record change no more than a total drawn from ``TOTALS``.
+    """
     ident = F.concat_ws("|", *[F.col(c).cast("string") for c in (*by, key)])
     w = Window.partitionBy(*by)
     x = params.withColumn("__n", F.count("*").over(w)).where("__n >= 2").withColumn("__r", F.row_number().over(w.orderBy(F.md5(F.concat(ident, F.lit(salt))), key))).where(F.col("__r") <= cap)
-    u, v = keyed_draw(ident, salt + "k"), F.col(value)
-    new = F.when(u < 0.35, F.lit(0.0)).when(u < 0.65, v * 0.5).when(u < 0.85, F.least(F.lit(1.0), v + 0.2)).otherwise(1 - v)
+    if record:
+        total = weighted_choice(keyed_draw(F.concat_ws("|", *[F.col(c).cast("string") for c in record]), salt + "t"), [(str(n), w) for n, w in TOTALS]).cast("int")
+        whole = Window.partitionBy(*record).orderBy(F.md5(F.concat(ident, F.lit(salt + "o"))), *by, key)
+        x = x.withColumn("__t", F.row_number().over(whole)).where(F.col("__t") <= total).drop("__t")
+    v = F.col(value)
+    kind = weighted_choice(keyed_draw(ident, salt + "k"), CORRUPTIONS)
+    new = F.when(kind == "drop", F.lit(0.0)).when(kind == "scale", v * 0.5).when(kind == "shift", F.least(F.lit(1.0), v + 0.2)).otherwise(1 - v)
     return x.withColumn("changed", F.round(new, 6)).where(F.abs(F.col("changed") - v) >= 0.03).drop("__n", "__r")
 
 

@@ -6,6 +6,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusloom.functions.numbers import bucket
+from corpusloom.operators.windows import stage_bucket
+
 # Families of parameter names by prefix, in order (fixed values).
 FAMILIES = [
     ("osc", "osc_"), ("osc", "unison_"), ("env1", "env_1_"), ("env2", "env_2_"), ("filter1", "filter_1_"), ("filter2", "filter_2_"), ("lfo", "lfo_"), ("reverb", "reverb_"), ("delay", "delay_"), ("chorus", "chorus_"),
@@ -18,7 +21,14 @@ LADDERS = {
     "sustain": ([0.15, 0.45, 0.75], ["percussive (drops to near-silence)", "low sustain", "moderate sustain", "held/high sustain"]),
     "release": ([0.15, 0.5, 1.2], ["tight cut-off", "natural release", "long tail", "very long lingering tail"]),
     "cutoff": ([45, 70, 90], ["very dark", "warm", "bright", "very bright / open"]),
+    "resonance": ([0.15, 0.4, 0.7], ["no resonant peak", "mild resonance", "prominent resonance", "sharp/vocal resonance"]),
+    "detune": ([0.1, 0.3], ["tight stacked voices", "gently detuned unison voices", "widely detuned unison voices"]),
+    "lfo_rate": ([0.5, 2, 6], ["very slow swell", "slow modulation", "mid-rate wobble", "fast vibrato-rate"]),
 }
+# Names of the filter models by number (fixed values).
+FILTER_MODELS = ["analog-style low-pass", "analog-style low-pass (alt)", "dirty low-pass", "ladder low-pass", "digital low-pass", "low-pass", "band-pass", "high-pass", "notch", "all-pass", "comb", "formant"]
+# Units of the section ``fx`` (fixed values).
+FX_UNITS = ["chorus", "compressor", "delay", "distortion", "eq", "filter_fx", "flanger", "phaser", "reverb"]
 # Names of a mix file by priority, and perturbations in canonical order (fixed values).
 MIX_NAMES = ["mix", "mixture", "mixdown", "full_mix", "master", "song"]
 
@@ -31,6 +41,24 @@ def family(name: Column) -> Column:
     return c
 
 
+def section(name: Column) -> Column:
+    """Section of a parameter, the first rule that fits, else ``global``."""
+    starts = lambda *ps: F.rlike(name, F.lit("^(?:" + "|".join(ps) + ")"))
+    return (
+        F.when(starts("osc_", "sample_"), "oscillator").when(starts("env_1_"), "envelope").when(starts("filter_"), "filter").when(starts(r"(?:lfo_\d|random_\d|env_[2-6])_"), "modulation").when(starts(*[u + "_" for u in FX_UNITS]), "fx").otherwise("global")
+    )
+
+
+def filter_model(model: Column) -> Column:
+    """Name of a filter model, or its number in words; null for null."""
+    return F.coalesce(F.try_element_at(F.lit(FILTER_MODELS), F.when(model >= 0, model + 1).otherwise(len(FILTER_MODELS) + 1).cast("int")), F.concat(F.lit("filter model "), model.cast("string")))
+
+
+def unison(voices: Column, detune: Column) -> Column:
+    """Voices with their spread in words."""
+    return F.when(voices <= 1, "single voice (no unison)").otherwise(F.concat(voices.cast("string"), F.lit(" "), bucket(detune, *LADDERS["detune"])))
+
+
 def three_way(df: DataFrame, target: str, init: str, final: str, span: str, touched: float = 0.05, exact: float = 0.01) -> DataFrame:
     """State of every key of the target: missing, untracked (no range), below_thresh (near the start), noisy (far from the end), exact."""
     t, i, f, s = (F.col(c) for c in (target, init, final, span))
@@ -141,16 +169,23 @@ def balanced_pick(df: DataFrame, group: str, stratum: str, ident: str, salt: str
 
 
 def policy_stats(steps: DataFrame) -> DataFrame:
-    """steps(step_id, i, n, family, gain, won): wins, rate over all steps, mean gain overall, when won and early, ordered by wins, rate and gain."""
+    """steps(step_id, i, n, family, gain, won): wins, rate over all steps, mean gain overall, when won and by stage (early, mid, late), ordered by wins, rate and gain."""
     total = steps.agg(F.count_distinct("step_id").alias("steps"))
-    early = (F.col("n") <= 1) | (F.col("i") / (F.col("n") - 1) < 0.34)
-    g = steps.groupBy("family").agg(F.count_if("won").alias("wins"), F.round(F.avg("gain"), 6).alias("gain"), F.round(F.avg(F.when(F.col("won"), F.col("gain"))), 6).alias("gain_won"), F.round(F.avg(F.when(early, F.col("gain"))), 6).alias("gain_early"))
+    stage = stage_bucket(F.col("i"), F.col("n"))
+    by_stage = [F.round(F.avg(F.when(stage == s, F.col("gain"))), 6).alias(f"gain_{s}") for s in ("early", "mid", "late")]
+    g = steps.groupBy("family").agg(F.count_if("won").alias("wins"), F.round(F.avg("gain"), 6).alias("gain"), F.round(F.avg(F.when(F.col("won"), F.col("gain"))), 6).alias("gain_won"), *by_stage)
     g = g.crossJoin(F.broadcast(total)).withColumn("win_rate", F.round(F.col("wins") / F.greatest(F.lit(1), F.col("steps")), 6)).drop("steps")
     return g.withColumn("place", F.row_number().over(Window.orderBy(F.desc("wins"), F.desc("win_rate"), F.desc("gain"), "family")))
 
 
-def z_scores(df: DataFrame, key: str, value: str, calibration: DataFrame) -> DataFrame:
-    """(value - mean) / population deviation by key of a calibration table; null for a constant or unknown key."""
+def z_scores(df: DataFrame, key: str, value: str, calibration: DataFrame, row: list[str] | None = None) -> DataFrame:
+    """(value - mean) / population deviation by key of a calibration table; null for a constant or unknown key.
+
+    With ``row`` the values of every row (its keys' values) are centred by their mean first, in both tables.
+    """
+    if row:
+        centred = lambda t: t.withColumn(value, F.col(value) - F.avg(value).over(Window.partitionBy(*row)))
+        df, calibration = centred(df), centred(calibration)
     c = calibration.groupBy(key).agg(F.avg(value).alias("__m"), F.stddev_pop(value).alias("__s"))
     return df.join(c, key, "left").withColumn("z", F.round(F.when(F.col("__s") > 0, (F.col(value) - F.col("__m")) / F.col("__s")), 6)).drop("__m", "__s")
 
@@ -197,6 +232,12 @@ def ranking_repair(df: DataFrame, given: str, candidates: str, scores: str) -> C
     return F.concat(valid, scored, F.array_except(rest, scored))
 
 
+def linear_scores(ranking: Column) -> Column:
+    """Scores for a ranking without any: from 1 for the first down to 1 / n, as a map."""
+    n = F.size(ranking)
+    return F.map_from_arrays(ranking, F.transform(ranking, lambda x, i: (n - i) / n))
+
+
 def deterministic_id(prefix: str, seed: Column) -> Column:
     """Prefix, 12 hexadecimal digits and 14 base-62 characters from sha-256 of the seed."""
     h = F.sha2(seed, 256)

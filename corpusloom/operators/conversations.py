@@ -59,13 +59,49 @@ def fill_slots(text: Column, slots: Column) -> Column:
 
 
 def tail_lines(text: Column, lines: int, size: int) -> Column:
-    """X11: the last lines, at most ``size`` characters of them, with a mark of what was cut."""
+    """X11: the last lines, at most ``size`` bytes of them (whole characters), with a mark of what was cut."""
     parts = F.split(text, "\n")
     cut = F.array_join(F.slice(parts, F.greatest(F.size(parts) - lines + 1, F.lit(1)), lines), "\n")
-    kept = F.when(F.length(cut) > size, F.substring(cut, -size, size)).otherwise(cut)
+    raw = F.substring(F.encode(cut, "UTF-8"), -size, size)
+    inner = lambda i: F.hex(F.substring(raw, i, 1)).between("80", "BF").cast("int")  # noqa: E731  # a byte inside a character
+    skip = F.when(inner(1) == 0, 0).when(inner(2) == 0, 1).when(inner(3) == 0, 2).otherwise(3)
+    whole = F.decode(F.substring(raw, skip + 1, F.lit(size)), "UTF-8")
+    kept = F.when(F.octet_length(cut) > size, whole).otherwise(cut)
     return F.when(F.length(kept) < F.length(text), F.concat(F.lit("[truncated]\n"), kept)).otherwise(text)
 
 
+def realigned_openers(records: DataFrame, prompts: DataFrame, keys: list[str], prompt: str, messages: str = "messages") -> DataFrame:
+    """A record whose first turn is a user's audio gets the prompt that its keys name as that turn's text; ``aligned`` tells which did.
+
+    prompts(keys, prompt): unique keys.  A record without a prompt, or that opens otherwise, stays as it is.
+    """
+    j = records.join(prompts.select(*keys, F.col(prompt).alias("__p")), keys, "left")
+    first = F.try_element_at(F.col(messages), F.lit(1))
+    fits = F.coalesce(F.col("__p").isNotNull() & (F.col("__p") != "") & (first["role"] == "user") & F.startswith(first["content"], F.lit("<audio>")), F.lit(False))
+    new = F.concat(F.array(F.struct(first["role"].alias("role"), F.concat(F.lit("<audio>\n"), F.col("__p")).alias("content"))), F.slice(messages, F.lit(2), F.greatest(F.size(messages), F.lit(1))))
+    return j.withColumn("aligned", fits).withColumn(messages, F.when(fits, new).otherwise(F.col(messages))).drop("__p")
+
+
+def inject_mistake(messages: Column, broken: Column, fault: Column, diagnosis: Column) -> Column:
+    """Before the first call of a record a broken variant of it, the fault it answers with, and a turn that tells what was wrong; the right call
+    follows as the retry.  Null ``broken``, or one equal to the call, or a record without a call changes nothing."""
+    kind = "struct<role:string,content:string>"
+    at = F.array_position(F.transform(messages, lambda m: m["role"]), "tool_call").cast("int")
+    call = F.try_element_at(messages, F.when(at > 0, at))
+    turn = lambda role, text: F.struct(F.lit(role).alias("role"), text.alias("content")).cast(kind)
+    new = F.concat(F.slice(messages, F.lit(1), F.greatest(at - 1, F.lit(0))), F.array(turn("tool_call", broken), turn("tool_response", fault), turn("assistant", diagnosis)), F.slice(messages, F.greatest(at, F.lit(1)), F.greatest(F.size(messages), F.lit(1))))
+    return F.when(F.coalesce((at > 0) & (broken != call["content"]), F.lit(False)), new).otherwise(messages)
+
+
+def path_typo(path: Column, key: Column) -> Column:
+    """A typo in a file name, by keyed draws: the suffix loses its last letter, or the stem an inner one; null for names too short for it."""
+    head, stem, suffix = (F.regexp_extract(path, r"^(.*/)?([^/]+)\.([^./]+)$", i) for i in (1, 2, 3))
+    cut = (F.floor(keyed_draw(key, "c") * (F.length(stem) - 1)) + 2).cast("int")
+    shorter = F.concat(head, stem, F.lit("."), F.substring(suffix, F.lit(1), F.length(suffix) - 1))
+    inner = F.concat(head, F.substring(stem, F.lit(1), cut - 1), F.substring(stem, cut + 1, F.length(stem)), F.lit("."), suffix)
+    return F.when((F.length(stem) >= 2) & (F.length(suffix) >= 3), F.when(keyed_draw(key, "k") < 0.5, shorter).otherwise(inner))
+
+
 def join_parts(parts: Column) -> Column:
     """Multi-part content as one text: text parts as they are, audio parts as their tag; others are left out."""
     shown = F.transform(parts, lambda p: F.when(p["type"] == "text", p["text"]).when(p["type"].isin("audio", "input_audio"), F.lit("<audio>")))
@@ -88,11 +124,15 @@ def unified_diff(a: pd.Series, b: pd.Series) -> pd.Series:
 
 
 def replay_class(expected: Column, got: Column) -> Column:
-    """V8: match; acceptable with the same text but for numbers that drift under 25 %, or over 85 % like by edit distance; error; divergent."""
+    """V8: match; acceptable with the same text but for numbers that drift under 25 %, or with over 85 % of the distinct words shared; error; divergent.
+
+    Whole texts are compared, in linear time: twice the shared words over the words of both sides.
+    """
     same = F.regexp_replace(expected, r"-?\d+(\.\d+)?", "#") == F.regexp_replace(got, r"-?\d+(\.\d+)?", "#")
     numbers = lambda c: F.transform(F.regexp_extract_all(c, F.lit(r"-?\d+(?:\.\d+)?"), F.lit(0)), lambda x: x.cast("double"))
     drift = F.forall(F.zip_with(numbers(expected), numbers(got), lambda x, y: F.abs(x - y) <= 0.25 * F.greatest(F.abs(x), F.lit(1e-9))), lambda ok: ok)
-    ratio = 1 - F.levenshtein(F.substring(expected, 1, 2000), F.substring(got, 1, 2000)) / F.greatest(F.lit(1), F.length(F.substring(expected, 1, 2000)), F.length(F.substring(got, 1, 2000)))
+    words = lambda c: F.array_distinct(F.split(F.trim(c), r"\s+"))
+    ratio = 2 * F.size(F.array_intersect(words(expected), words(got))) / (F.size(words(expected)) + F.size(words(got)))
     return F.when(got.isNull(), "error").when(expected == got, "match").when(F.startswith(F.lower(got), F.lit("error")), "error").when((same & drift) | (ratio > 0.85), "acceptable").otherwise("divergent")
 
 

@@ -36,14 +36,14 @@ def map_diff(df: DataFrame, a: str, b: str, ids: list[str], absolute: float = 0.
     """Keys whose values differ by more than max(absolute, relative * |a|), or that only one map has."""
     keys = F.array_union(F.map_keys(a), F.map_keys(b))
     x = df.select(*ids, a, b, F.explode(keys).alias("key")).select(*ids, "key", F.col(a)[F.col("key")].alias("va"), F.col(b)[F.col("key")].alias("vb"))
-    far = F.abs(F.col("va") - F.col("vb")) > F.greatest(F.lit(absolute), F.abs("va") * relative)
+    far = F.round(F.abs(F.col("va") - F.col("vb")), 9) > F.round(F.greatest(F.lit(absolute), F.abs("va") * relative), 9)  # sums in another order must not decide
     return x.where(F.col("va").isNull() | F.col("vb").isNull() | far)
 
 
 def long_diff(a: DataFrame, b: DataFrame, keys: list[str], value: str, absolute: float = 0.005, relative: float = 0.01) -> DataFrame:
     """J9, U37 with one row a key instead of maps: no key range is gathered in one row.  ``keys`` are unique and not null on each side."""
     x = a.select(*keys, F.col(value).alias("va")).join(b.select(*keys, F.col(value).alias("vb")), keys, "full_outer")
-    far = F.abs(F.col("va") - F.col("vb")) > F.greatest(F.lit(absolute), F.abs("va") * relative)
+    far = F.round(F.abs(F.col("va") - F.col("vb")), 9) > F.round(F.greatest(F.lit(absolute), F.abs("va") * relative), 9)  # sums in another order must not decide
     return x.where(F.col("va").isNull() | F.col("vb").isNull() | far)
 
 

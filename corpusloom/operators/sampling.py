@@ -90,3 +90,8 @@ def terciles(df: DataFrame, groups: list[str], order: list[str]) -> DataFrame:
 def coverage_window(n: int, start: int, width: int) -> list[int]:
     """The positions of a window that wraps around ``n`` places, each at most once."""
     return [(start + i) % n for i in range(min(width, n))] if n > 0 else []
+
+
+def inside_window(i: Column, n: Column, start: Column, width: int) -> Column:
+    """Does place i of n lie in a window that wraps around the end?  The rows where it does not are the complement, each place once."""
+    return (i - start + n) % n < width

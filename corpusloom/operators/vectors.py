@@ -36,6 +36,14 @@ def first_hit(ranked: DataFrame, truth: DataFrame, query: str, name: str) -> Dat
     return hit.groupBy(query).agg(F.min(F.when(F.col("__t"), F.col("rk"))).alias("best_rank"))
 
 
+def best_true_rank(scored: DataFrame, truth: DataFrame, query: str, name: str) -> DataFrame:
+    """W8 without a ranking: one more than the names that beat the query's best true name; null if none is scored."""
+    true = scored.join(truth.select(query, name).distinct(), [query, name], "left_semi").groupBy(query).agg(F.min(F.struct((-F.col("cos")).alias("far"), F.col(name).alias("t"))).alias("best"))
+    beats = (-F.col("cos") < F.col("best.far")) | ((-F.col("cos") == F.col("best.far")) & (F.col(name) < F.col("best.t")))
+    counted = scored.join(true, query, "left").groupBy(query).agg((F.count_if(beats) + 1).alias("r"), F.bool_or(F.col("best").isNotNull()).alias("h"))
+    return counted.select(query, F.when(F.col("h"), F.col("r")).alias("best_rank"))
+
+
 def recall_flags(truth: Column, ranked: Column, points: list[int]) -> list[Column]:
     """Is any true name among the first k?  False, not null, for empty truth."""
     return [F.coalesce(F.arrays_overlap(truth, F.slice(ranked, 1, k)), F.lit(False)).alias(f"r_at_{k}") for k in points]
@@ -49,15 +57,35 @@ def mean_vectors(df: DataFrame, name: str, vector: str) -> DataFrame:
 
 
 def candidate_pool(scored: DataFrame, truth: DataFrame, universe: DataFrame, query: str, name: str, size: int, salt: str = "0") -> DataFrame:
-    """True names first, then the hardest others, then others by keyed hash, up to ``size``; no rows for a query without a true name in the universe."""
-    known = truth.select(query, name).distinct().join(universe.select(name).distinct(), name, "left_semi")
-    hard = exclude_truth(scored, truth, query, name)
+    """True names first, then the hardest others, then others by keyed hash, up to ``size``; no rows for a query without a true name in the universe.
+
+    A query is filled from the 3 * size names of smallest hash: at most ``size`` true and ``size`` hard names can be among those and not count.
+    """
+    names = universe.select(name).distinct()
+    known = truth.select(query, name).distinct().join(names, name, "left_semi")
+    hard = top_k(exclude_truth(scored, truth, query, name), query, name, size)
     rows = known.select(query, name, F.lit(0).alias("kind"), F.lit(0.0).alias("o")).union(hard.select(query, name, F.lit(1), -F.col("cos")))
+    short = known.select(query).distinct().join(rows.groupBy(query).agg(F.count("*").alias("__n")), query).where(F.col("__n") < size).select(query)
+    spare = names.withColumn("__h", F.md5(F.concat(F.col(name).cast("string"), F.lit(salt)))).orderBy("__h", name).limit(3 * size).select(name)
+    fill = short.crossJoin(F.broadcast(spare)).join(truth.select(query, name), [query, name], "left_anti").join(hard.select(query, name), [query, name], "left_anti")
+    rows = rows.union(fill.select(query, name, F.lit(2), F.lit(0.0)))
     w = Window.partitionBy(query).orderBy("kind", "o", F.md5(F.concat(F.col(name).cast("string"), F.lit(salt))), name)
     return rows.join(known.select(query).distinct(), query, "left_semi").withColumn("place", F.row_number().over(w)).where(F.col("place") <= size).drop("o")
 
 
-def delta_select(scored: DataFrame, baseline: DataFrame, query: str, name: str, least: float, k: int) -> DataFrame:
-    """Similarity minus the baseline's; above ``least``, the k largest."""
-    d = scored.join(baseline.select(query, name, F.col("cos").alias("__b")), [query, name]).withColumn("delta", F.round(F.col("cos") - F.col("__b"), 9)).where(F.col("delta") > least)
+def delta_select(scored: DataFrame, baseline: DataFrame, query: str, name: str, least: float, k: int, force_first: bool = False) -> DataFrame:
+    """Similarity minus the baseline's; above ``least``, the k largest; with ``force_first`` a query's largest is in whatever its size."""
+    d = scored.join(baseline.select(query, name, F.col("cos").alias("__b")), [query, name]).withColumn("delta", F.round(F.col("cos") - F.col("__b"), 9))
+    if force_first:
+        d = d.withColumn("__best", F.row_number().over(Window.partitionBy(query).orderBy(F.desc("delta"), name)) == 1).where((F.col("delta") > least) | F.col("__best")).drop("__best")
+    else:
+        d = d.where(F.col("delta") > least)
     return d.withColumn("rk", F.row_number().over(Window.partitionBy(query).orderBy(F.desc("delta"), name))).where(F.col("rk") <= k).drop("__b")
+
+
+def selection_rates(queries: DataFrame, selected: DataFrame, truth: DataFrame, query: str, name: str) -> DataFrame:
+    """(n, any_rate, top_rate, mean_best_rank): shares of queries with a true name selected and with one in first place, and the mean best rank of those that have one."""
+    best = first_hit(selected, truth, query, name)
+    x = queries.select(query).distinct().join(best, query, "left")
+    n = F.greatest(F.lit(1), F.count("*"))
+    return x.agg(F.count("*").alias("n"), F.round(F.count("best_rank") / n, 6).alias("any_rate"), F.round(F.count_if(F.col("best_rank") == 1) / n, 6).alias("top_rate"), F.round(F.avg("best_rank"), 6).alias("mean_best_rank"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusloom.operators.joins import asof_backward
+
 
 def _micros(c: Column) -> Column:
     """Microseconds of a timestamp with or without zone (the session's zone)."""
@@ -69,6 +71,39 @@ def rising_trigger(points: DataFrame, by: list[str], step: str, value: str, leas
     return points.withColumn("__a", a).withColumn("__b", b).where((F.col(value) - F.col("__a") >= least) & (F.col("__a") - F.col("__b") >= least)).drop("__a", "__b")
 
 
+def aligned_trigger(evals: DataFrame, train: DataFrame, by: list[str], step: str, value: str, least: float) -> DataFrame:
+    """Evaluation points whose last two differences both reach ``least`` while the training curve does not rise.
+
+    The training value of an evaluation point is the last one at or before its step; without one for all three points there is no trigger.
+    """
+    points = asof_backward(evals.select(*by, step, F.col(value).alias("__e")), train.select(*by, step, F.col(value).alias("__t"), F.monotonically_increasing_id().alias("__o")), by, step, "__t", "__o")
+    w = Window.partitionBy(*by).orderBy(step)
+    e = [F.col("__e"), F.lag("__e", 1).over(w), F.lag("__e", 2).over(w)]
+    t = [F.col("__t"), F.lag("__t", 1).over(w), F.lag("__t", 2).over(w)]
+    rises = (e[0] - e[1] >= least) & (e[1] - e[2] >= least) & (t[0] <= t[1]) & (t[1] <= t[2])
+    return points.withColumn("__hit", F.coalesce(rises, F.lit(False))).where("__hit").select(*by, step, F.col("__e").alias(value))
+
+
+def overlap_density(df: DataFrame, by: list[str], start: str, end: str, from_zero: bool = False) -> DataFrame:
+    """Time that pairs of intervals share, over the span; a sweep sums level * (level - 1) / 2 over time, so no pairs are formed.
+
+    The span runs to the last end, from the first start or from 0; null for no span.
+    """
+    ev = df.select(*by, F.explode(F.array(F.struct(F.col(start).alias("t"), F.lit(1).alias("d")), F.struct(F.col(end).alias("t"), F.lit(-1).alias("d")))).alias("e")).groupBy(*by, F.col("e.t").alias("t")).agg(F.sum("e.d").alias("d"))
+    w = Window.partitionBy(*by).orderBy("t")
+    level = F.sum("d").over(w.rowsBetween(Window.unboundedPreceding, 0))
+    x = ev.withColumn("level", level).withColumn("dt", F.lead("t").over(w) - F.col("t"))
+    first = F.lit(0.0) if from_zero else F.min("t")
+    return x.groupBy(*by).agg(F.round(F.try_divide(F.sum(F.col("level") * (F.col("level") - 1) / 2 * F.col("dt")), F.max("t") - first), 6).alias("density"))
+
+
+def gap_median(df: DataFrame, by: list[str], start: str, end: str, tie: str, level: str, least: float = 0.08) -> DataFrame:
+    """Median level before the gaps of at least ``least`` in which nothing sounds; null with fewer than two."""
+    w = Window.partitionBy(*by).orderBy(start, tie)
+    x = df.withColumn("__e", F.max(end).over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("__gap", F.lead(start).over(w) - F.col("__e") >= least)
+    return x.groupBy(*by).agg(F.count_if("__gap").alias("n_gaps"), F.when(F.count_if("__gap") >= 2, F.round(F.median(F.when(F.col("__gap"), F.col(level))), 6)).alias("level"))
+
+
 def net_improvement(df: DataFrame, by: list[str], order: str, value: str, full: float = 0.30) -> DataFrame:
     """(last - first) / full, clamped to 0 .. 1, over non-null values; null under two."""
     v = df.where(F.col(value).isNotNull())
@@ -105,11 +140,17 @@ def legato_share(df: DataFrame, by: list[str], start: str, end: str, tie: str, c
     return x.groupBy(*by).agg(F.count("*").alias("n_steps"), F.round(F.avg((F.col("__n") - F.col("__e") < close).cast("int")), 6).alias("legato"))
 
 
-def impact_split(df: DataFrame, by: list[str], value: str, tie: str, share: float) -> DataFrame:
-    """Keys by value, descending, are coarse until the running sum before them reaches the share of the total."""
-    w = Window.partitionBy(*by).orderBy(F.desc(value), tie)
-    before = F.coalesce(F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    return df.withColumn("coarse", before < F.sum(value).over(Window.partitionBy(*by)) * share)
+def impact_split(df: DataFrame, by: list[str], value: str, tie: str, share: float, rank: str | None = None, least_fine: int = 2) -> DataFrame:
+    """Keys by value, descending, are coarse until the running sum before them reaches the share of the total, and so are keys of rank 0 and 1.
+
+    A group with fewer than ``least_fine`` other keys, or without a positive total, is not split: all its keys are coarse.  Null values count as 0.
+    """
+    v = F.coalesce(F.col(value), F.lit(0.0))
+    w, whole = Window.partitionBy(*by).orderBy(F.desc(v), tie), Window.partitionBy(*by)
+    before = F.coalesce(F.sum(v).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    first = F.coalesce(F.col(rank) <= 1, F.lit(False)) if rank else F.lit(False)
+    x = df.withColumn("__c", (before < F.sum(v).over(whole) * share) | first).withColumn("__t", F.sum(v).over(whole))
+    return x.withColumn("coarse", F.col("__c") | (F.count_if(~F.col("__c")).over(whole) < least_fine) | (F.col("__t") <= 0)).drop("__c", "__t")
 
 
 def rate_and_eta(df: DataFrame, by: list[str], at: str, size: str, goal: str) -> DataFrame:

@@ -58,14 +58,8 @@ def first_failures(spark, d):
     return au.failure_taxonomy(read(spark, d, "judge_results"), reason, "judge_seq", 200)[1].select("judge_seq", "reason")
 
 
-@query("select p_brand as b, p_partkey as key, case p_partkey % 3 when 0 then true when 1 then coalesce((select bool_or(q.p_size <> 25) from part q where q.p_brand = p.p_brand and q.p_partkey = p.p_partkey - 1), false) else coalesce((select bool_or(q.p_size <> 25) from part q where q.p_brand = p.p_brand and q.p_partkey = p.p_partkey - 1), false) and coalesce((select bool_or(q.p_size <> 25) from part q where q.p_brand = p.p_brand and q.p_partkey = p.p_partkey - 2), false) end as live from part p where p_partkey < 300")
+@query("select p_brand as b, p_partkey as key, case p_partkey % 3 when 0 then true when 1 then coalesce((select bool_or(q.p_size <> 25) from part q where q.p_brand = p.p_brand and q.p_partkey = p.p_partkey - 1), false) else coalesce((select bool_or(q.p_size <> 25) from part q where q.p_brand = p.p_brand and q.p_partkey = p.p_partkey - 1), false) and coalesce((select bool_or(q.p_size <> 25) from part q where q.p_brand = p.p_brand and q.p_partkey = p.p_partkey - 2), false) end as live from part p")
 def live_keys(spark, d):
-    """a part needs the one before it, in threes."""
-    return _live(read(spark, d, "part").where("p_partkey < 300"))
-
-
-@query(SQL["live_keys"].replace(" where p_partkey < 300", ""))
-def live_keys_whole(spark, d):
     """all parts."""
     return _live(read(spark, d, "part"))
 
@@ -90,14 +84,8 @@ def claim_sets(spark, d):
     return j.select("judge_seq", *au.claim_sets(F.col("selected_tuple"), b, b))
 
 
-@query("with h as (select doc_id, ('0x' || substr(md5(doc_id::varchar || '|9'), 1, 16))::ubigint as h, n_chars from documents where doc_id % 3 = 0), v as (select doc_id from h where n_chars <= 900 order by h, doc_id limit 40) select doc_id, case when doc_id in (select doc_id from v) then 'val' else 'train' end as side from h")
+@query("with h as (select doc_id, ('0x' || substr(md5(doc_id::varchar || '|9'), 1, 16))::ubigint as h, n_chars from documents), v as (select doc_id from h where n_chars <= 900 order by h, doc_id limit 40) select doc_id, case when doc_id in (select doc_id from v) then 'val' else 'train' end as side from h")
 def counted_holdout(spark, d):
-    """Forty documents of at most 900 characters."""
-    return _counted(read(spark, d, "documents").where("doc_id % 3 = 0"))
-
-
-@query(SQL["counted_holdout"].replace(" where doc_id % 3 = 0", ""))
-def counted_holdout_whole(spark, d):
     """Of all documents."""
     return _counted(read(spark, d, "documents"))
 

@@ -14,7 +14,7 @@ from corpusloom.operators import conversations as cv
 from corpusloom.operators import dedup, sampling, windows
 from corpusloom.operators.vectors import similarities
 from corpusloom.plans.queries_curation import read
-from corpusloom.plans.workspace import shared_dir
+from corpusloom.plans.workspace import remember, shared_dir
 from corpusloom.streaming import incremental as inc
 
 Q: dict = {}
@@ -40,7 +40,7 @@ def grouping_sets_report(spark, d):
     return spark.sql("select coalesce(archetype, '') as archetype, coalesce(canonical, false) as canonical, cast(grouping(archetype) as bigint) as ga, cast(grouping(canonical) as bigint) as gc, count(*) as n, round(avg(bpm), 6) as bpm from _gs group by grouping sets ((), (archetype), (canonical))")
 
 
-@query("with s as (select event_id // 4 as step_id, event_id % 4 as i, event_type as family, value as gain, value >= 25 as won from events), g as (select family, count(*) filter (where won) as wins, round(avg(gain), 6) as gain, round(avg(case when won then gain end), 6) as gain_won, round(avg(case when i / 3 < 0.34 then gain end), 6) as gain_early from s group by 1), t as (select count(distinct step_id) as n from s), r as (select *, round(wins / greatest(1, t.n), 6) as win_rate from g, t) select family, wins, gain, gain_won, gain_early, win_rate, row_number() over (order by wins desc, win_rate desc, gain desc, family)::int as place from r")
+@query("with s as (select event_id // 4 as step_id, event_id % 4 as i, event_type as family, value as gain, value >= 25 as won from events), g as (select family, count(*) filter (where won) as wins, round(avg(gain), 6) as gain, round(avg(case when won then gain end), 6) as gain_won, round(avg(case when i / 3 < 0.34 then gain end), 6) as gain_early, round(avg(case when i / 3 >= 0.34 and i / 3 < 0.67 then gain end), 6) as gain_mid, round(avg(case when i / 3 >= 0.67 then gain end), 6) as gain_late from s group by 1), t as (select count(distinct step_id) as n from s), r as (select *, round(wins / greatest(1, t.n), 6) as win_rate from g, t) select family, wins, gain, gain_won, gain_early, gain_mid, gain_late, win_rate, row_number() over (order by wins desc, win_rate desc, gain desc, family)::int as place from r")
 def policy_stats(spark, d):
     """Events as candidates of steps of four."""
     s = read(spark, d, "events").select(F.expr("event_id div 4").alias("step_id"), (F.col("event_id") % 4).alias("i"), F.lit(4).alias("n"), F.col("event_type").alias("family"), F.col("value").alias("gain"), (F.col("value") >= 25).alias("won"))
@@ -146,15 +146,8 @@ def set_recovery(spark, d):
     return j.select("judge_seq", *co.set_recovery(F.array_distinct("selected_tuple"), F.map_values("locked_slots")))
 
 
-@query("with p as (select source, list(doc_id order by doc_id) as ids from documents where doc_id % 7 = 0 and source is not null group by 1) select source, ids[1:3] as first3, sum(len(ids)) over () :: bigint as n from p")
-def id_lists(spark, d):
-    """Ordered ids of a source without repeats."""
-    p = read(spark, d, "documents").where("doc_id % 7 = 0 and source is not null").groupBy("source").agg(F.array_distinct(F.array_sort(F.collect_list("doc_id"))).alias("ids"))
-    return p.select("source", F.slice("ids", 1, 3).alias("first3"), F.sum(F.size("ids")).over(Window.partitionBy()).alias("n"))
-
-
 @query("with p as (select distinct source, doc_id from documents where source is not null) select source, (list(doc_id order by doc_id))[1:3] as first3, sum(count(*)) over () :: bigint as n from p group by 1")
-def id_lists_whole(spark, d):
+def id_lists(spark, d):
     """D4 over all documents with a source; counted and thinned in parts, so no source is gathered in one row."""
     p = read(spark, d, "documents").where("source is not null").select("source", "doc_id").distinct()
     first = sampling.cap_per_group(p, ["source"], F.col("doc_id"), "doc_id", 3).groupBy("source").agg(F.array_sort(F.collect_list("doc_id")).alias("first3"))
@@ -208,29 +201,17 @@ def balanced_pick(spark, d):
     return co.balanced_pick(r, "source", "with_tools", "input_seq", "0")
 
 
-@query("with s as (select l_orderkey as track, l_linenumber as bar, sum(l_quantity) as len from lineitem where l_orderkey < 500 group by 1, 2), c as (select track, bar, len, row_number() over (partition by track order by bar) - 1 as p from s), b as (select track, p // 3 as g, p % 3 as o, bar, len, count(*) over (partition by track) as n from c) select track, (g * 2 + case when o = 0 then 0 else 1 end)::int as clip, min(bar)::bigint as first_bar, count(*)::int as n_bars, sum(len) as seconds from b group by track, g, case when o = 0 then 0 else 1 end having count(*) = case when min(o) = 0 then 1 else 2 end")
-def clip_slices(spark, d):
-    """Clips of one and two bars in turn."""
-    return _clips(read(spark, d, "lineitem").where("l_orderkey < 500"))
-
-
 def _clips(lines: DataFrame) -> DataFrame:
     s = lines.groupBy("l_orderkey", "l_linenumber").agg(F.sum("l_quantity").alias("len")).select(F.col("l_orderkey").alias("track"), F.col("l_linenumber").alias("bar"), "len")
     return co.clip_slices(s, "track", "bar", "len", [1, 2])
 
 
-@query(SQL["clip_slices"].replace(" where l_orderkey < 500", ""))
-def clip_slices_whole(spark, d):
+@query("with s as (select l_orderkey as track, l_linenumber as bar, sum(l_quantity) as len from lineitem group by 1, 2), c as (select track, bar, len, row_number() over (partition by track order by bar) - 1 as p from s), b as (select track, p // 3 as g, p % 3 as o, bar, len, count(*) over (partition by track) as n from c) select track, (g * 2 + case when o = 0 then 0 else 1 end)::int as clip, min(bar)::bigint as first_bar, count(*)::int as n_bars, sum(len) as seconds from b group by track, g, case when o = 0 then 0 else 1 end having count(*) = case when min(o) = 0 then 1 else 2 end")
+def clip_slices(spark, d):
     """Clips of every order."""
     return _clips(read(spark, d, "lineitem"))
 
 
-@query("with o as (select p_brand as s, p_partkey as id, p_retailprice as v from part where p_partkey <= 40), x as (select s, [id] as picks, v as score from o union all select a.s, [a.id, b.id], a.v + b.v from o a join o b on a.s = b.s and a.id <> b.id) select s, picks, round(score, 4) as score, row_number() over (partition by s order by round(score, 9) desc, picks)::int as rk from x qualify rk <= 5")
-def slot_products(spark, d):
-    """One and two slots among the parts of a brand."""
-    return _products(read(spark, d, "part").where("p_partkey <= 40"))
-
-
 def _products(parts: DataFrame) -> DataFrame:
     o = parts.select(F.col("p_brand").alias("s"), F.col("p_partkey").alias("id"), F.col("p_retailprice").alias("v"))
     # A choice with an option below the best six has at least five better ones: one for each of the better options that the other slot leaves free.
@@ -238,20 +219,14 @@ def _products(parts: DataFrame) -> DataFrame:
     return co.slot_products(best, "s", "id", "v", 2, 5).select("s", "picks", F.round("score", 4).alias("score"), "rk")
 
 
-@query(SQL["slot_products"].replace(" where p_partkey <= 40", ""))
-def slot_products_whole(spark, d):
+@query("with o as (select p_brand as s, p_partkey as id, p_retailprice as v from part), x as (select s, [id] as picks, v as score from o union all select a.s, [a.id, b.id], a.v + b.v from o a join o b on a.s = b.s and a.id <> b.id) select s, picks, round(score, 4) as score, row_number() over (partition by s order by round(score, 9) desc, picks)::int as rk from x qualify rk <= 5")
+def slot_products(spark, d):
     """One and two slots among all parts of a brand."""
     return _products(read(spark, d, "part"))
 
 
-@query("with m as (select p_brand as s, p_partkey as a from part where p_partkey between 1 and 60), t as (select p_brand as s, p_partkey as b from part where p_partkey between 61 and 120), d as (select a.s, a.a, b.a as b from m a join m b on a.s = b.s where (a.a + b.a) % 3 = 0), o as (select s, a as b from m union select s, b from t), one as (select m.s, m.a, o.b from m join o using (s) where a <> b), u as (select * from one union select s, b, a from one) select s, a, b from u where not exists (select 1 from d where d.s = u.s and d.a = u.a and d.b = u.b)")
+@query("with m as (select p_brand as s, p_partkey as a from part where p_partkey % 2 = 1), t as (select p_brand as s, p_partkey as b from part where p_partkey % 2 = 0), d as (select a.s, a.a, b.a as b from m a join m b on a.s = b.s where (a.a + b.a) % 3 = 0), o as (select s, a as b from m union select s, b from t), one as (select m.s, m.a, o.b from m join o using (s) where a <> b), u as (select * from one union select s, b, a from one) select s, a, b from u where not exists (select 1 from d where d.s = u.s and d.a = u.a and d.b = u.b)")
 def unrendered_pairs(spark, d):
-    """J11."""
-    return _unrendered(read(spark, d, "part"), "id between 1 and 60", "id between 61 and 120")
-
-
-@query(SQL["unrendered_pairs"].replace("p_partkey between 1 and 60", "p_partkey % 2 = 1").replace("p_partkey between 61 and 120", "p_partkey % 2 = 0"))
-def unrendered_pairs_whole(spark, d):
     """Odd parts are the missed ids, even ones the top; the output grows with the square of a brand's parts."""
     return _unrendered(read(spark, d, "part"), "id % 2 = 1", "id % 2 = 0")
 
@@ -263,18 +238,8 @@ def _unrendered(parts: DataFrame, missed: str, top: str) -> DataFrame:
     return co.unrendered_pairs(m, t, done, "id", "s")
 
 
-@query("select judge_seq, case when len(list_distinct(list_transform(range(1, 3), lambda i: i))) > 0 then coalesce(len(selected_tuple), 0) end::int as n_valid, list_concat(list_distinct_keep, rest) as ranking from (select judge_seq, selected_tuple, coalesce(selected_tuple, []) as list_distinct_keep, list_filter(coalesce(map_values(locked_slots), []), lambda x: not list_contains(coalesce(selected_tuple, []), x)) as rest from judge_results where selected_tuple is null or len(selected_tuple) = len(list_distinct(selected_tuple)))".replace("case when len(list_distinct(list_transform(range(1, 3), lambda i: i))) > 0 then coalesce(len(selected_tuple), 0) end::int as n_valid, ", ""))
-def ranking_repair(spark, d):
-    """The chosen tuple first, then the locked names it lacks, in order (no scores)."""
-    none = F.array().cast("array<string>")
-    j = read(spark, d, "judge_results").where("selected_tuple is null or size(selected_tuple) = size(array_distinct(selected_tuple))")
-    j = j.select("judge_seq", F.coalesce("selected_tuple", none).alias("given"), F.concat(F.coalesce("selected_tuple", none), F.coalesce(F.map_values("locked_slots"), none)).alias("all"))
-    j = j.withColumn("all", F.concat("given", F.filter("all", lambda x: ~F.array_contains("given", x)))).withColumn("scores", F.create_map().cast("map<string,double>"))
-    return j.select("judge_seq", co.ranking_repair(j, "given", "all", "scores").alias("ranking"))
-
-
 @query()
-def ranking_repair_whole(spark, d):
+def ranking_repair(spark, d):
     """U26 over all rows: the chosen tuple, then the locked names, with every repeat and an unknown name; candidates are the names of both and up to four of the row before; longer names score more.
 
     A quarter of the names has a negative score and a quarter none, by hash.
@@ -307,15 +272,8 @@ def chat_template(spark, d):
     return r.select("input_seq", F.md5(cv.chat_prompt(F.col("p"), F.col("a"), F.col("input_seq") % 2 == 0)).alias("prompt_md5"))
 
 
-@query("select doc_id, list_concat(list_transform(range(least(5, len(w))), lambda i: -100), list_transform(w[6:8], lambda x: length(x)::int), list_transform(range(greatest(0, 8 - least(8, len(w)))), lambda i: 0)) as labels from (select doc_id, regexp_extract_all(coalesce(text, ''), '[a-zA-Z]+') as w from documents where doc_id % 10 = 1)")
-def masked_labels(spark, d):
-    """Word lengths stand for ids; five prompt words, three target words, padded to eight."""
-    w = read(spark, d, "documents").where("doc_id % 10 = 1").select("doc_id", F.transform(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit("[a-zA-Z]+"), F.lit(0)), lambda x: F.length(x)).alias("w"))
-    return w.select("doc_id", cv.padded(cv.masked_labels(F.slice("w", 1, 5), F.slice("w", 6, 3)), F.lit(8), 0).alias("labels"))
-
-
 @query("with w as (select doc_id, list_transform(regexp_extract_all(coalesce(text, ''), '[a-zA-Z]+'), lambda x: length(x)::int) as w from documents), p as (select doc_id, w, max(len(w)) over (partition by doc_id // 32) as m from w) select doc_id, list_concat(list_transform(range(least(5, len(w))), lambda i: -100), w[6:], list_transform(range(m - len(w)), lambda i: 0)) as labels from p")
-def masked_labels_whole(spark, d):
+def masked_labels(spark, d):
     """All words of every document; five prompt words, the rest is the target, padded to the longest of a batch of 32."""
     w = read(spark, d, "documents").select("doc_id", F.transform(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit("[a-zA-Z]+"), F.lit(0)), lambda x: F.length(x)).alias("w"))
     longest = F.max(F.size("w")).over(Window.partitionBy(F.floor(F.col("doc_id") / 32)))
@@ -395,32 +353,33 @@ def _stream(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _fresh(spark: SparkSession) -> tuple[str, str]:
-    name = "q" + uuid.uuid4().hex
-    return name, f"{shared_dir(spark)}/{name}"
+    base = f"{shared_dir(spark)}/corpusloom-stream-{uuid.uuid4().hex}"
+    remember(base)
+    return f"{base}/out", f"{base}/state"
 
 
 @query("select date_trunc('hour', ts) as w_start, event_type, count(*) as n, round(sum(value), 4) as total from events group by 1, 2")
 def stream_tumbling(spark, d):
     """Extension: hourly windows over the event stream."""
-    return inc.run_to_memory(inc.windowed_counts(_stream(spark, d), "ts", ["event_type"], "1 hour", None, None), *_fresh(spark), "complete").withColumn("w_start", F.col("w_start").cast("timestamp_ntz"))
+    return inc.run_to_table(inc.windowed_counts(_stream(spark, d), "ts", ["event_type"], "1 hour", None, None), *_fresh(spark), "complete").withColumn("w_start", F.col("w_start").cast("timestamp_ntz"))
 
 
 @query("select w_start, event_type, count(*) as n, round(sum(value), 4) as total from (select unnest([date_trunc('hour', ts), date_trunc('hour', ts) - interval 1 hour]) as w_start, event_type, value from events) group by 1, 2")
 def stream_sliding(spark, d):
     """Extension: windows of two hours every hour."""
-    return inc.run_to_memory(inc.windowed_counts(_stream(spark, d), "ts", ["event_type"], "2 hours", "1 hour", None), *_fresh(spark), "complete").withColumn("w_start", F.col("w_start").cast("timestamp_ntz"))
+    return inc.run_to_table(inc.windowed_counts(_stream(spark, d), "ts", ["event_type"], "2 hours", "1 hour", None), *_fresh(spark), "complete").withColumn("w_start", F.col("w_start").cast("timestamp_ntz"))
 
 
 @query("with g as (select user_id, ts, case when epoch_us(ts) - lag(epoch_us(ts)) over w < 1800000000 then 0 else 1 end as b from events window w as (partition by user_id order by ts)), s as (select user_id, ts, sum(b) over (partition by user_id order by ts rows between unbounded preceding and current row) as k from g) select min(ts) as w_start, user_id, count(*) as n from s group by user_id, k")
 def stream_sessions(spark, d):
     """Extension: sessions with a gap of 30 minutes, as a stream."""
-    return inc.run_to_memory(inc.session_counts(_stream(spark, d), "ts", ["user_id"], "30 minutes", None), *_fresh(spark), "complete").withColumn("w_start", F.col("w_start").cast("timestamp_ntz"))
+    return inc.run_to_table(inc.session_counts(_stream(spark, d), "ts", ["user_id"], "30 minutes", None), *_fresh(spark), "complete").withColumn("w_start", F.col("w_start").cast("timestamp_ntz"))
 
 
 @query("with p as (select user_id, event_id, value, lag(value, 1) over w as a, lag(value, 2) over w as b from events window w as (partition by user_id order by event_id)) select user_id, event_id from p where value - a >= 5 and a - b >= 5")
 def stream_early_stop(spark, d):
     """The trigger with state."""
-    return inc.run_to_memory(inc.early_stop(_stream(spark, d).select("user_id", "event_id", "value"), "user_id", "event_id", "value", 5.0), *_fresh(spark))
+    return inc.run_to_table(inc.early_stop(_stream(spark, d).select("user_id", "event_id", "value"), "user_id", "event_id", "value", 5.0), *_fresh(spark))
 
 
 @query("select event_id from events e where not exists (select 1 from events f where f.event_id = e.event_id and f.event_type = 'view')")
@@ -463,8 +422,9 @@ def last_json_list(spark, d):
     return read(spark, d, "judge_results").where("reasoning is not null").select("judge_seq", tx.last_json_array(F.col("reasoning")).alias("list"))
 
 
-@query("with r as (select doc_id, row_number() over (order by doc_id) - 1 as i from documents) select doc_id from r where list_contains([(990 + k) % 1000 for k in range(20)], i)")
+@query("with r as (select doc_id, row_number() over (order by doc_id) - 1 as i, count(*) over () as n from documents) select doc_id, (i - (n - 10) + n) % n < 20 as inside from r")
 def coverage_window(spark, d):
-    """A window of 20 places that wraps at 1000."""
-    r = sampling.with_row_number(read(spark, d, "documents"), "doc_id")
-    return r.where(F.col("i").isin(sampling.coverage_window(1000, 990, 20))).select("doc_id")
+    """A window of 20 places that wraps at the end of the table, and its complement: every document once."""
+    t = read(spark, d, "documents")
+    r = sampling.with_row_number(t, "doc_id").crossJoin(F.broadcast(t.agg(F.count("*").alias("n"))))
+    return r.select("doc_id", sampling.inside_window(F.col("i"), F.col("n"), F.col("n") - 10, 20).alias("inside"))

@@ -404,19 +404,13 @@ def hash_split_modulo(spark, d):
     return read(spark, d, "clap_cache").where("wavetable_name is not null").groupBy((tx.hash128_mod(F.col("wavetable_name"), 10_000) < 300).alias("held")).agg(F.count("*").alias("n"))
 
 
-@query("select doc_id, ('0x' || substr(md5(doc_id::varchar || '|7'), 1, 16))::ubigint < 0.1 * 18446744073709551615 as held from documents where doc_id % 5 = 0")
+@query("select doc_id, ('0x' || substr(md5(doc_id::varchar || '|7'), 1, 16))::ubigint < 0.1 * 18446744073709551615 as held from documents")
 def hash_split_ratio(spark, d):
-    """Ratio mode, compared as a 64-bit integer."""
-    return _held(read(spark, d, "documents").where("doc_id % 5 = 0"))
-
-
-@query(SQL["hash_split_ratio"].replace(" where doc_id % 5 = 0", ""))
-def hash_split_ratio_whole(spark, d):
     """A side for every document."""
-    return _held(read(spark, d, "documents"))
+    return _side(read(spark, d, "documents"))
 
 
-def _held(docs: DataFrame) -> DataFrame:
+def _side(docs: DataFrame) -> DataFrame:
     limit = F.lit(int(0.1 * (2**64 - 1))).cast("decimal(20,0)")
     return docs.select("doc_id", (tx.hash64(F.concat(F.col("doc_id").cast("string"), F.lit("|7"))) < limit).alias("held"))
 

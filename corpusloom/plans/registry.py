@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.plans import queries_audits, queries_composites, queries_curation, queries_sequences
+from corpusloom.plans import queries_audits, queries_composites, queries_curation, queries_records, queries_sequences
 
 Query = Callable[[SparkSession, str], DataFrame]
-_MODULES = (queries_curation, queries_sequences, queries_composites, queries_audits)
+_MODULES = (queries_curation, queries_records, queries_sequences, queries_composites, queries_audits, queries_records)
 
 
 def queries() -> dict[str, Query]:

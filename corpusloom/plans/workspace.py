@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import functools
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +32,7 @@ def materialize(df: DataFrame, name: str = "t") -> DataFrame:
     """Write ``df`` once as a table in the shared folder and read it back.
 
     The result has no lineage to the input, so lost executors cost no recomputation, and it can be
-    read several times.  The tables are removed when the process ends.
+    read several times.  ``tidy`` removes it once no result reads it, else it goes when the process ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/corpusloom-{name}-{uuid.uuid4().hex}"
@@ -57,11 +59,55 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores)
 
 
+def remember(path: str) -> None:
+    """Have ``path`` removed with the tables."""
+    _folders.append(path)
+
+
+def tidy(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Remove the tables that ``query`` wrote and its result does not read, as soon as it returns.
+
+    Those that the result reads stay until the process ends, since plans that callers derive from it may read them at any time.
+    """
+
+    @functools.wraps(query)
+    def run(*args, **kwargs) -> DataFrame:
+        before = len(_folders)
+        out = query(*args, **kwargs)
+        made = _folders[before:]
+        if made:
+            read = out.inputFiles()
+            free = [p for p in made if not any(f"/{_leaf(p)}/" in f for f in read)]
+            for p in free:
+                _delete(p)
+            _folders[before:] = [p for p in made if p not in free]
+        return out
+
+    return run
+
+
+def _leaf(path: str) -> str:
+    return path.rstrip("/").rsplit("/", 1)[-1]
+
+
+def _delete(path: str) -> None:
+    """Through the file system that the path names while there is a session, else (at the end) only on this machine."""
+    spark = SparkSession.getActiveSession()
+    if spark is not None:
+        try:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+            return
+        except Exception:  # noqa: BLE001 - the session may be going down; what is left is removed below if it is local
+            pass
+    if path.startswith("file:"):
+        path = path[5:].replace("///", "/", 1)
+    if "://" not in path:
+        shutil.rmtree(path, ignore_errors=True)
+
+
 @atexit.register
 def _remove() -> None:
     for p in _folders:
-        if p.startswith("file:"):
-            p = p[5:].replace("///", "/", 1)
-        if "://" not in p:
-            shutil.rmtree(p, ignore_errors=True)
+        _delete(p)
     _folders.clear()

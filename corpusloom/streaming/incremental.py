@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -57,10 +58,23 @@ def distinct_events(events: DataFrame, at: str, key: str, late: str) -> DataFram
     return events.withWatermark(at, late).dropDuplicatesWithinWatermark([key])
 
 
-def run_to_memory(df: DataFrame, name: str, checkpoint: str, mode: str = "append") -> DataFrame:
-    """Run a streaming plan over what is there and return its result as a table: for tests and small reports."""
-    df.writeStream.outputMode(mode).format("memory").queryName(name).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
-    return df.sparkSession.table(name)
+def run_to_table(df: DataFrame, path: str, checkpoint: str, mode: str = "append") -> DataFrame:
+    """Run a streaming plan over what is there and return its result, from a table in the shared folder.
+
+    Every batch writes its own folder, again if it is run again; in complete mode the last batch holds the whole result.
+    """
+    last: list[int] = []
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        last.append(batch_id)
+
+    df.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    fields = df.schema
+    if not last:
+        return df.sparkSession.createDataFrame([], fields)
+    read = df.sparkSession.read.schema(fields)
+    return read.parquet(f"{path}/batch_id={last[-1]}") if mode == "complete" else read.parquet(*[f"{path}/batch_id={b}" for b in last])
 
 
 def early_stop(points: DataFrame, by: str, step: str, value: str, least: float) -> DataFrame:
@@ -79,3 +93,29 @@ def early_stop(points: DataFrame, by: str, step: str, value: str, least: float)
 
     kinds = {f.name: f.dataType.simpleString() for f in points.schema}
     return points.groupBy(by).applyInPandasWithState(update, f"{by} {kinds[by]}, {step} {kinds[step]}", "last array<double>", "append", GroupStateTimeout.NoTimeout)
+
+
+def call_rows(df: DataFrame, ident: str, argument: str, action: Callable[[str], str], attempts: int = 4, pause: float = 0.0) -> DataFrame:
+    """(ident, result, tries, failed): ``action`` on every row's argument, tried again after a pause that grows by ``pause`` seconds each time.
+
+    After ``attempts`` failures the row counts as failed with a null result; one failing row never stops the others.
+    """
+    kind = df.schema[ident].dataType.simpleString()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for i, x in zip(pdf[ident], pdf[argument], strict=True):
+                result, tries = None, 0
+                while tries < attempts and result is None:
+                    if tries and pause:
+                        time.sleep(pause * tries)
+                    tries += 1
+                    try:
+                        result = action(x)
+                    except Exception:  # noqa: BLE001 - any failure of the action counts as one
+                        result = None
+                rows.append((i, result, tries, result is None))
+            yield pd.DataFrame(rows, columns=[ident, "result", "tries", "failed"])
+
+    return df.select(ident, argument).mapInPandas(run, f"{ident} {kind}, result string, tries int, failed boolean")

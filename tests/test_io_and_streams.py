@@ -90,7 +90,7 @@ def test_watermarked_stream(spark, tmp_path):
     src = str(tmp_path / "ev")
     spark.createDataFrame([(1, "2024-01-01 00:00:10", 1.0), (1, "2024-01-01 00:00:10", 1.0), (2, "2024-01-01 00:07:00", 2.0)], "id long, ts string, value double").withColumn("ts", F.to_timestamp("ts")).write.parquet(src)
     stream = spark.readStream.schema("id long, ts timestamp, value double").parquet(src)
-    got = inc.run_to_memory(inc.distinct_events(stream, "ts", "id", "1 hour"), "t_distinct", str(tmp_path / "c1"))
+    got = inc.run_to_table(inc.distinct_events(stream, "ts", "id", "1 hour"), str(tmp_path / "o1"), str(tmp_path / "c1"))
     assert got.count() == 2
-    tumbled = inc.run_to_memory(inc.windowed_counts(stream, "ts", [], "5 minutes", None, "1 minute"), "t_window", str(tmp_path / "c2"), "complete")
+    tumbled = inc.run_to_table(inc.windowed_counts(stream, "ts", [], "5 minutes", None, "1 minute"), str(tmp_path / "o2"), str(tmp_path / "c2"), "complete")
     assert sorted(r.n for r in tumbled.collect()) == [1, 2]

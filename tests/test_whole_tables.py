@@ -15,21 +15,21 @@ def run(spark, data, name):
 
 def test_no_key_range_is_left_out(spark, data):
     orders = {r[0] for r in read(spark, data, "lineitem").select("l_orderkey").collect()}
-    assert {r.track for r in run(spark, data, "clip_slices_whole").collect()} == orders and max(orders) >= 500
+    assert {r.track for r in run(spark, data, "clip_slices").collect()} == orders and max(orders) >= 500
     parts = {(r.p_brand, r.p_partkey): r.p_retailprice for r in read(spark, data, "part").collect()}
-    assert {r.key for r in run(spark, data, "live_keys_whole").collect()} == {k for _, k in parts}
+    assert {r.key for r in run(spark, data, "live_keys").collect()} == {k for _, k in parts}
     want = {}
     for brand in {b for b, _ in parts}:
         own = [(k, v) for (b, k), v in parts.items() if b == brand]
         picks = [([k], v) for k, v in own] + [([k, j], v + w) for k, v in own for j, w in own if j != k]
         want[brand] = [p for p, _ in sorted(picks, key=lambda x: (-round(x[1], 9), x[0]))[:5]]
     got = {b: [None] * len(w) for b, w in want.items()}
-    for r in run(spark, data, "slot_products_whole").collect():
+    for r in run(spark, data, "slot_products").collect():
         got[r.s][r.rk - 1] = r.picks
     assert got == want
-    pairs = {(r.a, r.b) for r in run(spark, data, "unrendered_pairs_whole").collect()}
+    pairs = {(r.a, r.b) for r in run(spark, data, "unrendered_pairs").collect()}
     assert pairs == {(a, b) for s, a in parts for t, b in parts if s == t and a != b and (a % 2 or b % 2) and not (a % 2 and b % 2 and (a + b) % 3 == 0)}
-    zipped = run(spark, data, "positional_zip_whole").collect()
+    zipped = run(spark, data, "positional_zip").collect()
     assert {r.c_name for r in zipped if r.c_name} == {r.c_name for r in read(spark, data, "customer").collect()}
     assert {r.s_name for r in zipped if r.s_name} == {r.s_name for r in read(spark, data, "supplier").collect()}
 
@@ -45,13 +45,13 @@ def test_long_diff_equals_map_diff(spark):
 
 def test_no_row_is_filtered(spark, data):
     docs = {r.doc_id: r.source for r in read(spark, data, "documents").collect()}
-    for name in ("hash_split_ratio_whole", "counted_holdout_whole", "masked_labels_whole"):
+    for name in ("hash_split_ratio", "counted_holdout", "masked_labels"):
         assert sorted(r.doc_id for r in run(spark, data, name).collect()) == sorted(docs)
-    assert {r.n for r in run(spark, data, "id_lists_whole").collect()} == {sum(s is not None for s in docs.values())}
+    assert {r.n for r in run(spark, data, "id_lists").collect()} == {sum(s is not None for s in docs.values())}
 
 
 def test_rankings_with_repeats_and_scores_are_repaired(spark, data):
-    rows = run(spark, data, "ranking_repair_whole").collect()
+    rows = run(spark, data, "ranking_repair").collect()
     assert len(rows) == read(spark, data, "judge_results").count()
     for r in rows:
         want = list(dict.fromkeys(x for x in r.given if x in r.names))
