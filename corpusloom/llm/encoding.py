@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from corpusloom.plans.workspace import spread
 
-#: Remembered words of one Python worker; beyond it the memory is emptied and fills again (speed only, never results).
-WORDS_KEPT = 400_000
+#: Remembered words, and remembered pairs of tokens, of one Python worker; beyond it the memory is emptied and fills again (speed only, never results).
+WORDS_KEPT, PAIRS_KEPT = 400_000, 2_000_000
 
 
 def _byte_names() -> dict[str, int]:
@@ -120,6 +120,8 @@ class TrieEncoder:
         if len(self.known) + len(fresh) > WORDS_KEPT:
             self.known.clear()
             fresh = set(chain.from_iterable(cut))
+        if len(self.follows) > PAIRS_KEPT:
+            self.follows.clear()
         self.encode_words(fresh)
         get = self.known.__getitem__
         return [list(chain.from_iterable(map(get, words))) for words in cut]

@@ -14,10 +14,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm import textkernel as K
-from corpusloom.plans.workspace import materialize, spread
+from corpusloom.plans.workspace import materialize, materialize_counted, spread
 
 #: Rows of the evaluation fingerprints up to which they are broadcast (24 bytes each).
 BROADCAST_ROWS = 1_000_000
+#: Pairs of a document and an item with their hits, up to which these are broadcast to the texts (some 100 bytes each).
+BROADCAST_HITS = 200_000
 
 
 def _fingerprints(k: int, w: int):
@@ -98,6 +100,7 @@ def leaked_passages(docs: DataFrame, items: DataFrame, least: int = 12, k: int =
     prints = materialize(fingerprints(items, k, w).select("fp", F.col("id").alias("item"), F.col("pos").alias("i")), "evalprints")
     side = F.broadcast(prints) if prints.count() <= BROADCAST_ROWS else prints
     hits = fingerprints(docs, k, w).join(side, "fp").groupBy(F.col("id").alias("doc"), "item").agg(F.collect_set(F.struct(F.col("pos").alias("d"), "i")).alias("hits"))
-    hits = materialize(hits, "hits")
+    hits, n = materialize_counted(hits, "hits")
+    hits = F.broadcast(hits) if n <= BROADCAST_HITS else hits  # few hits go to the texts, many texts never to the hits
     paired = hits.join(docs.select(F.col("id").alias("doc"), F.col("text").alias("dtext")), "doc").join(items.select(F.col("id").alias("item"), F.col("text").alias("itext")), "item")
     return paired.select("doc", "item", "hits", "dtext", "itext").mapInArrow(_longest_runs(least), "doc long, item long, run int")

@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 
 from corpusloom.plans.workspace import materialize
 
-#: Most size classes; a larger capacity is measured in units of capacity / CLASSES, sizes rounded up.
-CLASSES = 32_768
+#: Most size classes; a larger capacity is measured in units of capacity / CLASSES, sizes rounded up: an item then loses less than a unit, a
+#: 131,072th of a container.  The plan has about ten ranges (24 bytes each) a class, so it stays under 35 MB whatever the rows.
+CLASSES = 131_072
 #: Salt of the ranking inside a class: a class with a third of all rows is ranked in so many parts.
 RANK_PARTS = 64
 
