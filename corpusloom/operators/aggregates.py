@@ -2,17 +2,56 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def distribution(df: DataFrame, value: str, by: list[str] | None = None, points: tuple[float, ...] = (0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99)) -> DataFrame:
     """Count, min, max, mean, population deviation and interpolated percentiles; zeros if there is nothing to count."""
+    by = by or []
     v = F.col(value).cast("double")
     z = lambda c: F.coalesce(c, F.lit(0.0))
     out = [F.count(v).alias("n"), z(F.min(v)).alias("v_min"), z(F.max(v)).alias("v_max"), F.round(z(F.avg(v)), 4).alias("v_mean"), F.round(z(F.stddev_pop(v)), 4).alias("v_std")]
-    out += [F.round(z(F.percentile(v, F.lit(p))), 4).alias(f"p{round(p * 100):02d}") for p in points]
-    return (df.groupBy(*by) if by else df.groupBy()).agg(*out)
+    got = join_groups(df.groupBy(*by).agg(*out), percentiles(df, value, by, list(points)).drop("n"), by)
+    return got.select(*by, "n", "v_min", "v_max", "v_mean", "v_std", *[F.round(z(F.col("q")[i]), 4).alias(f"p{round(p * 100):02d}") for i, p in enumerate(points)])
+
+
+def join_groups(a: DataFrame, b: DataFrame, by: list[str]) -> DataFrame:
+    """Left join of two tables with the same group columns; null groups meet; without group columns ``b`` has at most one row."""
+    if not by:
+        return a.join(F.broadcast(b), F.lit(True), "left")
+    b = b.select(*[F.col(c).alias(f"__g{i}") for i, c in enumerate(by)], *[c for c in b.columns if c not in by])
+    return a.join(b, reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"__g{i}")) for i, c in enumerate(by)]), "left").drop(*[f"__g{i}" for i in range(len(by))])
+
+
+def located(df: DataFrame, value: str, by: list[str], ranges: int = 64) -> DataFrame:
+    """(by, value, c, upto, n): every distinct value that is not null with its count, the running count and the group's.
+
+    A group's values are counted first and split at approximate percentiles into ``ranges`` parts, which are summed before the running counts inside a
+    part are taken, so no task sorts a whole group.
+    """
+    v = df.where(F.col(value).isNotNull())
+    edges = v.groupBy(*by).agg(F.percentile_approx(value, F.array(*[F.lit(i / ranges) for i in range(1, ranges)]), 10_000).alias("__e"), F.count("*").alias("n"))
+    per = join_groups(v.groupBy(*by, value).agg(F.count("*").alias("c")), edges, by)
+    per = per.withColumn("__p", F.size(F.filter("__e", lambda e: e < F.col(value)))).drop("__e")
+    whole = Window.partitionBy(*by).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    totals = per.groupBy(*by, "__p").agg(F.sum("c").alias("__t")).withColumn("__s", F.coalesce(F.sum("__t").over(whole), F.lit(0))).drop("__t")
+    inside = Window.partitionBy(*by, "__p").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    return join_groups(per.withColumn("__u", F.sum("c").over(inside)), totals, [*by, "__p"]).withColumn("upto", F.col("__s") + F.col("__u")).drop("__s", "__u", "__p")
+
+
+def percentiles(df: DataFrame, value: str, by: list[str], points: list[float]) -> DataFrame:
+    """(by, n, q): the interpolated percentiles of a numeric column as an array of doubles; groups without a value have no row (q is null without groups)."""
+    at = located(df.select(*by, F.col(value).cast("double").alias("__v")), "__v", by)
+    out = []
+    for p in points:
+        h = F.lit(float(p)) * (F.col("n") - 1)
+        held = lambda r: F.max(F.when((r < F.col("upto")) & (r >= F.col("upto") - F.col("c")), F.col("__v")))
+        low = held(F.floor(h))
+        out.append(low + (held(F.ceil(h)) - low) * F.max(h - F.floor(h)))
+    return at.groupBy(*by).agg(F.max("n").alias("n"), F.array(*out).alias("q"))
 
 
 def ranked_value(df: DataFrame, value: str, by: list[str], rank: Column) -> DataFrame:
@@ -20,9 +59,7 @@ def ranked_value(df: DataFrame, value: str, by: list[str], rank: Column) -> Data
 
     Values are counted first and located by running counts, so no group's values gather in an array.
     """
-    per = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("c"))
-    w = Window.partitionBy(*by).orderBy(value)
-    per = per.withColumn("upto", F.sum("c").over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("n", F.sum("c").over(Window.partitionBy(*by)))
+    per = located(df, value, by)
     return per.withColumn("r", rank).where((F.col("r") < F.col("upto")) & (F.col("r") >= F.col("upto") - F.col("c"))).select(*by, "n", F.col(value).alias("at_rank"))
 
 

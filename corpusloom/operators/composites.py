@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.numbers import bucket
+from corpusloom.operators.aggregates import percentiles
 from corpusloom.operators.windows import stage_bucket
 
 # Families of parameter names by prefix, in order (fixed values).
@@ -192,7 +193,7 @@ def z_scores(df: DataFrame, key: str, value: str, calibration: DataFrame, row: l
 
 def knots(df: DataFrame, by: list[str], value: str, points: list[float]) -> DataFrame:
     """The percentiles of every group as one array."""
-    return df.groupBy(*by).agg(F.percentile(F.col(value).cast("double"), F.array(*[F.lit(p) for p in points])).alias("knots"))
+    return percentiles(df, value, by, points).select(*by, F.col("q").alias("knots"))
 
 
 def knot_position(x: Column, knots_: Column, points: list[float]) -> Column:

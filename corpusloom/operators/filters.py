@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.operators.aggregates import percentiles
+
 
 def first_reason(rules: list[tuple[str, Column]]) -> Column:
     """name of the first rule that holds, null if none; a null condition doesn't hold.  The order of the rules is part of the result."""
@@ -32,7 +34,11 @@ def exclude_values(df: DataFrame, column: str, values: list[str]) -> DataFrame:
 def learned_thresholds(reference: DataFrame, floors: dict[str, float], quantile: float, scale: float) -> DataFrame:
     """one row with a threshold a column: the larger of a floor and the scaled quantile (clamped to 0 .. 0.5) of the reference."""
     q = min(0.5, max(0.0, quantile))
-    return reference.agg(*[F.greatest(F.lit(float(f)), F.coalesce(F.percentile(F.col(c).cast("double"), F.lit(q)), F.lit(0.0)) * max(1e-6, scale)).alias(f"t_{c}") for c, f in floors.items()])
+    out = None
+    for c, f in floors.items():
+        one = percentiles(reference, c, [], [q]).select(F.greatest(F.lit(float(f)), F.coalesce(F.col("q")[0], F.lit(0.0)) * max(1e-6, scale)).alias(f"t_{c}"))
+        out = one if out is None else out.crossJoin(F.broadcast(one))
+    return out
 
 
 def quiet_rows(df: DataFrame, thresholds: DataFrame, peak: str, rms: str, p95: str, active: str) -> DataFrame:

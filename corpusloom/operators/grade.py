@@ -69,7 +69,7 @@ def references(df: DataFrame, ident: str, seq: str, k: int, salt: int) -> DataFr
     """K other rows a row, by position: the next ones of a keyed order that wraps round.  No pairs are formed but those returned."""
     order = df.select(ident, seq, F.md5(F.concat(F.col(seq).cast("string"), F.lit(f":{salt}"))).alias("h"))
     n = order.agg(F.count("*").alias("n"))
-    numbered = order.withColumn("bucket", F.conv(F.substring("h", 1, 2), 16, 10).cast("int"))
+    numbered = order.withColumn("bucket", F.conv(F.substring("h", 1, 4), 16, 10).cast("int"))
     per = numbered.groupBy("bucket").agg(F.count("*").alias("c")).withColumn("s", F.coalesce(F.sum("c").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     numbered = numbered.join(F.broadcast(per.select("bucket", "s")), "bucket").withColumn("i", F.col("s") + F.row_number().over(Window.partitionBy("bucket").orderBy("h", seq)) - 1).crossJoin(F.broadcast(n))
     asks = numbered.where("n > 1").select(F.col(ident).alias("a"), "n", "i", F.explode(F.sequence(F.lit(1), F.least(F.lit(k), F.col("n") - 1).cast("int"))).alias("step")).withColumn("j", (F.col("i") + F.col("step")) % F.col("n"))

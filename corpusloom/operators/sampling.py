@@ -9,8 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Ranges by which whole-table running totals are split.
-RANGES = 256
+from corpusloom.plans.workspace import materialize
+
+#: Rows of a range by which whole-table running numbers are split, about; and ranges of a hash order at least.
+RANGE_ROWS, RANGES = 1_000_000, 256
 
 
 def running(df: DataFrame, place: Column, order: list[str | Column], value: Column, out: str) -> DataFrame:
@@ -18,16 +20,20 @@ def running(df: DataFrame, place: Column, order: list[str | Column], value: Colu
     r = df.withColumn("__p", place).withColumn("__v", value)
     totals = r.groupBy("__p").agg(F.sum("__v").alias("__t")).withColumn("__s", F.sum("__t").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)))
     inside = Window.partitionBy("__p").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    joined = r.withColumn("__b", F.coalesce(F.sum("__v").over(inside), F.lit(0))).join(F.broadcast(totals.select("__p", "__s")), "__p")  # at most RANGES rows, or the place's distinct values
+    joined = r.withColumn("__b", F.coalesce(F.sum("__v").over(inside), F.lit(0))).join(F.broadcast(totals.select("__p", "__s")), "__p")  # one row a range or hash prefix: at most 65,536, or a millionth of the rows
     return joined.withColumn(out, F.coalesce("__s", F.lit(0)) + F.col("__b")).drop("__p", "__v", "__s", "__b")
 
 
 def with_row_number(df: DataFrame, key: str, out: str = "i") -> DataFrame:
-    """0-based number of every row in the order of a numeric key without nulls, by value ranges."""
-    span = df.agg(F.min(key).alias("__lo"), F.max(key).alias("__hi"))
-    wide = df.crossJoin(F.broadcast(span))
-    place = F.least(F.lit(RANGES - 1), F.floor((F.col(key) - F.col("__lo")) * RANGES / (F.col("__hi") - F.col("__lo") + 1))).cast("int")
-    return running(wide, place, [key], F.lit(1).cast("long"), out).drop("__lo", "__hi")
+    """0-based number of every row in the order of a unique key without nulls.
+
+    A table of more than ``RANGE_ROWS`` rows is written in that many ranges of the key's own distribution, so a skewed key makes no hot range.
+    """
+    ranges = df.count() // RANGE_ROWS + 1
+    if ranges == 1:
+        return running(df, F.lit(0), [key], F.lit(1).cast("long"), out)
+    placed = materialize(df.repartitionByRange(ranges, key).withColumn("__range", F.spark_partition_id()), "ranges")
+    return running(placed, F.col("__range"), [key], F.lit(1).cast("long"), out).drop("__range")
 
 
 def stratified_holdout(df: DataFrame, stratum: str, h: str, tie: str, count: int) -> DataFrame:
@@ -58,7 +64,7 @@ def take_budget(df: DataFrame, h: str, tie: str, size: str, budget: float, span:
 
     ``h`` is an integer in [0, span).
     """
-    place = F.floor(F.col(h) / (span / RANGES)).cast("int")
+    place = F.floor(F.col(h) / (span / max(RANGES, df.count() // RANGE_ROWS))).cast("int")
     return running(df, place, [h, tie], F.col(size), "__before").where(F.col("__before") < budget).drop("__before")
 
 
@@ -74,7 +80,7 @@ def balanced_chunks(df: DataFrame, i: str, n: int) -> DataFrame:
 def length_batches(df: DataFrame, h: Column, tie: str, length: str, size: int, per_group: int) -> DataFrame:
     """Rows shuffled by hash, cut into groups of ``size * per_group``, sorted by length inside, cut into batches of ``size``."""
     x = df.withColumn("__h", h)
-    place = F.conv(F.substring("__h", 1, 2), 16, 10).cast("int")
+    place = F.conv(F.substring("__h", 1, 4), 16, 10).cast("int")
     x = running(x, place, ["__h", tie], F.lit(1).cast("long"), "__i").withColumn("__g", F.floor(F.col("__i") / (size * per_group)))
     r = F.row_number().over(Window.partitionBy("__g").orderBy(length, tie)) - 1
     return x.withColumn("batch", (F.col("__g") * per_group + F.floor(r / size)).cast("long")).drop("__h", "__i", "__g")

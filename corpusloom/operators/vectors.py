@@ -8,13 +8,28 @@ from pyspark.sql import functions as F
 from corpusloom.functions.numbers import cosine
 
 
+#: Query vectors of one pass, about: 512 bytes each at 128 dimensions, so 10 MB are broadcast.
+QUERY_ROWS = 20_000
+
+
 def similarities(queries: DataFrame, index: DataFrame, query: str, name: str, vector: str, digits: int = 9) -> DataFrame:
     """Cosine of a stated, bounded query set against every index row, the best row of every name.
 
-    The queries are the broadcast side, so the index is read once and never shuffled; only one row a query and name leaves a task.
-    Zero vectors have no similarity and are left out.
+    The queries are counted; up to ``QUERY_ROWS`` they are the broadcast side, so the index is read once and never shuffled, and more come in blocks of
+    as many, one pass a block.  Only one row a query and name leaves a task.  Zero vectors have no similarity and are left out.
     """
     q = queries.select(query, F.col(vector).alias("__q"))
+    blocks = q.count() // QUERY_ROWS + 1
+    if blocks > 1:
+        out = None
+        for i in range(blocks):
+            part = _similar(q.where(F.pmod(F.xxhash64(query), F.lit(blocks)) == i), index, query, name, vector, digits)
+            out = part if out is None else out.union(part)
+        return out
+    return _similar(q, index, query, name, vector, digits)
+
+
+def _similar(q: DataFrame, index: DataFrame, query: str, name: str, vector: str, digits: int) -> DataFrame:
     pairs = index.select(name, F.col(vector).alias("__x")).crossJoin(F.broadcast(q))
     return pairs.withColumn("cos", F.round(cosine(F.col("__q"), F.col("__x")), digits)).where("cos is not null").groupBy(query, name).agg(F.max("cos").alias("cos"))
 

@@ -68,7 +68,7 @@ def percentile_position(spark, d):
     """A21."""
     e = read(spark, d, "events")
     k = co.knots(e, ["event_type"], "value", [0.0, 0.5, 1.0])
-    return e.join(F.broadcast(k), "event_type").select("event_id", F.round(co.knot_position(F.col("value"), F.col("knots"), [0.0, 0.5, 1.0]), 6).alias("position"))
+    return e.join(k, "event_type").select("event_id", F.round(co.knot_position(F.col("value"), F.col("knots"), [0.0, 0.5, 1.0]), 6).alias("position"))
 
 
 @query("select k as key, case when starts_with(k, 'osc_') or starts_with(k, 'unison_') then 'osc' when starts_with(k, 'env_1_') then 'env1' when starts_with(k, 'env_2_') then 'env2' when starts_with(k, 'filter_1_') then 'filter1' when starts_with(k, 'filter_2_') then 'filter2' when starts_with(k, 'lfo_') then 'lfo' when regexp_matches(k, '^(reverb|delay|chorus|distortion|compressor|phaser|flanger|eq|modulation)_') then split_part(k, '_', 1) else 'other' end as family, n from (select k, count(*) as n from (select unnest(regexp_extract_all(coalesce(text, ''), '[a-z]+_[a-z0-9_]+')) as k from documents) group by 1)")
