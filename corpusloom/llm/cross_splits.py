@@ -419,12 +419,12 @@ def _all_cells(built: DataFrame) -> bytes:
     return np.minimum(255, np.ceil(np.log2(count + 1.0) * 8)).astype(np.uint8).tobytes()
 
 
-def evaluation_links(texts: DataFrame, k: int, theta: float) -> DataFrame:
+def evaluation_links(texts: DataFrame, k: int, theta: float, runs: int | None = None) -> DataFrame:
     """Links of ``texts(id, text, comp, held)`` to the records of which ``held`` is true: (a, b, shared, matches, longest, spans, words).
 
     a: the text, b: a near record of evaluation; of every group (comp) of those at most one is reported a text.  shared: runs of k words
     that both have; matches: maximal matches, longest: words of the longest; spans, words: the matches merged in the text, and the words they cover.
-    Tasks build the shards and write them to the shared folder, where the tasks that stream the texts read them; the driver holds none.
+    ``runs``: distinct runs of all texts, about, which sizes the buckets.  Tasks build the shards and write them to the shared folder, where the tasks that stream the texts read them; the driver holds none.
     """
     chosen = materialize(texts.where("held").select("id", "text", "comp"), "heldout")
     total = int((chosen.agg(F.sum(F.length("text"))).first()[0] or 0) / 5.5)
@@ -447,7 +447,7 @@ def evaluation_links(texts: DataFrame, k: int, theta: float) -> DataFrame:
         routed = reading.select(F.lit(0).alias("shard"), "id", "text", "comp")
     else:
         cells = texts.sparkSession.sparkContext.broadcast(_all_cells(built))
-        buckets = nd.bucket_count(texts, 4.0 * total)
+        buckets = nd.bucket_count(0.45 * (runs or 8 * total) + total)
         posted = reading.mapInArrow(_asking(k, theta, cells, buckets), packed.SCHEMA).union(chosen.select("id", "text", "comp").mapInArrow(_asked(k, cells, buckets), packed.SCHEMA))
         route = nd.side_table(nd.meet(posted, theta, SLACK, buckets, symmetric=False).select(F.col("q").alias("id"), shard("g")).distinct(), "route")
         routed = reading.join(route, "id").select("shard", "id", "text", "comp").repartition("shard", F.pmod(F.xxhash64("id"), F.lit(8))).sortWithinPartitions("shard")
@@ -469,7 +469,7 @@ def overlaps(records: DataFrame, k: int = 5, theta: float = 0.8, held: tuple[str
     inner = nd.matrix_links(signed, k, theta, leave_out=1)
     special = signed.classes.where("id <> rep").select("id", F.lit(True).alias("copy"), F.lit(None).cast("long").alias("comp")).union(signed.parts.select("node", F.lit(False), "root"))
     reading = signed.texts.join(nd.side_table(special, "copies"), "id", "left").where("text is not null and (copy is null or not copy)").select("id", "text", F.coalesce("comp", "id").alias("comp"), (F.col("side") == 1).alias("held"))
-    links = evaluation_links(reading, k, theta)
+    links = evaluation_links(reading, k, theta, signed.shingles)
     groups = nd.groups_of(signed.classes, signed.star_links.union(inner).union(links.select("a", "b")))
     return Overlaps(groups.join(records.select("id", "split"), "id"), links, signed.classes)
 

@@ -41,7 +41,7 @@ _U = np.uint64
 #: Cells of the shingle counts: 2 ** 20, and twice as many for each doubling of the rows beyond ``CELL_ROWS``, up to 2 ** 22 (one byte a cell is broadcast, at most 4 MB).
 CELL_BITS, CELL_ROWS, CELL_MOST = 20, 4_000_000, 22
 #: A list of more postings is split (see ``spread_hot``); entries of a packed bucket, about.
-HOT_LIST, BUCKET = 50_000, 500_000
+HOT_LIST, BUCKET = 50_000, 250_000
 ASKS, ASKED = 2, 4
 POSTING = (np.uint64, np.int64, np.int64, np.int32, np.int32)
 MEETING = (np.int64, np.int64, np.int32, np.int32)
@@ -262,15 +262,15 @@ def _met_often(share: float):
     return run
 
 
-def bucket_count(df: DataFrame, entries: float) -> int:
-    """Buckets of about ``BUCKET`` entries, four a shuffle partition at least."""
-    return int(max(4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), entries // BUCKET + 1))
+def bucket_count(entries: float) -> int:
+    """Buckets of about ``BUCKET`` entries."""
+    return int(entries // BUCKET + 1)
 
 
 def meet(posted: DataFrame, theta: float, share: float, buckets: int, symmetric: bool = True) -> DataFrame:
     """(q, g): texts and groups that meet at least 1 + floor(share * n) times in the lists of ``posted``."""
-    met = packed.exchange(posted).mapInArrow(_meetings(theta, buckets, symmetric), packed.SCHEMA)
-    return packed.exchange(met).mapInArrow(_met_often(share), "q long, g long")
+    met = packed.exchange(posted, buckets).mapInArrow(_meetings(theta, buckets, symmetric), packed.SCHEMA)
+    return packed.exchange(met, buckets).mapInArrow(_met_often(share), "q long, g long")
 
 
 def _sets(k: int):
@@ -371,7 +371,7 @@ def matrix_links(signed: Signed, k: int, theta: float, leave_out: int | None = N
 
     part = texts if leave_out is None else texts.where(F.col("side") != leave_out)
     reading = part.join(special, "id", "left").where("csize is null or csize > 0").select("id", "text", F.coalesce("comp", "id").alias("comp"), F.coalesce("csize", F.lit(1)).alias("csize"))
-    buckets = bucket_count(texts, 0.45 * signed.shingles)
+    buckets = bucket_count(0.45 * signed.shingles)
     posted = reading.mapInArrow(_postings(k, theta, signed.ranks, buckets), packed.SCHEMA)
     open_ = materialize(meet(posted, theta, SLACK * theta, buckets), "open")
     members = open_.join(grouped.select(F.col("comp").alias("g"), F.col("id").alias("node")), "g", "left").select(F.col("q").alias("a"), F.coalesce("node", "g").alias("b"))

@@ -141,3 +141,14 @@ def test_pairs_of_a_large_key(spark):
     df = spark.range(300).select("id", F.when(F.col("id") % 3 == 0, -1).when(F.col("id") < 290, F.col("id")).alias("grp"))
     got = nd.pairs_within(df, df, "grp", chunk=9)
     assert got.count() == got.distinct().count() == 100 * 100 + df.where("id % 3 <> 0 and id < 290").count()
+
+
+def test_every_bucket_has_its_partition(spark):
+    from pyspark.sql import functions as F
+
+    from corpusloom.llm import packed
+
+    for n in (1, 7, 64):
+        names = packed.labels(n)
+        df = spark.createDataFrame([(int(x), i) for i, x in enumerate(names)], "bucket int, own int").repartition(n, "bucket")
+        assert all(r.own == r.part for r in df.select("own", F.spark_partition_id().alias("part")).collect())
