@@ -14,6 +14,7 @@ from corpusloom.operators.validate import conversation_errors
 SECTIONS = ["HEARD:", "HYPOTHESIS:", "PLAN:"]
 # Kinds of corruption with their shares, and the totals a record may draw with theirs (fixed values).
 CORRUPTIONS = [("drop", 0.35), ("scale", 0.30), ("shift", 0.20), ("flip", 0.15)]
+MISTAKES = [("overshoot", 0.35), ("undershoot", 0.30), ("omission", 0.20), ("spurious", 0.15)]
 TOTALS = [(0, 0.35), (1, 0.25), (2, 0.15), (3, 0.10), (4, 0.07), (5, 0.05), (6, 0.03)]
 
 
@@ -238,6 +239,17 @@ def capped_corruption(params: DataFrame, by: list[str], key: str, value: str, ca
     return x.withColumn("changed", F.round(new, 6)).where(F.abs(F.col("changed") - v) >= 0.03).drop("__n", "__r")
 
 
+def exact_draw(params: DataFrame, record: list[str], batch: list[str], key: str, count: int, salt: str, cap: int = 3) -> DataFrame:
+    """Of every record exactly ``count`` keys, or all that are eligible: batches of two or more keys, at most ``cap`` keys a batch; with a ``kind`` by the
+    weights of ``MISTAKES``.  Ranks come from keyed hashes, so every key of a record is as likely as another; null keys take no part."""
+    ident = F.concat_ws("|", *[F.col(c).cast("string") for c in (*record, *batch, key)])
+    own = Window.partitionBy(*record, *batch)
+    x = params.where(F.col(key).isNotNull()).withColumn("__n", F.count("*").over(own)).where("__n >= 2")
+    x = x.withColumn("__b", F.row_number().over(own.orderBy(F.md5(F.concat(ident, F.lit(":" + salt))), key))).where(F.col("__b") <= cap)
+    x = x.withColumn("__r", F.row_number().over(Window.partitionBy(*record).orderBy(F.md5(F.concat(ident, F.lit(":" + salt + "r"))), *batch, key))).where(F.col("__r") <= count)
+    return x.withColumn("kind", weighted_choice(keyed_draw(ident, salt + "k"), MISTAKES)).drop("__n", "__b", "__r")
+
+
 def strongest(df: DataFrame, by: list[str], name: str, a: str, b: str, least: float) -> DataFrame:
     """Of every group the name of largest difference above ``least``, or null."""
     d = F.abs(F.col(a) - F.col(b))

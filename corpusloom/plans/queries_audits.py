@@ -179,7 +179,7 @@ def narration_after(spark, d):
     return n.select("input_seq", "i", F.md5("narration").alias("narration_md5"))
 
 
-@query()
+@query("with t as (select list_transform(list_filter(messages, lambda m: m.role = 'assistant'), lambda m: coalesce(m.content, '')) as t from sft_records) select case when len(t) > 0 then round(len(list_filter(t, lambda x: contains(x, 'HEARD:') and contains(x, 'HYPOTHESIS:') and contains(x, 'PLAN:'))) / len(t), 6) end as share, count(*) as n from t group by 1")
 def section_shares(spark, d):
     """G6."""
     turns = F.transform(F.filter("messages", lambda m: m["role"] == "assistant"), lambda m: m["content"])

@@ -188,7 +188,7 @@ def nth_audio(spark, d):
     return co.nth_audio(r, "input_seq", "i", "content", "audios").where(F.contains("content", F.lit("<audio>"))).select("input_seq", "i", "audio")
 
 
-@query()
+@query("with h as (select doc_id, sha256(doc_id::varchar) as h from documents) select doc_id, 'doc_' || substr(h, 1, 12) || array_to_string(list_transform(range(0, 14), lambda i: substr('0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz', ((('0x' || substr(h, 13 + i * 2, 2))::int % 62) + 1)::bigint, 1)), '') as key from h")
 def deterministic_ids(spark, d):
     """U40."""
     return read(spark, d, "documents").select("doc_id", co.deterministic_id("doc", F.col("doc_id").cast("string")).alias("key"))
@@ -308,7 +308,7 @@ def output_tails(spark, d):
     return m.select("input_seq", "i", F.md5(cv.tail_lines(F.col("content"), 3, 200)).alias("tail_md5"))
 
 
-@query()
+@query(r"with m as (select input_seq, i, content, lead(content) over (partition by input_seq order by i) as nxt from (select input_seq, unnest(range(len(messages))) as i, unnest(list_transform(messages, lambda m: m.role)) as role, unnest(list_transform(messages, lambda m: m.content)) as content from sft_records) where role = 'tool_response'), p as (select content as a, nxt as b, list_distinct(regexp_split_to_array(trim(content, ' '), '\s+')) as wa, list_distinct(regexp_split_to_array(trim(nxt, ' '), '\s+')) as wb, list_transform(regexp_extract_all(content, '-?\d+(?:\.\d+)?'), lambda x: x::double) as na, list_transform(regexp_extract_all(nxt, '-?\d+(?:\.\d+)?'), lambda x: x::double) as nb from m where nxt is not null and content is not null) select case when a = b then 'match' when starts_with(lower(b), 'error') then 'error' when (regexp_replace(a, '-?\d+(\.\d+)?', '#', 'g') = regexp_replace(b, '-?\d+(\.\d+)?', '#', 'g') and len(list_filter(range(1, len(na) + 1), lambda i: abs(na[i] - nb[i]) > 0.25 * greatest(abs(na[i]), 1e-9))) = 0) or 2 * len(list_intersect(wa, wb)) / (len(wa) + len(wb)) > 0.85 then 'acceptable' else 'divergent' end as state, count(*) as n from p group by 1")
 def replay_classes(spark, d):
     """V8: consecutive tool outputs of a record."""
     m = windows.messages_long(read(spark, d, "sft_records"), "input_seq").where("role = 'tool_response'")
@@ -339,7 +339,7 @@ def duplicate_representatives(spark, d):
     return read(spark, d, "clap_cache").where("cache_key is not null").groupBy("cache_key").agg(F.count("*").alias("n"), F.min("row_idx").alias("rep")).where("n > 1")
 
 
-@query()
+@query("with recursive t as (select doc_id, text, path from documents where text is not null and trim(text, ' ') <> ''), e as (select a.doc_id as a, b.doc_id as b from t a join t b on a.text = b.text and a.doc_id <> b.doc_id union select a.doc_id, b.doc_id from t a join t b on a.path = b.path and a.doc_id <> b.doc_id), r as (select a as id, a as root from e union select e.b, r.root from r join e on e.a = r.id) select id as node, min(root) as root from r group by 1")
 def duplicate_groups(spark, d):
     """Connected components over equal texts and equal paths of documents."""
     t = read(spark, d, "documents").where("text is not null and trim(text) <> ''")

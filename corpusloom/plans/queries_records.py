@@ -73,7 +73,7 @@ def judge_grade_metrics(spark, d):
     return _metrics(j, "judge_seq", {k: m[k] for k in shown})
 
 
-@query()
+@query(rf"with r as (select input_seq as k, coalesce(messages[-1].role = 'assistant', false) as closes, {_TURNS} from sft_records where task_type = 'main_agent'), m as ({_COMMON} union all select k, 'section_structure', case when len(turns) > 0 then round(len(list_filter(turns, lambda t: contains(t, 'HEARD:') and contains(t, 'HYPOTHESIS:') and contains(t, 'PLAN:'))) / len(turns), 4) else 0.0 end from r union all select k, 'plan_alignment_for_overall', 0.0 from r where len(list_filter(turns, lambda t: len(regexp_extract_all(t, '[a-z]+_[0-9a-z_]+')) > 0)) > 0 union all select k, 'hypothesis_grounding', 0.0 from r where len(list_filter(turns, lambda t: len(regexp_extract_all(t, '[a-z]+_[0-9a-z_]+')) > 0)) > 0) select k as input_seq, metric, v::double as v from m")
 def main_grade_metrics(spark, d):
     """The main grader v2 over records: every assistant turn listens, the tokens of a step are the parameters it names (tested on fixtures)."""
     r = read(spark, d, "sft_records").where("task_type = 'main_agent'")
@@ -134,7 +134,7 @@ def action_equivalence(spark, d):
     return j.select("judge_seq", co.same_actions(F.col("selected_tuple"), got, F.filter(got, lambda x: ~F.contains(x, F.lit("7")))).alias("same"))
 
 
-@query()
+@query(r"with j as (select coalesce(reasoning, '') as t, lower(coalesce(prompt, '')) as h, regexp_extract_all(coalesce(prompt, ''), '-?\d+\.\d+') as v from judge_results), f as (select unnest(list_filter([case when trim(t, ' ') = '' then 'empty' end, case when regexp_matches(t, '(?i)\b(the user|as an ai|the prompt|instructions?)\b') then 'meta' end, case when regexp_matches(t, '(?i)\b(ground truth|oracle|correct answer)\b') then 'leak' end, case when len(list_filter(regexp_extract_all(t, '\x22([^\x22]{3,60})\x22', 1), lambda q: len(string_split(q, ' ')) >= 2 and contains(h, lower(q)))) > 0 then 'quotes' end, case when len(list_filter(regexp_extract_all(t, '-?\d+\.\d+'), lambda n: list_contains(v, n))) > 0 then 'copies values' end], lambda x: x is not null)) as fault from j) select fault, count(*) as n from f group by 1")
 def text_fault_counts(spark, d):
     """U8: answers against their prompt, by rule (tested on fixtures)."""
     j = read(spark, d, "judge_results").select(F.explode(co.text_faults(F.col("reasoning"), F.col("prompt"), F.regexp_extract_all(F.coalesce("prompt", F.lit("")), F.lit(r"-?\d+\.\d+"), F.lit(0)))).alias("fault"))
@@ -274,7 +274,7 @@ def injected_mistakes(spark, d):
     return r.select("input_seq", F.size(cv.inject_mistake(F.col("messages"), F.concat(call, F.lit("x")), F.lit("Traceback: name not found"), F.lit("A typo in the name; running it again."))).cast("long").alias("n_messages"))
 
 
-@query()
+@query(r"with p as (select file_seq, regexp_extract(path, '^(.*/)?([^/]+)\.([^./]+)$', 1) as head, regexp_extract(path, '^(.*/)?([^/]+)\.([^./]+)$', 2) as stem, regexp_extract(path, '^(.*/)?([^/]+)\.([^./]+)$', 3) as suffix, ('0x' || substr(md5(file_seq::varchar || ':k'), 1, 8))::bigint / 4294967296.0 as k, ('0x' || substr(md5(file_seq::varchar || ':c'), 1, 8))::bigint / 4294967296.0 as c from file_records), q as (select *, (floor(c * (length(stem) - 1)) + 2)::int as cut from p) select file_seq, case when length(stem) >= 2 and length(suffix) >= 3 then case when k < 0.5 then head || stem || '.' || substr(suffix, 1, length(suffix) - 1) else head || substr(stem, 1, cut - 1) || substr(stem, cut + 1) || '.' || suffix end end as typo from q")
 def path_typos(spark, d):
     """File names with a typo (tested on fixtures)."""
     return read(spark, d, "file_records").select("file_seq", cv.path_typo(F.col("path"), F.col("file_seq").cast("string")).alias("typo"))
@@ -299,6 +299,13 @@ def drawn_specs(spark, d):
     return au.drawn_specs(read(spark, d, "region"), read(spark, d, "nation"), "r_regionkey", "n_nationkey", 1000, "s")
 
 
+@query("with i as (select l_orderkey, l_returnflag, l_linenumber, l_orderkey::varchar || '|' || l_returnflag || '|' || l_linenumber::varchar as ident from lineitem), n as (select *, count(*) over (partition by l_orderkey, l_returnflag) as n from i), b as (select *, row_number() over (partition by l_orderkey, l_returnflag order by md5(ident || ':d'), l_linenumber) as rb from n where n >= 2), c as (select *, row_number() over (partition by l_orderkey order by md5(ident || ':dr'), l_returnflag, l_linenumber) as rr from b where rb <= 3), k as (select *, ('0x' || substr(md5(ident || ':dk'), 1, 8))::bigint / 4294967296.0 as u from c where rr <= 2) select l_orderkey, l_linenumber, case when u < 0.35 then 'overshoot' when u < 0.65 then 'undershoot' when u < 0.85 then 'omission' else 'spurious' end as kind from k")
+def exact_draws(spark, d):
+    """Two keys of every order, at most three of a flag's batch."""
+    p = read(spark, d, "lineitem").select("l_orderkey", "l_returnflag", "l_linenumber")
+    return au.exact_draw(p, ["l_orderkey"], ["l_returnflag"], "l_linenumber", 2, "d").select("l_orderkey", "l_linenumber", "kind")
+
+
 @query()
 def record_corruption(spark, d):
     """An order's lines of one flag as a batch, the order as the record (tested for its caps)."""

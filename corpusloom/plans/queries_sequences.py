@@ -251,7 +251,7 @@ def conversation_validate(spark, d):
     return r.select("input_seq", F.array_join(validate.conversation_errors(F.col("id"), F.col("messages"), F.col("audios")), "; ").alias("errors"))
 
 
-@query()
+@query("select reason, count(*) as n from (select regexp_replace(unnest(string_split(errors, '; ')), '[0-9]+', 'N', 'g') as reason from (" + SQL["conversation_validate"] + ") v where errors <> '' union all select case when coalesce(id, '') = '' and k = 1 then 'id_missing' else 'messages_missing_or_empty' end from sft_records, (select unnest([1, 2]) as k) where coalesce(len(messages), 0) = 0 and (k = 2 or coalesce(id, '') = '')) group by 1 order by n desc, reason limit 10")
 def error_reasons(spark, d):
     """A3: the ten most frequent error kinds (codes without numbers)."""
     r = read(spark, d, "sft_records").select(F.explode(validate.conversation_errors(F.col("id"), F.col("messages"), F.col("audios"))).alias("e"))
@@ -369,7 +369,7 @@ def grader_dispatch(spark, d):
     return read(spark, d, "sft_records").groupBy(F.coalesce(grade.dispatch(F.col("task_type"), F.col("meta.pipeline_version")), F.lit("none")).alias("grader")).agg(F.count("*").alias("n"))
 
 
-@query()
+@query("with o as (select judge_seq, row_number() over (order by md5(judge_seq::varchar || ':1337'), judge_seq) - 1 as i, count(*) over () as n from judge_results) select x.judge_seq as a, s.step::int as step, y.judge_seq as b from o x cross join (select unnest([1, 2, 3]) as step) s join o y on y.i = (x.i + s.step) % x.n where x.n > s.step")
 def cross_references(spark, d):
     """Three other records of each, by keyed order."""
     return grade.references(read(spark, d, "judge_results"), "judge_seq", "judge_seq", 3, 1337)
