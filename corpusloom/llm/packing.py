@@ -96,7 +96,8 @@ def pack(items: DataFrame, capacity: int) -> DataFrame:
             at = np.maximum(at, at_class[c])
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(first[at] + r - rank0[at]), batch.column(2)], names=["item", "piece", "container", "size"])
 
-    ranked = pieces.where("cls > 0").withColumn("r", F.row_number().over(Window.partitionBy("cls", "part").orderBy("item", "piece")) - 1).join(F.broadcast(parts.select("cls", "part", "start")) if len(counts) * RANK_PARTS <= 300_000 else parts.select("cls", "part", "start"), ["cls", "part"])
+    # The window has brought the pieces of a class part together, so the join moves the small side only.
+    ranked = pieces.where("cls > 0").withColumn("r", F.row_number().over(Window.partitionBy("cls", "part").orderBy("item", "piece")) - 1).join(parts.select("cls", "part", "start"), ["cls", "part"])
     kind = items.schema["item"].dataType.simpleString()
     out = f"item {kind}, piece int, container long, size long"
     placed = ranked.select("item", "piece", "size", "cls", (F.col("start") + F.col("r")).alias("rank")).mapInArrow(place, out)
