@@ -15,7 +15,7 @@ from corpusloom.functions import text as tx
 
 # Words, markers and names that results depend on (fixed values).
 DIAGNOSIS_WORDS = ["error", "failed", "traceback", "fix", "correct", "wrong", "typo", "missing"]
-PROBE_MARKS = ["skills/vital/scripts/render_probes.py", "TrackFX_SetNamedConfigParm", "vital_chunk", "render_vital_preset"]
+PROBE_MARKS = ["render_probes.py", "TrackFX_SetNamedConfigParm", "vital_chunk", "render_vital_preset"]
 NO_MATCH_WORDS = ["no_match", "no-match", "partial_match", "partial-match", "re-search", "research", "doesn't contain", "does not contain", "missing"]
 CLAIMS_BETTER = r"(?i)\b(closer to the target|now matches|sits (?:back )?in line|locks in|improved|much closer|now captures)\b"
 CLAIMS_WORSE = r"(?i)\b(sounds off|doesn'?t sound right|still off|moved away|worse|needs (?:a )?correct)\w*\b"

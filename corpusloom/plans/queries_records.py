@@ -43,7 +43,7 @@ def _metrics(df: DataFrame, ident: str, metrics: dict) -> DataFrame:
 
 _TURNS = "list_transform(list_filter(messages, lambda m: m.role = 'assistant'), lambda m: coalesce(m.content, '')) as turns, case when messages[-1].role = 'assistant' then coalesce(messages[-1].content, '') else '' end as final, list_transform(list_filter(messages, lambda m: m.role = 'tool_call' and json_valid(m.content)), lambda m: case when lower(m.content->>'$.name') = 'bash' then coalesce(m.content->>'$.arguments.command', '') end) as shell"
 _COMMON = r"select k, 'snake_case_clean' as metric, 1.0 - least(1.0, len(list_filter(turns, lambda t: regexp_matches(t, '(^|[^\p{L}\p{N}_])[a-z][a-z0-9]*(?:_[a-z0-9]+){2,}($|[^\p{L}\p{N}_])'))) / greatest(1, len(turns))) as v from r union all select k, 'format_consistent', 1.0 - least(1.0, len(list_filter(turns, lambda t: regexp_matches(t, '\*\*(HEARD|HYPOTHESIS|PLAN):\*\*'))) / greatest(1, len(turns))) from r union all select k, 'closing_assistant', closes::int::double from r union all select k, 'no_gt_leak', 1.0 - (len(list_filter(turns, lambda t: regexp_matches(t, '(?i)\bgt\b\s*[—\-:]|\(gt\b|\bground\s+truth\b|\boracle\b|\bcorrect\s+answer\b|\bknown\s+(right|correct)\b|\bthis\s+is\s+the\s+(target|gt)\b'))) > 0)::int::double from r"
-_PROBES = "(len(list_filter(shell, lambda c: contains(c, 'skills/vital/scripts/render_probes.py') or contains(c, 'TrackFX_SetNamedConfigParm') or contains(c, 'vital_chunk') or contains(c, 'render_vital_preset'))) > 0)::int::double"
+_PROBES = "(len(list_filter(shell, lambda c: contains(c, 'render_probes.py') or contains(c, 'TrackFX_SetNamedConfigParm') or contains(c, 'vital_chunk') or contains(c, 'render_vital_preset'))) > 0)::int::double"
 
 
 @query(f"with r as (select input_seq as k, meta.gt_in_shard as g, coalesce(messages[-1].role = 'assistant', false) as closes, {_TURNS} from sft_records where task_type = 'search'), m as ({_COMMON} union all select k, 'has_render_probes', {_PROBES} from r union all select k, 'result_communicated', (contains(lower(final), 'shortlist') or contains(lower(final), 'candidate'))::int::double from r union all select k, 'gt_recovery', round(len(list_filter(g, lambda x: contains(final, x))) / len(g), 4) from r where len(g) > 0 union all select k, 'shortlist_nonempty', (len(list_filter(g, lambda x: contains(final, x))) > 0)::int::double from r where len(g) > 0) select k as input_seq, metric, v::double as v from m")

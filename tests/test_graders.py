@@ -64,7 +64,7 @@ def test_main_metrics(spark):
     assert (got["batch_param_alignment"], got["diagnosis_subsystem_coverage"], got["verdict_grounded"], got["mistake_recovery"], got["clap_net_improvement"]) == (0.3333, 0.6667, 1.0, 0.0, 0.3333)
     assert got["narration_clap_consistency"] == 0.5  # no change at first; then a rise that "sounds off" denies
     assert values(spark, "a array<string>", (None,), {"f": graders.set_f1(F.col("a"), F.col("a"))})["f"] == 1.0
-    assert set(graders.WEIGHTED if hasattr(graders, "WEIGHTED") else grade.WEIGHTS["main_v2"]) <= set(values(spark, schema, (m, turns, None, None, None), graders.main_v2_metrics(F.col("m"), F.col("t"), F.lit(True), F.col("r"), F.col("c"), F.col("s"), F.lit(False))))
+    assert set(grade.WEIGHTS["main_v2"]) <= set(values(spark, schema, (m, turns, None, None, None), graders.main_v2_metrics(F.col("m"), F.col("t"), F.lit(True), F.col("r"), F.col("c"), F.col("s"), F.lit(False))))
 
 
 def plain_grammar(ms):
