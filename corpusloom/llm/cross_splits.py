@@ -98,7 +98,7 @@ class TextIndex:
         self.runs = np.flatnonzero(head).astype(np.int32)
         run = (np.cumsum(head) - 1)[whole]
         record = np.repeat(np.arange(m), n + 1)[order][whole]
-        held = np.unique(run * m + record)
+        held = K.distinct_values(run * m + record)
         run, record = held // m, held % m
         self.sizes = np.bincount(record, minlength=m).astype(np.int32)
         named, at = np.unique(run * len(self.labels) + self.group[record], return_index=True)

@@ -119,7 +119,7 @@ def _code(bits: int):
                 said = np.zeros((hi - lo, len(LANGUAGES)))
                 np.add.at(said, own, votes[t])
                 lang = np.where(said.max(1) > 0, said.argmax(1), len(LANGUAGES) - 1)
-                sums["df"] += np.bincount(np.unique(own * d + t) % d, minlength=d)
+                sums["df"] += np.bincount(K.distinct_values(own * d + t) % d, minlength=d)
                 sums["lang"] += np.bincount(t * len(LANGUAGES) + lang[own], minlength=d * len(LANGUAGES)).reshape(d, -1)
                 n = np.bincount(sentence).astype(np.uint32) if len(t) else np.empty(0, np.uint32)
                 s_at = np.searchsorted(doc, np.arange(hi - lo + 1))
@@ -233,7 +233,7 @@ def document_subjects(docs: DataFrame, labels: DataFrame, subjects: list[str]) -
         for i, o in enumerate(own):
             share[i, o] = 1 / len(o)
         for lo, _, s, t, doc in _batches(batch, bits):
-            pair = np.unique(doc[s] * d + t) if len(s) else np.empty(0, np.int64)
+            pair = K.distinct_values(doc[s] * d + t) if len(s) else np.empty(0, np.int64)
             np.add.at(sums["n"], pair % d, share[lo + pair // d])
 
     seeds = _total(coded.join(F.broadcast(known), "id"), {"n": (d, k + 1)}, seed)["n"]

@@ -50,6 +50,12 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
+def distinct_values(x: np.ndarray) -> np.ndarray:
+    """The distinct values in order, by one sort: for integers faster than a hash table."""
+    x = np.sort(x)
+    return x[np.concatenate((np.ones(min(1, len(x)), bool), x[1:] != x[:-1]))]
+
+
 def blocks(texts: list, limit: int = BLOCK_CHARS):
     """Ranges (lo, hi) of texts of about ``limit`` characters; a longer text is a block of its own."""
     lo = size = 0
