@@ -26,8 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.llm import meetings
 from corpusloom.llm import near_duplicates as nd
-from corpusloom.llm import packed
 from corpusloom.llm import textkernel as K
 from corpusloom.plans.workspace import materialize
 
@@ -358,51 +358,6 @@ def _stream(path: str, k: int, theta: float):
     return run
 
 
-def _asking(k: int, theta: float, cells, buckets: int):
-    """Map (id, text, comp) to the packed runs that a text must be searched with."""
-
-    def run(batches):
-        pack = packed.Packer(buckets, *nd.POSTING)
-        table = np.frombuffer(cells.value, np.uint8)
-        for batch in batches:
-            ids, texts, comp = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist(), batch.column(2).to_numpy(zero_copy_only=False)
-            for lo, hi in K.blocks(texts):
-                words, doc = K.word_hashes(texts[lo:hi])
-                if len(words) < k:
-                    continue
-                _, own, runs, rank, n, slack = picks(words, doc, hi - lo, k, theta, table)
-                keep = (rank > 0) & (np.bincount(own[rank > 0], minlength=hi - lo) > slack)[own]
-                yield from _post(pack, runs[keep], ids[lo + own[keep]], comp[lo + own[keep]], n[own[keep]], rank[keep], nd.ASKS)
-        yield from pack.flush()
-
-    return run
-
-
-def _post(pack, runs, ids, comp, n, rank, side):
-    h = (runs >> _U(64 - K.HASH_BITS)) & _U((1 << 40) - 1)
-    at, name, flag = nd.spread_hot(h, ids, comp, nd.hot_chunks(np.arange(256))[rank], n, np.zeros(len(h), np.int32))
-    mine = (flag & side) > 0
-    at, name = at[mine], name[mine]
-    return pack.add(K.mix(name), name, ids[at], comp[at], n[at] * 8 + side, np.zeros(len(at), np.int32))
-
-
-def _asked(k: int, cells, buckets: int):
-    """Map the index's (id, text, comp) to all their runs, packed."""
-
-    def run(batches):
-        pack = packed.Packer(buckets, *nd.POSTING)
-        table = np.frombuffer(cells.value, np.uint8)
-        for batch in batches:
-            ids, texts, comp = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist(), batch.column(2).to_numpy(zero_copy_only=False)
-            for lo, h, d, m in K.shingle_sets(texts, k):
-                n = np.bincount(d, minlength=m)
-                rank = table[(h >> _U(K.HASH_BITS - (len(table).bit_length() - 1))).astype(np.int64)]
-                yield from _post(pack, h << _U(64 - K.HASH_BITS), ids[lo + d], comp[lo + d], n[d], rank, nd.ASKED)
-        yield from pack.flush()
-
-    return run
-
-
 def _all_cells(built: DataFrame) -> bytes:
     """The shards' counts added, as ranks (at most 4 MB)."""
     def add(batches):
@@ -447,9 +402,12 @@ def evaluation_links(texts: DataFrame, k: int, theta: float, runs: int | None =
         routed = reading.select(F.lit(0).alias("shard"), "id", "text", "comp")
     else:
         cells = texts.sparkSession.sparkContext.broadcast(_all_cells(built))
-        buckets = nd.bucket_count(0.45 * (runs or 8 * total) + total)
-        posted = reading.mapInArrow(_asking(k, theta, cells, buckets), packed.SCHEMA).union(chosen.select("id", "text", "comp").mapInArrow(_asked(k, cells, buckets), packed.SCHEMA))
-        route = nd.side_table(nd.meet(posted, theta, SLACK, buckets, symmetric=False).select(F.col("q").alias("id"), shard("g")).distinct(), "route")
+        asks, asked = (meetings.block_count(entries, nd.BUCKET) for entries in (0.45 * (runs or 8 * total), total))
+        posted = [
+            (meetings.write_blocks(df.select("id", "text", "comp", F.lit(1).alias("csize")).mapInArrow(meetings.postings(k, theta, ranks, blocks, found_only=ranks is not None), meetings.SCHEMA)), blocks)
+            for df, ranks, blocks in ((chosen, None, asked), (reading, cells, asks))
+        ]
+        route = nd.side_table(meetings.meet(texts.sparkSession, *posted, theta, SLACK).select(F.col("q").alias("id"), shard("g")).distinct(), "route")
         routed = reading.join(route, "id").select("shard", "id", "text", "comp").repartition("shard", F.pmod(F.xxhash64("id"), F.lit(8))).sortWithinPartitions("shard")
     return materialize(routed.mapInArrow(_stream(path, k, theta), _LINK), "overlaps")
 

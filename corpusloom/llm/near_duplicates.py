@@ -11,10 +11,10 @@ different groups is found and verified, whatever the sizes of groups and posting
    of the band, never with each other.  Verified links give the groups of the partition, so a
    family that holds a third of all rows is one group before any pair is formed.
 3. *Matrix.*  Of each text the rarest shingles are posted: of a set of n, those that some text of at
-   least the same size (or of the smallest admissible size) must share, and 4 % more.  After one
-   shuffle by shingle, a row of the matrix lists the groups whose union holds the shingle.  Each
-   query text counts the groups it meets; a pair at the threshold must meet at least
-   1 + 4 % of theta * n times, which bounds the query-group overlap.
+   least the same size (or of the smallest admissible size) must share, and 4 % more.  Blocks of
+   postings are joined with each other (see ``meetings``).  Each query text counts the groups it
+   meets; a pair at the threshold must meet at least 1 + 4 % of theta * n times, which bounds the
+   query-group overlap.
 4. *Open.*  Groups that reach the bound are opened: members whose size or 512-bit parity sketch rules the
    query out are left, and the query is verified exactly against the others.  Links of 2 and 4 give the final groups.
 
@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm import packed
+from corpusloom.llm import meetings
 from corpusloom.llm import textkernel as K
 from corpusloom.operators.graph import SMALL_EDGES, components
 from corpusloom.plans.workspace import materialize, materialize_counted, spread
@@ -40,18 +40,13 @@ from corpusloom.plans.workspace import materialize, materialize_counted, spread
 _U = np.uint64
 #: Cells of the shingle counts: 2 ** 20, and twice as many for each doubling of the rows beyond ``CELL_ROWS``, up to 2 ** 22 (one byte a cell is broadcast, at most 4 MB).
 CELL_BITS, CELL_ROWS, CELL_MOST = 20, 4_000_000, 22
-#: A list of more postings is split (see ``spread_hot``); entries of a packed bucket, about.
+#: A list of more postings is split by ``spread_hot``; postings of a block at least.
 HOT_LIST, BUCKET = 50_000, 250_000
 ASKS, ASKED = 2, 4
-POSTING = (np.uint64, np.int64, np.int64, np.int32, np.int32)
-MEETING = (np.int64, np.int64, np.int32, np.int32)
 PARTS = 64
 BANDS, BAND_BINS = 4, 6
-SLACK = 0.04
 #: Rows of a side table up to which it is broadcast (at most about 40 bytes a row); beyond that the join shuffles.
 BROADCAST_ROWS = 400_000
-#: 64-bit words of a text's parity sketch: every shingle flips one of its bits, so two sketches differ in at most as many bits as the sets in shingles.
-SKETCH_WORDS = 8
 _SIGN = "kind int, id long, side int, sig long, n int, bands array<long>, sketch array<long>, part int, counts binary"
 
 
@@ -97,14 +92,12 @@ def _signatures(k: int, bits: int):
                 for b in range(BANDS):
                     for j in range(BAND_BINS):
                         bands[:, b] = K.mix(bands[:, b] * _U(31) + minima[has, b * BAND_BINS + j] + _U(b + 1))
-                size, wide = len(has), SKETCH_WORDS * 64
-                flips = np.bincount(d * wide + (K.mix(h) % _U(wide)).astype(np.int64), minlength=m * wide).astype(np.uint8) & 1
-                sketch = np.packbits(flips.reshape(m, wide)[has], axis=1).view(np.int64)
+                size, sketch = len(has), meetings.sketches(h, d, m)[has]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.zeros(size, np.int32)), pa.array(ids[lo + has]), pa.array(side[lo + has]), pa.array(sig.view(np.int64)), pa.array(n[has].astype(np.int32)),
                         pa.ListArray.from_arrays(np.arange(0, (size + 1) * BANDS, BANDS, dtype=np.int32), pa.array(bands.ravel().view(np.int64))),
-                        pa.ListArray.from_arrays(np.arange(0, (size + 1) * SKETCH_WORDS, SKETCH_WORDS, dtype=np.int32), pa.array(sketch.ravel())), pa.nulls(size, pa.int32()), pa.nulls(size, pa.binary()),
+                        pa.ListArray.from_arrays(np.arange(0, (size + 1) * meetings.SKETCH_WORDS, meetings.SKETCH_WORDS, dtype=np.int32), pa.array(sketch.ravel())), pa.nulls(size, pa.int32()), pa.nulls(size, pa.binary()),
                     ],
                     schema=schema,
                 )
@@ -129,10 +122,6 @@ def _add_counts(batches):
         yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([np.minimum(255, np.log2(a + 1.0) * 8).astype(np.uint8).tobytes()], pa.binary())], names=["part", "ranks"])
 
 
-def _ceil(x: np.ndarray) -> np.ndarray:
-    return np.ceil(x - 1e-9).astype(np.int64)
-
-
 def hot_chunks(rank: np.ndarray) -> np.ndarray:
     """Into how many chunks the lists of shingles of these ranks are split: one for about ``HOT_LIST`` postings."""
     return np.maximum(1, np.ceil((np.exp2(rank / 8.0) - 1) / HOT_LIST)).astype(np.int64)
@@ -163,116 +152,6 @@ def spread_hot(h: np.ndarray, ids: np.ndarray, comp: np.ndarray, chunks: np.ndar
     return np.concatenate((plain, rep, rep[keep])), np.concatenate((h[plain], asks, asked[keep])), np.concatenate((np.full(len(plain), ASKS | ASKED, np.int32), np.full(len(rep), ASKS, np.int32), np.full(len(keep), ASKED, np.int32)))
 
 
-def _postings(k: int, theta: float, ranks, buckets: int):
-    """Map (id, text, comp, csize) to the packed postings of its rarest shingles; own: within the shorter prefix."""
-
-    def run(batches):
-        rank = np.frombuffer(ranks.value, dtype=np.uint8)
-        shift = _U(K.HASH_BITS - (len(rank).bit_length() - 1))
-        pack = packed.Packer(buckets, *POSTING)
-        for batch in batches:
-            ids, texts = _texts(batch)
-            comp, csize = (batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 3))
-            for lo, h, d, m in K.shingle_sets(texts, k):
-                if not len(h):
-                    continue
-                # The block holds under 2**16 texts: 16 bits text, 8 bits rank, 40 bits hash order a text's shingles in one sort.
-                r = rank[(h >> shift).astype(np.int64)].astype(_U)
-                key = np.sort((d.astype(_U) << _U(48)) | (r << _U(40)) | (h & _U((1 << 40) - 1)))
-                n, start = _segments(d, m)
-                pos = np.arange(len(key)) - np.repeat(start, n)
-                extra = (SLACK * n).astype(np.int64)
-                probe = np.minimum(n, n - _ceil(theta * n) + 1 + extra)
-                short = np.minimum(n, n - _ceil(2 * theta / (1 + theta) * n) + 1 + extra)
-                take = pos < np.repeat(probe, n)
-                key, pos = key[take], pos[take]
-                doc = (key >> _U(48)).astype(np.int64)
-                chunks = hot_chunks(np.arange(256))[((key >> _U(40)) & _U(255)).astype(np.int64)]
-                own = (pos < short[doc]).astype(np.int32)
-                at, name, flag = spread_hot(key & _U((1 << 40) - 1), ids[lo + doc], comp[lo + doc], chunks, n[doc], own)
-                doc = doc[at]
-                yield from pack.add(K.mix(name), name, ids[lo + doc], comp[lo + doc], n[doc] * 8 + own[at] + flag, csize[lo + doc])
-        yield from pack.flush()
-
-    return run
-
-
-def _meetings(theta: float, buckets: int, symmetric: bool = True, limit: int = 2_000_000):
-    """Map the exchanged postings to packed (q, g, n, c): query text q of n shingles met group g c times.
-
-    Symmetric: of two groups the smaller asks and the larger is asked (by size, then name), so that counts of one pair add up.
-    """
-
-    def emit(pack, q, g, n):
-        order = np.lexsort((g, q))
-        q, g, n = q[order], g[order], n[order]
-        head = np.flatnonzero(np.concatenate(([True], (q[1:] != q[:-1]) | (g[1:] != g[:-1]))))
-        c = np.diff(np.concatenate((head, [len(q)])))
-        q, g, n = q[head], g[head], n[head]
-        return pack.add(K.mix(q.astype(_U) * _U(31) + K.mix(g.astype(_U))), q, g, n, c)
-
-    def run(batches):
-        pack = packed.Packer(buckets, *MEETING)
-        for h, ids, comp, meta, csize in packed.buckets_of(batches, *POSTING):
-            order = np.lexsort((comp, h))
-            asked = order[(meta[order] & ASKED) > 0]
-            asks = order[(meta[order] & ASKS) > 0]
-            # Matrix entries: the groups of a shingle, with the sizes of their texts.
-            gh, gc, gn = h[asked], comp[asked], meta[asked] >> 3
-            if not len(asked) or not len(asks):
-                continue
-            at = np.flatnonzero(np.concatenate(([True], (gh[1:] != gh[:-1]) | (gc[1:] != gc[:-1]))))
-            g_h, g_comp, g_size = gh[at], gc[at], csize[asked][at]
-            g_min, g_max, g_own = np.minimum.reduceat(gn, at), np.maximum.reduceat(gn, at), np.bitwise_or.reduceat(meta[asked] & 1, at) > 0
-            left, right = np.searchsorted(g_h, h[asks], "left"), np.searchsorted(g_h, h[asks], "right")
-            busy = np.flatnonzero((right - left > 1) | ((right > left) & (g_comp[np.minimum(left, len(g_comp) - 1)] != comp[asks])))
-            asks, base, width = asks[busy], left[busy], (right - left)[busy]
-            ends = np.cumsum(width)
-            lo = 0
-            while lo < len(asks):  # slices of bounded size
-                hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + limit, side="right")))
-                w = width[lo:hi]
-                e = np.repeat(asks[lo:hi], w)
-                g = np.repeat(base[lo:hi], w) + (np.arange(w.sum()) - np.repeat(np.cumsum(w) - w, w))
-                lo = hi
-                n = meta[e] >> 3
-                ok = (g_max[g] >= theta * n - 1e-9) & (theta * g_min[g] <= n + 1e-9) & (comp[e] != g_comp[g])
-                if symmetric:
-                    ok &= (csize[e] < g_size[g]) | ((csize[e] == g_size[g]) & (comp[e] < g_comp[g]))
-                    ok &= ((n <= g_max[g]) & ((meta[e] & 1) > 0)) | ((n >= g_min[g]) & g_own[g])
-                e, g, n = e[ok], g[ok], n[ok]
-                if len(e):
-                    yield from emit(pack, ids[e], g_comp[g], n)
-        yield from pack.flush()
-
-    return run
-
-
-def _met_often(share: float):
-    """Map exchanged meetings to (q, g) met at least 1 + floor(share * n) times."""
-
-    def run(batches):
-        for q, g, n, c in packed.buckets_of(batches, *MEETING):
-            order = np.lexsort((g, q))
-            q, g, n, c = q[order], g[order], n[order], c[order]
-            at = np.flatnonzero(np.concatenate(([True], (q[1:] != q[:-1]) | (g[1:] != g[:-1]))))
-            ok = np.add.reduceat(c, at) >= 1 + np.floor(share * n[at] + 1e-9)
-            yield pa.RecordBatch.from_arrays([pa.array(q[at[ok]]), pa.array(g[at[ok]])], names=["q", "g"])
-
-    return run
-
-
-def bucket_count(entries: float) -> int:
-    """Buckets of about ``BUCKET`` entries."""
-    return int(entries // BUCKET + 1)
-
-
-def meet(posted: DataFrame, theta: float, share: float, buckets: int, symmetric: bool = True) -> DataFrame:
-    """(q, g): texts and groups that meet at least 1 + floor(share * n) times in the lists of ``posted``."""
-    met = packed.exchange(posted, buckets).mapInArrow(_meetings(theta, buckets, symmetric), packed.SCHEMA)
-    return packed.exchange(met, buckets).mapInArrow(_met_often(share), "q long, g long")
-
-
 def _sets(k: int):
     """Map (id, text) to (id, set): the sorted shingle hashes, 8 bytes each."""
 
@@ -371,9 +250,9 @@ def matrix_links(signed: Signed, k: int, theta: float, leave_out: int | None = N
 
     part = texts if leave_out is None else texts.where(F.col("side") != leave_out)
     reading = part.join(special, "id", "left").where("csize is null or csize > 0").select("id", "text", F.coalesce("comp", "id").alias("comp"), F.coalesce("csize", F.lit(1)).alias("csize"))
-    buckets = bucket_count(0.45 * signed.shingles)
-    posted = reading.mapInArrow(_postings(k, theta, signed.ranks, buckets), packed.SCHEMA)
-    open_ = materialize(meet(posted, theta, SLACK * theta, buckets), "open")
+    blocks = meetings.block_count(0.45 * signed.shingles, BUCKET)
+    posted = meetings.write_blocks(reading.mapInArrow(meetings.postings(k, theta, signed.ranks, blocks), meetings.SCHEMA))
+    open_ = materialize(meetings.meet(texts.sparkSession, (posted, blocks), None, theta, meetings.SLACK * theta).distinct(), "open")
     members = open_.join(grouped.select(F.col("comp").alias("g"), F.col("id").alias("node")), "g", "left").select(F.col("q").alias("a"), F.coalesce("node", "g").alias("b"))
     opened = side_table(admissible(side_table(members, "members"), classes.where("id = rep").select("id", "n", "sketch"), theta), "opened")
     return verify_pairs(opened, texts, k, theta)
