@@ -11,8 +11,6 @@ A group of which a block holds more than ``MEMBERS`` texts has there one entry a
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -20,7 +18,7 @@ from pyspark.sql import DataFrame
 
 from corpusloom.llm import packed
 from corpusloom.llm import textkernel as K
-from corpusloom.plans.workspace import remember, shared_dir
+from corpusloom.plans.workspace import read_part, write_parts
 
 _U = np.uint64
 #: Postings of a block, about, and of a piece; blocks that a table of some size has at least, so that all cores have work.
@@ -121,14 +119,8 @@ class _Block:
     """The texts of a block, and its postings, still compressed."""
 
     def __init__(self, path: str, block: int):
-        import pyarrow.dataset as ds
-        from pyarrow import fs
-
-        system, inner = fs.FileSystem.from_uri(path if ":" in path else "file://" + path)
-        inner = f"{inner}/block={block}"
-        rows = []
-        if system.get_file_info(inner).type != fs.FileType.NotFound:
-            table = ds.dataset(inner, filesystem=system, format="parquet", exclude_invalid_files=True).to_table(columns=["piece", "slice", "n", "data"])
+        table, rows = read_part(path, "block", block, ["piece", "slice", "n", "data"]), []
+        if table is not None:
             rows = sorted(zip(*(c.to_pylist() for c in table.columns), strict=True), key=lambda r: r[:2])
         texts, self.slices, base, total = [], [[] for _ in range(_SLICES)], 0, 0
         for _, s, n, raw in rows:
@@ -290,10 +282,7 @@ def block_count(entries: float, least: int = PIECE) -> int:
 
 def write_blocks(pieces: DataFrame) -> str:
     """Write the mapped pieces to the shared folder; the path."""
-    path = f"{shared_dir(pieces.sparkSession)}/corpusloom-postings-{uuid.uuid4().hex}"
-    remember(path)
-    pieces.write.partitionBy("block").option("compression", "uncompressed").parquet(path)
-    return path
+    return write_parts(pieces, "block", "postings")
 
 
 def meet(spark, asked: tuple[str, int], asks: tuple[str, int] | None, theta: float, share: float) -> DataFrame:

@@ -82,3 +82,20 @@ def test_mean_trigram_novelty_of_the_table(spark, data):
     for i, (v, s) in sets.items():
         js = [len(s & t) / len(s | t) for j, (u, t) in sets.items() if j != i and u == v]
         assert abs(got[i] - (1 - sum(js) / len(js))) < 2e-6
+
+
+def test_mean_novelty_in_parts_writes_no_pairs(spark, monkeypatch):
+    """Every pair shares a gram: pairs crossed a shuffle before; now groups are cut into parts and tiles and the sums equal brute force."""
+    for name, value in (("PART", 9), ("TILE", 4), ("STEP", 20)):
+        monkeypatch.setattr(dedup, name, value)
+    sets = {i: {"all", *(f"g{(i * j) % 17}" for j in range(1, 2 + i % 5))} for i in range(60)}
+    group = {i: "large" if i % 3 else f"small{i % 4}" for i in sets}
+    df = spark.createDataFrame([(i, group[i], sorted(s)) for i, s in sets.items()], "id long, k string, g array<string>")
+    want = {}
+    for i, s in sets.items():
+        js = [len(s & t) / len(s | t) for j, t in sets.items() if j != i and group[j] == group[i]]
+        want[i] = 1 - sum(js) / len(js)
+    out = dedup.mean_novelty(df, "id", "k", "g")
+    got = {r.id: (r.novelty, r.n_grams) for r in out.collect()}
+    assert got.keys() == want.keys() and all(abs(got[i][0] - want[i]) < 2e-6 and got[i][1] == len(sets[i]) for i in sets)
+    assert "Generate" not in out._jdf.queryExecution().executedPlan().toString()  # no row a gram, of which pairs could be made
