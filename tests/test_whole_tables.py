@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+from corpusloom.operators import composites as co
 from corpusloom.operators import dedup, joins
 from corpusloom.plans import registry
 from corpusloom.plans.queries_curation import read
@@ -99,3 +100,18 @@ def test_mean_novelty_in_parts_writes_no_pairs(spark, monkeypatch):
     got = {r.id: (r.novelty, r.n_grams) for r in out.collect()}
     assert got.keys() == want.keys() and all(abs(got[i][0] - want[i]) < 2e-6 and got[i][1] == len(sets[i]) for i in sets)
     assert "Generate" not in out._jdf.queryExecution().executedPlan().toString()  # no row a gram, of which pairs could be made
+
+
+def test_unrendered_pairs_are_made_once(spark, monkeypatch):
+    """Ids in several chunks, some in both inputs, twice or null; no pair is made distinct or shuffled (all were, three times)."""
+    monkeypatch.setattr(co, "CHUNK", 3)
+    missed = [("s", i) for i in (1, 3, 5, 7, 9, 11, 2)] + [("u", 1), ("u", None), (None, 4), ("s", 1)]
+    top = [("s", i) for i in (2, 4, 6, 8)] + [("u", 2), ("v", 5), ("v", 6)]
+    done = [("s", 1, 3), ("s", 3, 1), ("s", 2, 4), ("s", 4, 2), ("s", 9, 9), ("u", 5, 6), ("s", 1, 3)]
+    m, t, d = (spark.createDataFrame(rows, schema) for rows, schema in ((missed, "k string, id long"), (top, "k string, id long"), (done, "k string, a long, b long")))
+    out = co.unrendered_pairs(m, t, d, "id", "k")
+    got = [tuple(r) for r in out.select("k", "a", "b").collect()]
+    one = {(k, a, b) for k, a in missed for j, b in missed + top if k and k == j and a and b and a != b}
+    assert len(got) == len(set(got)) and set(got) == (one | {(k, b, a) for k, a, b in one}) - set(done)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan.split("Generate")[0] and "LeftAnti" not in plan
