@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from corpusloom.llm import meetings
 from corpusloom.llm import near_duplicates as nd
 from corpusloom.llm import textkernel as K
-from corpusloom.plans.workspace import materialize
+from corpusloom.plans.workspace import discard, materialize
 
 _U = np.uint64
 #: Words of an index shard, about: some 12 bytes a word, so a shard that a Python worker holds stays near 60 MB.  Groups are spread by hash and never cut.
@@ -408,6 +408,8 @@ def evaluation_links(texts: DataFrame, k: int, theta: float, runs: int | None =
             for df, ranks, blocks in ((chosen, None, asked), (reading, cells, asks))
         ]
         route = nd.side_table(meetings.meet(texts.sparkSession, *posted, theta, SLACK).select(F.col("q").alias("id"), shard("g")).distinct(), "route")
+        for written, _ in posted:
+            discard(written)
         routed = reading.join(route, "id").select("shard", "id", "text", "comp").repartition("shard", F.pmod(F.xxhash64("id"), F.lit(8))).sortWithinPartitions("shard")
     return materialize(routed.mapInArrow(_stream(path, k, theta), _LINK), "overlaps")
 

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from corpusloom.llm import meetings
 from corpusloom.llm import textkernel as K
 from corpusloom.operators.graph import SMALL_EDGES, components
-from corpusloom.plans.workspace import materialize, materialize_counted, spread
+from corpusloom.plans.workspace import discard, materialize, materialize_counted, spread
 
 _U = np.uint64
 #: Cells of the shingle counts: 2 ** 20, and twice as many for each doubling of the rows beyond ``CELL_ROWS``, up to 2 ** 22 (one byte a cell is broadcast, at most 4 MB).
@@ -253,6 +253,7 @@ def matrix_links(signed: Signed, k: int, theta: float, leave_out: int | None = N
     blocks = meetings.block_count(0.45 * signed.shingles, BUCKET)
     posted = meetings.write_blocks(reading.mapInArrow(meetings.postings(k, theta, signed.ranks, blocks), meetings.SCHEMA))
     open_ = materialize(meetings.meet(texts.sparkSession, (posted, blocks), None, theta, meetings.SLACK * theta).distinct(), "open")
+    discard(posted)
     members = open_.join(grouped.select(F.col("comp").alias("g"), F.col("id").alias("node")), "g", "left").select(F.col("q").alias("a"), F.coalesce("node", "g").alias("b"))
     opened = side_table(admissible(side_table(members, "members"), classes.where("id = rep").select("id", "n", "sketch"), theta), "opened")
     return verify_pairs(opened, texts, k, theta)

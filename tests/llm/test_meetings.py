@@ -62,3 +62,19 @@ def test_a_written_table_leaves_no_shuffle_files(spark):
         time.sleep(0.2)
     assert not files() - before
     assert sum(r["count"] for r in table.collect()) == 1000
+
+
+def test_several_shards_leave_no_postings(spark, monkeypatch):
+    """The postings of both sides go as soon as they are joined, and the route through them finds the pairs of one shard."""
+    from corpusloom.llm import cross_splits
+    from corpusloom.llm import near_duplicates as nd
+    from corpusloom.plans.workspace import shared_dir
+
+    df = spark.createDataFrame([(i, t, ("train", "val", "test")[i % 3]) for i, t in enumerate(_texts())], "id long, text string, split string")
+    folders = lambda: set(glob.glob(f"{shared_dir(spark).removeprefix('file://')}/corpusloom-postings-*"))
+    before = folders()
+    want = {(r.id, r.grp) for r in cross_splits.cross_split_groups(df, k=3, theta=0.6).collect()}
+    monkeypatch.setattr(cross_splits, "SHARD_WORDS", 300)
+    monkeypatch.setattr(nd, "BUCKET", 300)
+    assert {(r.id, r.grp) for r in cross_splits.cross_split_groups(df, k=3, theta=0.6).collect()} == want and len(want) > 60
+    assert folders() == before
