@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 
+from pyspark.sql import functions as F
+
 from corpusloom.operators import composites as co
 from corpusloom.operators import dedup, joins
 from corpusloom.plans import registry
@@ -115,3 +117,23 @@ def test_unrendered_pairs_are_made_once(spark, monkeypatch):
     assert len(got) == len(set(got)) and set(got) == (one | {(k, b, a) for k, a, b in one}) - set(done)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan.split("Generate")[0] and "LeftAnti" not in plan
+
+
+def test_rendered_pairs_that_follow_from_ids_are_not_made(spark, data, monkeypatch):
+    """A condition on two ids gives the pairs that a table of rendered pairs gives; the query's plan has no such table (it had, grouped by id, and spilled)."""
+    missed = [("s", i) for i in (1, 3, 5, 7, 9, 11, 2)] + [("u", 1), ("u", None), (None, 4), ("s", 1)]
+    top = [("s", i) for i in (2, 4, 6, 8)] + [("u", 2), ("v", 5), ("v", 6)]
+    m, t = (spark.createDataFrame(rows, "k string, id long") for rows in (missed, top))
+    one = {(k, a, b) for k, a in missed for j, b in missed + top if k and k == j and a and b and a != b}
+    want = {(k, a, b) for k, a, b in one | {(k, b, a) for k, a, b in one} if (a + b) % 3 or a == 8}
+    rendered = lambda a, b: F.when(a != 8, (a + b) % 3 == 0)  # noqa: E731 - null is not rendered
+    monkeypatch.setattr(co, "CHUNK", 3)
+    for most, pairs in ((100, 64), (0, 4)):  # chunks broadcast or shuffled, few tasks or many
+        monkeypatch.setattr(co, "BROADCAST_IDS", most)
+        monkeypatch.setattr(co, "TASK_PAIRS", pairs)
+        got = [tuple(r) for r in co.unrendered_pairs(m, t, rendered, "id", "k").select("k", "a", "b").collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+    plan = run(spark, data, "unrendered_pairs")._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and plan.count("Join") == 1
+    # Code that makes pairs is apart from the join, so that no more than an id's pairs with a chunk are held at once.
+    assert [x for x in re.findall("Generate|Coalesce|Join", plan)] == ["Generate", "Coalesce", "Generate", "Generate", "Coalesce", "Join"]
